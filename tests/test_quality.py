@@ -1,0 +1,191 @@
+import datetime as dt
+import decimal
+
+import pytest
+
+from loomwright.functions.regex import to_java
+from loomwright.operators.quality import check_table, check_tables, statistics, table_passed
+from loomwright.rules import Rule, column_rule, table_rule, unique
+
+SCHEMA = "id int, s string, n int, x double, d decimal(10,2), t timestamp_ntz, day date, b boolean"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([r + (None,) * (8 - len(r)) for r in rows], SCHEMA)
+
+
+def observe(spark, rows, *rules):
+    got = check_table(table(spark, rows), "t", rules).collect()
+    assert [(r.check_type, r.column) for r in got if r.check_type != "unique"] == [
+        (r.kind, r.column) for r in rules if r.kind != "unique"
+    ]
+    return [(r.observed, r.passed) for r in got]
+
+
+ROWS = [(1, "aa", 5, 0.5), (2, "b", 7, 1.5), (2, None, None, None), (None, "éçà", 9, float("nan")), (3, "aa", 5, 2.0)]
+
+PASSING = [
+    table_rule("row_count_min"),
+    table_rule("row_count_between", min=5, max=5),
+    column_rule("not_null", "s"),
+    column_rule("unique", "id"),
+    column_rule("allowed_values", "s", values=["aa", "b"]),
+    column_rule("regex", "s", pattern="^[ab]+$"),
+    column_rule("min_length", "s", min=1),
+    column_rule("max_length", "s", max=2),
+    column_rule("range", "n", min=1, max=9),
+]
+
+
+def test_every_rule_passes(spark):
+    rows = [(1, "aa", 5), (2, "b", 9), (3, "a", 1), (4, "ab", 3), (5, "b", None)]
+    rules = PASSING[:4] + [column_rule("allowed_values", "s", values=["aa", "b", "a", "ab"])] + PASSING[5:]
+    assert all(passed for _, passed in observe(spark, rows, *rules))
+
+
+def test_every_rule_fails(spark):
+    got = observe(
+        spark,
+        ROWS,
+        table_rule("row_count_min", min=6),
+        table_rule("row_count_between", max=4),
+        column_rule("not_null", "s"),
+        column_rule("allowed_values", "s", values=["aa"]),
+        column_rule("regex", "s", pattern="^a"),
+        column_rule("min_length", "s", min=2),
+        column_rule("max_length", "s", max=2),
+        column_rule("range", "n", min=6, max=8),
+        column_rule("range", "x", max=1.5),
+        column_rule("unique", "id"),
+    )
+    assert got == [(n, False) for n in (5, 5, 1, 2, 2, 1, 1, 3, 2, 1)]
+
+
+def test_empty_table_and_all_null_column(spark):
+    rules = PASSING[2:]
+    assert all(passed for _, passed in observe(spark, [], *rules))
+    assert observe(spark, [], table_rule("row_count_min")) == [(0, False)]
+    got = observe(spark, [(None, None), (None, None)], *PASSING[3:])
+    assert all(g == (0, True) for g in got)
+
+
+def test_unique_counts_groups_and_rows(spark):
+    rows = [(1, "a", 1), (1, "a", 2), (1, "b", 1), (2, "a", 1), (None, "a", 1), (None, "a", 1), (3, None, 4)]
+    rules = [unique("id"), unique("id", "s"), unique("s", "id"), unique("n"), unique("id", "n")]
+    got = check_table(table(spark, rows), "t", rules).collect()
+    assert [(r.column, r.observed, r.duplicate_rows, r.passed) for r in got] == [
+        ("id", 1, 3, False),
+        ("id,s", 1, 2, False),
+        ("s,id", 1, 2, False),
+        ("n", 1, 5, False),
+        ("id,n", 1, 2, False),
+    ]
+    (one,) = check_table(table(spark, rows), "t", [unique("id", "s")]).collect()
+    assert (one.observed, one.duplicate_rows) == (1, 2)
+
+
+def test_unique_on_a_hot_value(spark):
+    df = spark.range(30000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as u")
+    got = {r.column: (r.observed, r.duplicate_rows) for r in check_table(df, "t", [unique("k"), unique("u")]).collect()}
+    assert got == {"k": (1, 10000), "u": (0, 0)}
+
+
+def test_empty_list_of_allowed_values_allows_only_null(spark):
+    assert observe(spark, ROWS, column_rule("allowed_values", "s", values=[])) == [(4, False)]
+
+
+def test_literals_are_compared_in_their_own_type(spark):
+    rows = [(1, "1", 1, 0.1, decimal.Decimal("0.10"), dt.datetime(2020, 1, 2, 3), dt.date(2020, 1, 2), True)]
+    got = observe(
+        spark,
+        rows,
+        column_rule("allowed_values", "n", values=[1.5]),
+        column_rule("allowed_values", "n", values=["1"]),
+        column_rule("allowed_values", "d", values=[0.1]),
+        column_rule("allowed_values", "b", values=[True]),
+        column_rule("range", "t", min="2020-01-01 00:00:00", max=dt.datetime(2020, 1, 2, 2)),
+        column_rule("range", "day", min=dt.date(2020, 1, 2)),
+        column_rule("range", "s", min="0", max="2"),
+    )
+    assert [n for n, _ in got] == [1, 0, 0, 0, 1, 0, 0]
+
+
+@pytest.mark.parametrize(
+    "rule",
+    [
+        column_rule("regex", "n", pattern="a"),
+        column_rule("min_length", "n", min=1),
+        column_rule("allowed_values", "s", values=[1]),
+        column_rule("allowed_values", "n", values=[True]),
+        column_rule("range", "s", min=1),
+    ],
+)
+def test_rules_on_a_column_of_another_type(spark, rule):
+    with pytest.raises(TypeError):
+        check_table(table(spark, ROWS), "t", [rule])
+
+
+def test_unknown_column(spark):
+    for rule in (column_rule("not_null", "zz"), unique("zz")):
+        with pytest.raises(ValueError, match="no column zz"):
+            check_table(table(spark, ROWS), "t", [rule])
+
+
+@pytest.mark.parametrize(
+    "pattern, text, found",
+    [
+        ("b", "abc", True),
+        ("^b", "abc", False),
+        ("^abc$", "abc\n", False),
+        ("a.c", "a\nc", True),
+        ("^[[:alpha:]]+$", "São", True),
+        ("^[[:digit:]]+$", "12", True),
+        ("^[[:digit:]]+$", "dig", False),
+        (r"^\d{2}$", "12", True),
+        (r"^\w+$", "São_1", True),
+        ("^[]a]+$", "]a", True),
+        ("^[a&&b]+$", "&a", True),
+        ("^[[a]+$", "[a", True),
+        ("^[^]a]+$", "bc", True),
+        ("^[^[:space:]]+$", "a b", False),
+        (r"^a\$b$", "a$b", True),
+        ("^[$]$", "$", True),
+        ("B", "b", False),
+        (r"^(ab|cd)\Z", "cd", True),
+    ],
+)
+def test_patterns(spark, pattern, text, found):
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.where(df.s.rlike(to_java(pattern))).count() == int(found)
+
+
+@pytest.mark.parametrize("pattern", [r"\mword\M", r"\yx", "[[.a.]]", "[[=a=]]", "[[:<:]]x", "***=x", "(?i)x", "[[:foo:]]"])
+def test_patterns_without_counterpart(pattern):
+    with pytest.raises(ValueError):
+        to_java(pattern)
+
+
+def test_roll_up(spark):
+    results = check_tables(
+        spark,
+        [
+            ("good", table(spark, ROWS), [table_rule("row_count_min")]),
+            ("bad", table(spark, ROWS), [table_rule("row_count_min"), column_rule("not_null", "s"), unique("id")]),
+        ],
+    )
+    assert {r.table: r.passed for r in table_passed(results).collect()} == {"good": True, "bad": False}
+    got = {r.table: (r.evaluated, r.successful, r.unsuccessful, r.success) for r in statistics(results).collect()}
+    assert got == {"good": (1, 1, 0, True), "bad": (3, 1, 2, False)}
+    assert check_tables(spark, []).count() == 0
+
+
+def test_row_rules_are_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table(spark, ROWS).write.parquet(path)
+    rules = [r for r in PASSING if r.kind != "unique"]
+    plan = check_table(spark.read.parquet(path), "t", rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "ReadSchema: struct<s:string,n:int>" in plan
+    plan = check_table(spark.read.parquet(path), "t", [unique("id"), unique("s"), unique("n", "s")])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert Rule("unique", ("n", "s")).column == "n,s"
