@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..paths import delete_dir, shared_dir, table_files
+from ..session import setting
 
 REPOINTABLE = ("parquet", "orc")
 
@@ -57,6 +58,8 @@ def replace(df: DataFrame, table: str) -> None:
     try:
         df.write.parquet(staged)
         rows = spark.read.schema(df.schema).parquet(staged)
-        rows.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+        # All partitions go, also those that get no new row.
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            rows.write.insertInto(table, overwrite=True)
     finally:
         delete_dir(spark, staged)

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 from typing import Any
@@ -18,6 +17,7 @@ from ..operators.project import project, resolve_schema
 from ..operators.quality import check_table
 from ..paths import delete_dir
 from ..rules import Rule, column_rule
+from ..session import setting
 from ..sources import read_csv
 
 _REF = re.compile(r"\{\{\s*ref\(\s*['\"](\w+)['\"]\s*\)\s*\}\}")
@@ -131,19 +131,6 @@ def mart_checkpoint(spark: SparkSession, table: str, statuses: Iterable[str] = M
     return check_table(spark.table(table), table, mart_rules(statuses))
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def load_seed(spark: SparkSession, seed: Seed, relation: str) -> None:
     folder, _, key = seed.path.rpartition("/")
     raw = read_csv(spark, {"key": key}, base_path=folder or ".")
@@ -165,7 +152,7 @@ def _create_view(spark: SparkSession, model: Model, relation: str, relations: Ma
         return
     query = _REF.sub(lambda m: relations[m.group(1)], model.build)
     kind = "VIEW" if "." in relation else "TEMPORARY VIEW"
-    with _setting(spark, _TIMESTAMP_TYPE, "TIMESTAMP_NTZ"):
+    with setting(spark, _TIMESTAMP_TYPE, "TIMESTAMP_NTZ"):
         spark.sql(f"CREATE OR REPLACE {kind} {relation} AS {query}")
 
 
