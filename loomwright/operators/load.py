@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..paths import delete_dir, shared_dir, table_files
 from ..session import setting
+from .dedup import only_new
 
 REPOINTABLE = ("parquet", "orc")
 
@@ -31,6 +33,13 @@ def append(df: DataFrame, table: str) -> None:
     df.write.insertInto(table)
 
 
+def append_absent(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Add the rows whose key the table does not hold; rows it holds are never changed.
+    ``df`` has one row per key."""
+    existing = df.sparkSession.table(table)
+    append(only_new(df, existing, keys).select(*existing.columns), table)
+
+
 def replace(df: DataFrame, table: str) -> None:
     """Make ``df`` the content of the table.
 

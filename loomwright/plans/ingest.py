@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import types as T
 
 from ..config import REPLACE, Config, TableSpec
-from ..operators.dedup import keep_last, only_new
-from ..operators.load import append, ensure_schema, ensure_table, replace
+from ..operators.dedup import keep_last
+from ..operators.load import append, append_absent, ensure_schema, ensure_table, replace
 from ..operators.project import project, resolve_schema
 from ..operators.quality import Metric, check_table, row_metrics
 from ..paths import delete_dir
@@ -131,8 +131,9 @@ def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dic
     else:
         # The rules speak of the whole table, so after an append it is read again.
         if spec.primary_key:
-            rows = only_new(rows, spark.table(spec.full_name), spec.primary_key)
-        append(rows.select(*target.names), spec.full_name)
+            append_absent(rows, spec.full_name, spec.primary_key)
+        else:
+            append(rows, spec.full_name)
         results = []
     if rules:
         results += [r.asDict() for r in check_table(spark.table(spec.full_name), spec.full_name, rules).collect()]
