@@ -37,6 +37,7 @@ from loomwright.operators.dedup import keep_last, only_new
 from loomwright.operators.load import append, append_absent, ensure_table, replace
 from loomwright.operators.quality import check_table, check_tables, statistics, table_passed
 from loomwright.paths import shared_dir
+from loomwright.session import fit_shuffle
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -59,7 +60,7 @@ LINE_ORDER = (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fit_shuffle(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _schema(spark: SparkSession) -> str:

@@ -20,6 +20,8 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def only_new(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key the existing table does not hold. Only its key columns are
-    read; after ``keep_last`` on the same keys the incoming side is not shuffled again."""
-    return incoming.join(existing.select(*keys), list(keys), "left_anti")
+    """Rows whose key the existing table does not hold. Only its key columns are read,
+    and made distinct before they are shuffled, so that a key it holds many times is sent
+    once per task. After ``keep_last`` on the same keys the incoming side is not shuffled
+    again."""
+    return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)

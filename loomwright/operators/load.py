@@ -35,9 +35,8 @@ def append(df: DataFrame, table: str) -> None:
 
 def append_absent(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Add the rows whose key the table does not hold; rows it holds are never changed.
-    ``df`` has one row per key."""
-    existing = df.sparkSession.table(table)
-    append(only_new(df, existing, keys).select(*existing.columns), table)
+    ``df`` has one row per key, and the columns of the table in order."""
+    append(only_new(df, df.sparkSession.table(table), keys), table)
 
 
 def replace(df: DataFrame, table: str) -> None:
@@ -46,7 +45,7 @@ def replace(df: DataFrame, table: str) -> None:
     The rows are written once, to a new folder, and the table is pointed to it when
     all are there: a load that fails on its last row leaves the old content as it
     was. Tables laid out by someone else (external, partitioned, bucketed, another
-    format) keep their folder; there the rows are written aside first, so that casts
+    format, columns of limited length) keep their folder; there the rows are written aside first, so that casts
     and guards are through before the overwrite begins."""
     spark = df.sparkSession
     files = table_files(spark, table)

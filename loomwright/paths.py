@@ -10,17 +10,20 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Marks a char(n) or varchar(n) column in the schema of a table.
+LIMITED_TEXT = "__CHAR_VARCHAR_TYPE_STRING"
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the one the cluster names in ``spark.checkpoint.dir``.
     Only a local session that names none gets a folder of its own."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="loomwright-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loomwright-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
@@ -35,14 +38,15 @@ class TableFiles:
     location: str | None
     provider: str
     managed: bool
-    plain: bool  # neither partitioned nor bucketed
+    plain: bool  # not partitioned or bucketed, and no type that only an insert enforces
 
 
 def table_files(spark: SparkSession, table: str) -> TableFiles:
     info = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").head()[0])
+    limited = any(LIMITED_TEXT in field.metadata for field in spark.table(table).schema)
     return TableFiles(
         location=info.get("location"),
         provider=str(info.get("provider", "")).lower(),
         managed=info.get("type") == "MANAGED",
-        plain=not info.get("partition_columns") and not info.get("bucket_columns"),
+        plain=not (info.get("partition_columns") or info.get("bucket_columns") or limited),
     )

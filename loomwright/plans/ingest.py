@@ -19,6 +19,7 @@ from ..operators.project import project, resolve_schema
 from ..operators.quality import Metric, check_table, row_metrics
 from ..paths import delete_dir
 from ..rules import Rule
+from ..session import fit_shuffle
 from ..sources import RawTable, source_reader
 
 PARALLEL_TABLES = 4
@@ -123,6 +124,7 @@ def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dic
     """Load ``raw`` as the mode of ``spec`` says and return the results of its rules."""
     ensure_schema(spark, spec.schema)
     target = ensure_table(spark, spec.full_name, resolve_schema(raw.columns, spec.columns), spec.description)
+    fit_shuffle(raw.rows)
     rows = prepare(raw, spec, target)
     rules = load_rules(spec)
     if spec.write_mode == REPLACE:
@@ -131,12 +133,14 @@ def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dic
     else:
         # The rules speak of the whole table, so after an append it is read again.
         if spec.primary_key:
+            fit_shuffle(spark.table(spec.full_name).select(*spec.primary_key))
             append_absent(rows, spec.full_name, spec.primary_key)
         else:
             append(rows, spec.full_name)
         results = []
     if rules:
-        results += [r.asDict() for r in check_table(spark.table(spec.full_name), spec.full_name, rules).collect()]
+        table = fit_shuffle(spark.table(spec.full_name))
+        results += [r.asDict() for r in check_table(table, spec.full_name, rules).collect()]
     return results
 
 

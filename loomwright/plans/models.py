@@ -17,7 +17,7 @@ from ..operators.project import project, resolve_schema
 from ..operators.quality import check_table
 from ..paths import delete_dir
 from ..rules import Rule, column_rule
-from ..session import setting
+from ..session import fit_shuffle, setting
 from ..sources import read_csv
 
 _REF = re.compile(r"\{\{\s*ref\(\s*['\"](\w+)['\"]\s*\)\s*\}\}")
@@ -201,7 +201,8 @@ def build_models(
                     _create_view(spark, model, relations[name], relations)
                 else:
                     load_seed(spark, seed_by_name[name], relations[name])
-                results = check_table(spark.table(relations[name]), relations[name], rules).collect() if rules else []
+                built = fit_shuffle(spark.table(relations[name]))
+                results = check_table(built, relations[name], rules).collect() if rules else []
                 failed = sum(not r["passed"] for r in results)
                 status[name] = "fail" if failed else "success"
             except Exception as e:

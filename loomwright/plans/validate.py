@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import Config, TableSpec
 from ..operators.quality import RESULT_SCHEMA, check_table, statistics
+from ..session import fit_shuffle
 
 log = logging.getLogger(__name__)
 
@@ -45,7 +46,8 @@ def _validate(spark: SparkSession, spec: TableSpec) -> Outcome:
     try:
         if not spark.catalog.tableExists(spec.full_name):
             return Outcome(spec, reason=MISSING_TABLE)
-        results = check_table(spark.table(spec.full_name), spec.full_name, spec.rules).collect()
+        table = fit_shuffle(spark.table(spec.full_name))
+        results = check_table(table, spec.full_name, spec.rules).collect()
         return Outcome(spec, tuple(results))
     except Exception as e:
         return Outcome(spec, error=str(e))

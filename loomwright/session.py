@@ -1,15 +1,41 @@
-"""Settings that hold for one statement."""
+"""Session settings."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+BYTES_PER_PARTITION = 256 << 20
+# Beyond this the bookkeeping of a shuffle costs more than larger partitions, which spill.
+MOST_PARTITIONS = 50_000
+# What the optimizer assumes of an input it knows nothing about is near the largest long.
+UNKNOWN_SIZE = 1 << 62
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files ``df`` reads, as the optimizer knows it; inputs of unknown size count as none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_SIZE)
+
+
+def fit_shuffle(df: DataFrame) -> DataFrame:
+    """Raise the number of shuffle partitions of the session to what the input of ``df``
+    needs, so that the share of one task fits in memory. It is never lowered: adaptive
+    execution merges partitions that turn out small. Returns ``df``."""
+    spark = df.sparkSession
+    wanted = min(input_bytes(df) // BYTES_PER_PARTITION + 1, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
+        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    return df
 
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Change a setting for one statement."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
