@@ -47,12 +47,12 @@ def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
     return f"{base.rstrip('/')}/{conf['key']}"
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def read_header(spark: SparkSession, path: str) -> list[str | None]:
     """The first record as it stands. ``multiLine`` reads on from the start of one file and stops there."""
     first = spark.read.options(**DIALECT, header=False, multiLine=True).csv(path).head(1)
     if not first or not any(first[0]):
         raise ValueError(f"{path} has no header")
-    return [name or "" for name in first[0]]
+    return list(first[0])
 
 
 def _odd_quotes(line: Column) -> Column:
@@ -81,7 +81,7 @@ def _text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _read_lines(spark: SparkSession, path: str, header: list[str], columns: list[str]) -> DataFrame:
+def _read_lines(spark: SparkSession, path: str, header: list[str | None], columns: list[str]) -> DataFrame:
     """Every line is a record: Spark's reader, which splits the files, skips the header of
     each and, where there are several, compares it with ours."""
     reader = spark.read.schema(_text_schema(header)).options(**DIALECT, header=True, multiLine=False)
@@ -123,34 +123,39 @@ def _splits(lines: DataFrame) -> DataFrame:
 
 
 def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """Lines put together to records, each at the position of its first line."""
+    """Lines put together to records, each at the position of its first line. Only the
+    lines of records that have several are grouped."""
     by_line = W.partitionBy(FILE, BLOCK).orderBy(LINE)
     upto = by_line.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = F.coalesce(F.sum(F.col("odd").cast("int")).over(by_line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    here = F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line"))
-    starts = (F.col("inside") + F.col("before")) % 2 == 0
+    odd_before = F.sum(F.col("odd").cast("int")).over(by_line.rowsBetween(W.unboundedPreceding, -1))
     placed = (
-        lines.withColumn("before", before)
-        .withColumn("first", (F.col(BLOCK) == 0) & (F.row_number().over(by_line) == 1))
+        lines.withColumn("odd_before", F.coalesce(odd_before, F.lit(0)))
+        .withColumn("is_header", (F.col(BLOCK) == 0) & (F.row_number().over(by_line) == 1))
         .join(splits.select(FILE, BLOCK, "inside", "opened"), [FILE, BLOCK])
-        .withColumn("record", F.coalesce(F.last(F.when(starts, here), ignorenulls=True).over(upto), "opened"))
+        .withColumn("starts", (F.col("inside") + F.col("odd_before")) % 2 == 0)
     )
+    whole = F.col("starts") & ~F.col("odd")
+
+    here = F.when(F.col("starts"), F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line")))
+    first_line = F.coalesce(F.last(here, ignorenulls=True).over(upto), "opened")
     in_order = F.array_sort(F.collect_list(F.struct(BLOCK, LINE, "value")))
-    return (
-        placed.groupBy(FILE, "record")
-        .agg(F.array_join(in_order["value"], "\n").alias("text"), F.bool_or("first").alias("is_header"))
-        .select(
-            # A line that ended in CR LF, unless the break belongs to a quoted field.
-            F.regexp_replace("text", r"\r\z", "").alias("text"),
-            "is_header",
-            FILE,
-            F.col("record.block").alias(BLOCK),
-            F.col("record.line").alias(LINE),
-        )
+    joined = (
+        placed.withColumn("first_line", first_line)
+        .where(~whole)
+        .groupBy(FILE, "first_line")
+        .agg(F.array_join(in_order["value"], "\n").alias("text"), F.bool_or("is_header").alias("is_header"))
+        .select("text", "is_header", FILE, F.col("first_line.block").alias(BLOCK), F.col("first_line.line").alias(LINE))
     )
+    alone = placed.where(whole).select(F.col("value").alias("text"), "is_header", FILE, BLOCK, LINE)
+    text = F.col("text")
+    # The line ended in CR LF. A break within quotes is never the end of a record.
+    bare = F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
+    return alone.union(joined).withColumn("text", bare)
 
 
-def _read_records(spark: SparkSession, staged: str, path: str, header: list[str], columns: list[str]) -> DataFrame:
+def _read_records(
+    spark: SparkSession, staged: str, path: str, header: list[str | None], columns: list[str]
+) -> DataFrame:
     lines = spark.read.parquet(staged)
     splits = _splits(lines)
     # Checked before any record is built: an open quote takes in the rest of its file.
@@ -158,21 +163,17 @@ def _read_records(spark: SparkSession, staged: str, path: str, header: list[str]
     if not open_ended.isEmpty():
         raise ValueError(f"{path}: unterminated quoted field")
 
-    fields = [F.col(f"fields.`{c}`") for c in columns]
     schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv("text", schema, {**DIALECT, "multiLine": "true"})
+    fields = F.from_csv("text", schema, {**DIALECT, "multiLine": "true"})
     if len(columns) == 1:
         # A blank line is a null in a table of one column, a short record in any other.
-        parsed = F.when(F.col("text") == "", F.struct(F.lit(None).cast("string").alias(columns[0]))).otherwise(parsed)
-    names = F.array(*[F.coalesce(f, F.lit("")) for f in fields])
+        fields = F.when(F.col("text") == "", F.struct(F.lit(None).cast("string").alias(columns[0]))).otherwise(fields)
+    expected = F.struct(*[F.lit(h).cast("string").alias(c) for h, c in zip(header, columns)])
     wrong = F.raise_error(F.concat(F.lit(f"{path}: a file has another header: "), "text")).cast("boolean")
-    is_data = F.when(~F.col("is_header"), True).when(names == F.array(*map(F.lit, header)), False).otherwise(wrong)
-    return (
-        _records(lines, splits)
-        .withColumn("fields", parsed)
-        .where(is_data)
-        .select(*fields, FILE, BLOCK, LINE)
-    )
+    is_data = F.when(~F.col("is_header"), True).when(fields.eqNullSafe(expected), False).otherwise(wrong)
+    # `inline` rather than a struct column: as a generator the parser stays out of the generated
+    # code for the casts, which is otherwise too long a method for the JVM to compile.
+    return _records(lines, splits).where(is_data).select(F.inline(F.array(fields)), FILE, BLOCK, LINE)
 
 
 def read_csv(
@@ -184,10 +185,10 @@ def read_csv(
     breaks. Left out, one pass over the lines finds out; saying no saves that pass."""
     path = source_path(conf, base_path)
     header = read_header(spark, path)
-    columns = normalise_all(header)
+    columns = normalise_all(name or "" for name in header)
     if multi_line is None:
         multi_line = conf.get("multi_line")
-    if "" in header:
+    if not all(header):
         # Spark's comparison of headers does not take a column without a name.
         multi_line = True
     staged: tuple[str, ...] = ()

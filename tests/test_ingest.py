@@ -82,6 +82,7 @@ def test_every_type(spark, tmp_path, schema):
         ("int", '""'),
         ("int", "3000000000"),
         ("float", "12d"),
+        ("float", "1.5F "),
         ("float", "0x1p3"),
         ("decimal", "1e15"),
         ("date", "2017"),
@@ -104,6 +105,12 @@ def test_bad_values_fail_without_ansi_mode_too(spark, tmp_path, schema):
         load(spark, tmp_path, "a\n1.5\n", spec(schema, columns=cols(a="int")))
 
 
+def test_special_numbers(spark, tmp_path, schema):
+    s = spec(schema, columns=cols(f="float"))
+    load(spark, tmp_path, "f\ninf\n-Infinity\nNaN\n1e3\n 2.5 \n", s)
+    assert sorted(str(r.f) for r in spark.table(s.full_name).collect()) == ["-inf", "1000.0", "2.5", "inf", "nan"]
+
+
 def test_boolean_words(spark, tmp_path, schema):
     s = spec(schema, columns=cols(b="boolean"))
     words = "t tr true y ye yes on 1 ON f fa false n no of off 0".split()
