@@ -2,7 +2,7 @@
 
 from .config import ColumnSpec, Config, TableSpec, load_config, parse_config
 from .plans.ingest import IngestResult, QualityError, ingest_all, ingest_table, results_frame
-from .plans.models import Model, Seed, build_models, mart_checkpoint, order_models, parse_tests
+from .plans.models import Model, Seed, build_models, mart_checkpoint, order_models, parse_tests, read_models, read_seeds
 from .plans.sweep import EmptyTablesError, sweep_row_counts
 from .plans.validate import validate_tables
 from .rules import Rule, column_rule, parse_rules, table_rule, unique
@@ -27,6 +27,8 @@ __all__ = [
     "parse_config",
     "parse_rules",
     "parse_tests",
+    "read_models",
+    "read_seeds",
     "results_frame",
     "sweep_row_counts",
     "table_rule",

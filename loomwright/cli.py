@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .config import load_config
 from .plans.ingest import ingest_all, results_frame
+from .plans.models import build_models, read_models, read_seeds
 from .plans.sweep import sweep_row_counts
 from .plans.validate import validate_tables
 
@@ -29,6 +30,11 @@ def _parser() -> argparse.ArgumentParser:
     validate.add_argument("--output", help="folder for the findings as JSON")
     validate.add_argument("--upload", help="folder for a copy; failing to write it is only a warning")
 
+    build = jobs.add_parser("build", help="load seeds, create the views of a folder of models, and test them")
+    build.add_argument("--models", required=True, help="folder of SQL models")
+    build.add_argument("--seeds", help="folder of CSV files")
+    build.add_argument("--schema", required=True)
+
     sweep = jobs.add_parser("sweep", help="check that every table of a schema has rows")
     sweep.add_argument("schema")
     sweep.add_argument("--allow-no-tables", action="store_true")
@@ -44,7 +50,7 @@ def _print(rows: DataFrame) -> None:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     """0 if everything passed (or nothing was selected), 1 if not."""
     args = _parser().parse_args(argv)
-    config = None if args.job == "sweep" else load_config(args.config)
+    config = load_config(args.config) if args.job in ("ingest", "validate") else None
     if config and not config.select(args.only, args.source_id):
         print("No tables selected.")
         return 0
@@ -57,6 +63,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         summary = validate_tables(spark, config, args.only, args.source_id, args.output, args.upload)
         _print(summary)
         return int(not summary.where("NOT success").isEmpty())
+    if args.job == "build":
+        nodes = build_models(spark, read_models(args.models), read_seeds(args.seeds) if args.seeds else (), args.schema)
+        _print(nodes)
+        return int(not nodes.where("status <> 'success'").isEmpty())
     found = sweep_row_counts(spark, args.schema, not args.allow_no_tables, args.include_views, on_failure="warn")
     _print(found)
     return int(not found.where("NOT passed").isEmpty())

@@ -21,6 +21,7 @@ from .rules import Rule, parse_rules
 APPEND, REPLACE = "append", "truncate-insert"
 WRITE_MODES = (APPEND, REPLACE)
 
+# What applies where a configuration is silent.
 DEFAULT_SCHEMA = "olist"
 DEFAULT_SOURCE_TYPE = "s3_csv"
 

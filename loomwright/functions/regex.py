@@ -47,7 +47,7 @@ def to_java(pattern: str) -> str:
     letter classes are Unicode, and brackets hold plain characters only."""
     if _UNSUPPORTED.search(pattern):
         raise ValueError(f"pattern {pattern!r} uses POSIX syntax that has no counterpart")
-    unicode_classes = re.search(r"\[:|\\[wWsS]", pattern) is not None
+    unicode_classes = re.search(r"\[:(?!x?digit:)|\\[wWsS]", pattern) is not None
 
     def token(m: re.Match[str]) -> str:
         if m["bracket"]:

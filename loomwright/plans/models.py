@@ -6,12 +6,13 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..config import ColumnSpec
+from ..config import ColumnSpec, read_yaml
 from ..operators.load import ensure_schema, ensure_table, replace
 from ..operators.project import project, resolve_schema
 from ..operators.quality import check_table
@@ -80,6 +81,29 @@ def parse_tests(root: Mapping[str, Any]) -> dict[str, tuple[Rule, ...]]:
     return found
 
 
+def read_models(folder: str) -> list[Model]:
+    """Models of a folder: ``<name>.sql``, in a subfolder that names the suffix of their schema,
+    with tests in the ``.yml`` files next to them."""
+    root = Path(folder)
+    tests: dict[str, tuple[Rule, ...]] = {}
+    for path in sorted([*root.rglob("*.yml"), *root.rglob("*.yaml")]):
+        tests |= parse_tests(read_yaml(path.read_text(encoding="utf-8-sig")) or {})
+    return [
+        Model(
+            path.stem,
+            path.read_text(encoding="utf-8-sig").strip().rstrip(";"),
+            tests.get(path.stem, ()),
+            path.parent.name if path.parent != root else None,
+        )
+        for path in sorted(root.rglob("*.sql"))
+    ]
+
+
+def read_seeds(folder: str) -> list[Seed]:
+    """A seed per CSV file. Their columns are text, which the models cast."""
+    return [Seed(path.stem, str(path)) for path in sorted(Path(folder).glob("*.csv"))]
+
+
 def staging_sql(source: str, key: str, status: str, at: str) -> str:
     """The staging model over any table of orders: key and time cast, status as it is."""
     return (
