@@ -4,7 +4,7 @@ from .config import ColumnSpec, Config, TableSpec, load_config, parse_config
 from .plans.ingest import IngestResult, QualityError, ingest_all, ingest_table, results_frame
 from .plans.models import Model, Seed, build_models, mart_checkpoint, order_models, parse_tests, read_models, read_seeds
 from .plans.sweep import EmptyTablesError, sweep_row_counts
-from .plans.validate import validate_tables
+from .plans.validate import ValidationError, validate_tables
 from .rules import Rule, column_rule, parse_rules, table_rule, unique
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "Rule",
     "Seed",
     "TableSpec",
+    "ValidationError",
     "build_models",
     "column_rule",
     "ingest_all",

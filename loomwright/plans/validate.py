@@ -34,6 +34,10 @@ _OUTCOME_SCHEMA = T.StructType(
 )
 
 
+class ValidationError(AssertionError):
+    pass
+
+
 @dataclass(frozen=True)
 class Outcome:
     spec: TableSpec
@@ -105,12 +109,16 @@ def validate_tables(
     output_dir: str | None = None,
     upload_dir: str | None = None,
     parallel: int = PARALLEL_TABLES,
+    on_failure: str = "warn",
 ) -> DataFrame:
     """One row per selected table: ``table, success, evaluated, successful, unsuccessful,
-    reason, error``.
+    reason, error``. With ``on_failure="raise"`` tables that failed are an error, after the
+    findings are written.
 
     ``output_dir`` receives the findings as JSON. ``upload_dir`` receives a copy; if that
     fails the run goes on with a warning."""
+    if on_failure not in ("raise", "warn"):
+        raise ValueError("on_failure is 'raise' or 'warn'")
     specs = config.select(list(only) if only else None, source_id)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcomes = list(pool.map(inheritable_thread_target(spark)(lambda s: _validate(spark, s)), specs))
@@ -125,4 +133,8 @@ def validate_tables(
             write_documents(documents, upload_dir)
         except Exception as e:
             log.warning("could not write the validation results to %s: %s", upload_dir, e)
+    if on_failure == "raise":
+        failed = sorted(row["table"] for row in summary.where("NOT success").collect())
+        if failed:
+            raise ValidationError(f"validation failed for {', '.join(failed)}")
     return summary

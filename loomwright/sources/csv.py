@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.identifiers import normalise_all
 from ..paths import shared_dir
+from ..session import fit_shuffle
 
 # `nullValue` is a character no text file holds: only then does Spark keep an empty
 # field (null) apart from a quoted empty one.
@@ -156,7 +157,7 @@ def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
 def _read_records(
     spark: SparkSession, staged: str, path: str, header: list[str | None], columns: list[str]
 ) -> DataFrame:
-    lines = spark.read.parquet(staged)
+    lines = fit_shuffle(spark.read.parquet(staged))
     splits = _splits(lines)
     # Checked before any record is built: an open quote takes in the rest of its file.
     open_ended = splits.groupBy(FILE).agg((F.sum("odd") % 2).alias("odd")).where("odd = 1")

@@ -366,3 +366,31 @@ def test_plan_of_a_keyed_append(spark, tmp_path, schema):
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Partial" in plan and "WindowGroupLimit" in plan
     assert "ReadSchema: struct<k:bigint>" in plan
+
+
+def test_new_keys_against_a_table_with_repeated_keys(spark):
+    from loomwright.operators.dedup import only_new
+
+    existing = spark.range(30000).selectExpr("if(id % 3 = 0, 7, id) as k", "'old' as v")
+    incoming = spark.createDataFrame([("x", 7), ("y", -1), ("z", 1)], "v string, k bigint")
+    got = only_new(incoming, existing, ["k"])
+    assert got.columns == ["v", "k"] and [tuple(r) for r in got.collect()] == [("y", -1)]
+
+
+def test_counts_are_taken_in_the_stage_that_writes(spark, tmp_path):
+    """Nothing is shuffled after the counts, so their tasks are the result tasks of the write."""
+    from pyspark.sql import Observation
+
+    from loomwright.operators.project import resolve_schema
+    from loomwright.operators.quality import row_metrics
+    from loomwright.plans.ingest import prepare
+    from loomwright.sources import read_csv
+
+    (tmp_path / "t.csv").write_text("k,a\n1,x\n")
+    s = spec("default", primary_key=("k",))
+    raw = read_csv(spark, s.source_conf, base_path=str(tmp_path))
+    rows = prepare(raw, s, resolve_schema(raw.columns, ()))
+    metrics = row_metrics([column_rule("not_null", "a")], rows.schema)
+    observed = rows.observe(Observation(), metrics[0].value.alias("m0"))
+    plan = observed._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Window") < plan.index("Exchange")

@@ -6,6 +6,7 @@ from loomwright import (
     EmptyTablesError,
     Model,
     Seed,
+    ValidationError,
     build_models,
     mart_checkpoint,
     order_models,
@@ -208,6 +209,9 @@ def test_validation_of_some_tables(spark, schema):
     fill(spark, schema)
     assert [r.table for r in validate_tables(spark, shop(schema), only=["good"]).collect()] == [f"{schema}.good"]
     assert validate_tables(spark, shop(schema), source_id="other").count() == 0
+    assert validate_tables(spark, shop(schema), only=["good", "free"], on_failure="raise").count() == 2
+    with pytest.raises(ValidationError, match=f"{schema}.absent, {schema}.bad"):
+        validate_tables(spark, shop(schema), only=["good", "bad", "absent"], on_failure="raise")
 
 
 def test_command_line(spark, tmp_path, schema, capsys):
