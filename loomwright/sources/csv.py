@@ -44,7 +44,9 @@ class RawTable:
 
 def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
     """``base_path/key``, or the key of the bucket in the object store."""
-    base = base_path if base_path else f"s3a://{conf['bucket']}"
+    if not conf.get("key") or not (base_path or conf.get("bucket")):
+        raise ValueError("a source needs a key, and a bucket unless a base path stands in for it")
+    base = base_path or f"s3a://{conf['bucket']}"
     return f"{base.rstrip('/')}/{conf['key']}"
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from loomwright.sources import source_reader
-from loomwright.sources.csv import read_csv
+from loomwright.sources.csv import read_csv, source_path
 
 
 def write(tmp_path, content, name="t.csv"):
@@ -125,6 +125,14 @@ def test_several_files_have_one_header_each(spark, tmp_path, multi_line):
         rows(spark, tmp_path, conf, multi_line=multi_line)
 
 
+def test_paths():
+    assert source_path({"bucket": "b", "key": "d/t.csv"}) == "s3a://b/d/t.csv"
+    assert source_path({"key": "t.csv"}, "/data/") == "/data/t.csv"
+    for conf in ({"key": "t.csv"}, {"bucket": "b"}):
+        with pytest.raises(ValueError, match="needs a key"):
+            source_path(conf)
+
+
 def test_unknown_source_type():
     with pytest.raises(ValueError, match="unsupported source type"):
         source_reader("ftp")
