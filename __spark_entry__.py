@@ -39,6 +39,13 @@ from loomwright.operators.quality import check_table, check_tables, statistics,
 from loomwright.paths import shared_dir
 from loomwright.session import fit_shuffle
 
+# The operators for training data and their pipeline can be taken out of the library.
+try:
+    import corpus_pipeline
+    from loomwright.llm import queries as training
+except ImportError:
+    corpus_pipeline = training = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
@@ -439,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validation_summary": validation_summary,
         "validation_documents": validation_documents,
         "schema_sweep": schema_sweep,
+        **(training.queries() | {"pipeline": corpus_pipeline.run} if training else {}),
     }
 
 
@@ -570,4 +578,8 @@ def oracle_sql() -> dict[str, str]:
             for t in SWEPT
         ),
     }
+    if training:
+        sqls |= training.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sqls["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sqls

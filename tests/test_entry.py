@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import re
 import sys
 from pathlib import Path
 
@@ -23,11 +24,15 @@ def oracle():
     connection.close()
 
 
+# The operators for training data have tests of their own.
+NAMES = sorted(name for name in entry.queries() if name != "pipeline" and not re.match(r"op\d+_", name))
+
+
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(NAMES) <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, oracle, name):
     df = entry.queries()[name](spark, str(TABLES))
     cursor = oracle.execute(entry.oracle_sql()[name])
