@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import packing, tokenfile, warc
+from . import language, packing, repetition, tokenfile, warc
 from .common import read_table
 
 
@@ -20,6 +20,23 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests, capacity=2048)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    # A document without an id has no remainder, and is neither learned from nor held out.
+    model = language.train(documents.where(~language.held_out()))
+    held_out = F.coalesce(language.held_out(), F.lit(False))
+    return language.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = repetition.measure_repetition(read_table(spark, sf_dir, "documents"))
+    return measured.select(
+        *("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        repetition.base_failed().alias("base_failed"),
+        (~repetition.base_failed() & repetition.repetition_passed()).alias("kept"),
+    )
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(warc.archive(read_table(spark, sf_dir, "pages")))
     return records.where("last").select(
@@ -37,7 +54,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op9_warc, op10_token_files]
+    named = [op1_best_fit_packing, op3_language_id, op7_quality_rules, op9_warc, op10_token_files]
     return {query.__name__: query for query in named}
 
 
