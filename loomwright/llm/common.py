@@ -36,8 +36,12 @@ def row_key(text: str = "text") -> list[Column]:
     return [F.col("doc_id").alias(ROW_ID), F.xxhash64(F.col(text)).alias(ROW_TEXT)]
 
 
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    return left[ROW_ID].eqNullSafe(right[ROW_ID]) & (left[ROW_TEXT] == right[ROW_TEXT])
+def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join tables of documents on the key of ``row_key``; a null id is an id like others."""
+    names = {ROW_ID: "__right_doc", ROW_TEXT: "__right_text"}
+    right = right.withColumnsRenamed(names)
+    same = F.col(ROW_ID).eqNullSafe(F.col(names[ROW_ID])) & (F.col(ROW_TEXT) == F.col(names[ROW_TEXT]))
+    return left.join(right, same, how).drop(*names.values())
 
 
 def in_batches(batches: Iterable[pa.RecordBatch], size: int, text: int = 1) -> Iterator[pa.RecordBatch]:
