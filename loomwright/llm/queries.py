@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import contamination, language, packing, repetition, tokenfile, warc
+from . import contamination, language, neardup, packing, repetition, tokenfile, warc
 from .common import read_table
 
 
@@ -28,6 +28,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(read_table(spark, sf_dir, "documents"), words=2, similarity=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return contamination.contamination(documents, benchmark).select(
@@ -63,7 +68,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op3_language_id, op5_decontamination, op7_quality_rules, op9_warc, op10_token_files]
+    named = [op1_best_fit_packing, op3_language_id, op4_near_duplicates, op5_decontamination, op7_quality_rules, op9_warc, op10_token_files]
     return {query.__name__: query for query in named}
 
 
