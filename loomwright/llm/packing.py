@@ -32,7 +32,7 @@ from .tokens import ID_BYTES, encoder
 LARGE = 3  # a length is large if it exceeds the capacity divided by this
 GROUPS = 128  # sizes that the large lengths are rounded up to
 CLOSE = 1e-3  # how near to the best the linear program is solved
-BLOCK_ROWS = 50_000  # pieces of one length that one task ranks
+BLOCK_ROWS = 1000  # pieces of one length that one task ranks
 
 
 # --- pieces -----------------------------------------------------------------------------
@@ -266,17 +266,21 @@ def places(bins: list[Bins]) -> pd.DataFrame:
 # --- placing ----------------------------------------------------------------------------
 
 
-def _ranks(pieces: DataFrame, length: str, blocks: int) -> DataFrame:
+def _ranks(pieces: DataFrame, length: str, counts: dict[int, int]) -> DataFrame:
     """Add ``__rank``, counted from 0 among the pieces of a length: within blocks that a
     hash deals out, plus what the blocks before hold."""
-    mark = F.xxhash64(*[F.col(c) for c in pieces.columns])
-    marked = pieces.withColumn("__mark", mark).withColumn("__block", F.pmod("__mark", F.lit(blocks)))
-    sizes = marked.groupBy(length, "__block").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(length).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(length, "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy(length, "__block").orderBy("__mark", *[c for c in pieces.columns if c != length])
+    # A row for each length, so as many as the capacity at most.
+    split = pieces.sparkSession.createDataFrame(
+        [(n, c // BLOCK_ROWS + 1) for n, c in counts.items()], "__length long, __blocks long"
+    )
+    marked = pieces.withColumn("__mark", F.xxhash64(*pieces.columns)).withColumn("__length", F.col(length).cast("long"))
+    marked = marked.join(F.broadcast(split), "__length").withColumn("__block", F.pmod("__mark", "__blocks"))
+    sizes = marked.groupBy("__length", "__block").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__length").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__length", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("__length", "__block").orderBy("__mark", *pieces.columns)
     ranked = marked.withColumn("__row", F.row_number().over(within) - 1)
-    return ranked.join(starts, [length, "__block"]).withColumn("__rank", F.col("__row") + F.col("__before"))
+    return ranked.join(starts, ["__length", "__block"]).withColumn("__rank", F.col("__row") + F.col("__before"))
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", groups: int = GROUPS) -> DataFrame:
@@ -294,7 +298,6 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", groups
     if any(n is None or not 0 < n <= capacity for n in counts):
         raise ValueError(f"pieces need a length of 1 to {capacity}")
     table = places(plan(counts, capacity, groups)) if counts else places([])
-    blocks = max(counts.values(), default=0) // BLOCK_ROWS + 1
     # Capacity bounds the lengths, and lengths bound the places: no row per piece.
     shared = pieces.sparkSession.sparkContext.broadcast({c: table[c].to_numpy() for c in table})
 
@@ -308,7 +311,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", groups
         copies = t["copies"][at]
         return pd.DataFrame({"sequence_id": t["sequence"][at] + nth // copies, "offset": t["offset"][at] + nth % copies * size})
 
-    ranked = _ranks(pieces, length, blocks)
+    ranked = _ranks(pieces, length, counts)
     placed = ranked.withColumn("__place", place(F.col(length).cast("long"), F.col("__rank").cast("long")))
     return placed.select(*pieces.columns, "__place.sequence_id", "__place.offset")
 
