@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 
@@ -75,6 +76,17 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        # Hundreds of thousands of words live here for a moment and none of them refers to
+        # another, so looking for cycles only takes time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         parts = [text.split(" ") for text in texts]
         self._learn(set().union(*parts))
         # No space stands in front of the first word.
