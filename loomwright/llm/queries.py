@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import contamination, language, neardup, packing, repetition, tokenfile, warc
+from . import contamination, language, linededup, neardup, packing, repetition, tokenfile, warc
 from .common import read_table
 
 
@@ -42,6 +42,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.remove_repeated_chunks(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_words")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = repetition.measure_repetition(read_table(spark, sf_dir, "documents"))
     return measured.select(
@@ -68,7 +73,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op3_language_id, op4_near_duplicates, op5_decontamination, op7_quality_rules, op9_warc, op10_token_files]
+    named = [op1_best_fit_packing, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op9_warc, op10_token_files]
     return {query.__name__: query for query in named}
 
 
