@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import contamination, language, linededup, neardup, packing, repetition, tokenfile, warc
+from . import contamination, extraction, language, linededup, neardup, packing, repetition, tokenfile, warc
 from .common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests, capacity=2048)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     # A document without an id has no remainder, and is neither learned from nor held out.
@@ -73,7 +77,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op9_warc, op10_token_files]
+    named = [op1_best_fit_packing, op2_html_extraction, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op9_warc, op10_token_files]
     return {query.__name__: query for query in named}
 
 
