@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import contamination, extraction, language, linededup, neardup, packing, repetition, tokenfile, warc
+from . import contamination, extraction, language, linededup, neardup, packing, repetition, tokenfile, toxicity, warc
 from .common import read_table
 
 
@@ -60,6 +60,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.predict(documents, toxicity.train(toxicity.labelled_texts(documents, labels)))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(warc.archive(read_table(spark, sf_dir, "pages")))
     return records.where("last").select(
@@ -77,7 +82,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op2_html_extraction, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op9_warc, op10_token_files]
+    named = [op1_best_fit_packing, op2_html_extraction, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op8_toxicity, op9_warc, op10_token_files]
     return {query.__name__: query for query in named}
 
 
