@@ -25,12 +25,13 @@ from .common import map_batches, texts_of
 MOST_LABELLED = 20_000  # labelled texts that training reads, near enough
 LEAST_TEXTS = 5  # toxic texts that a feature needs
 MOST_CANDIDATES = 50_000  # features that are counted among the clean texts
-LEAST_ODDS = 2.0  # log odds of a feature between toxic and clean texts
+LEAST_ODDS = 1.5  # log odds of a feature between toxic and clean texts
 MARK_ODDS, MARK_SHARE = 3.0, 0.01  # and of one that marks a word, with its share of the toxic texts
-GRADES = (0.02, 0.1)  # part of the words that is marked, from grade 1 to 2 and from 2 to 3
-STARTS = (3, 4, 5, 6)  # letters at the beginning of a word
-PENALTY, STEPS, RATE = 1e-4, 400, 0.1
-TOXIC = 0.5
+GRADES = (0.01, 0.04)  # part of the words that is marked, from grade 1 to 2 and from 2 to 3
+STARTS = (4, 5, 6, 7, 8, 9)  # letters at the beginning of a word
+PENALTY, STEPS, RATE = 1e-3, 1500, 0.05
+TIMES = (2, 3, 5)  # each of these counts of a feature is a feature of its own
+TOXIC = 0.3  # chance of grade 1 or more from which a text is called toxic
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -64,9 +65,14 @@ def count_features(text: str, words: Words) -> tuple[Counter, int]:
     return found, sum(own.values())
 
 
-def values(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The value of a feature: that it is there at all, and how dense it is."""
-    return 0.5 + np.log10(1 + 1000 * counts / np.maximum(size, 1))
+def expand(rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, size: np.ndarray, features: int) -> tuple[np.ndarray, ...]:
+    """Rows, columns and values of the sparse features: that a feature is there and how dense
+    it is, and whether it is there several times."""
+    out = [(rows, columns, 0.5 + np.log10(1 + 1000 * counts / np.maximum(size, 1)))]
+    for k, times in enumerate(TIMES, 1):
+        often = counts >= times
+        out.append((rows[often], columns[often] + k * features, np.ones(int(often.sum()))))
+    return tuple(np.concatenate(part) for part in zip(*out, strict=True))
 
 
 @dataclass
@@ -143,10 +149,15 @@ def _counted(rows: DataFrame, known: dict[str, int], schema: str) -> DataFrame:
 
 
 def _all_features(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    """Features of texts, with the number of texts and a sum that stands for which ones."""
     found: Counter = Counter()
-    for text in texts_of(batch.column(0)):
-        found.update({f for word in set(_WORD.findall(text.lower())) for f in features_of(word)})
-    return {"feature": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())}
+    texts: Counter = Counter()
+    for text, mark in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+        own = {f for word in set(_WORD.findall(text.lower())) for f in features_of(word)}
+        found.update(own)
+        texts.update(dict.fromkeys(own, mark))
+    columns = {"feature": list(found), "n": list(found.values()), "texts": [texts[f] for f in found]}
+    return {name: pa.array(c, pa.string() if name == "feature" else pa.int64()) for name, c in columns.items()}
 
 
 def train(rows: DataFrame) -> Ordinal:
@@ -154,8 +165,10 @@ def train(rows: DataFrame) -> Ordinal:
     features of the toxic texts that ``LEAST_TEXTS`` of them share, and the sparse rows."""
     rows = rows.dropDuplicates(["text"])
     toxic = rows.where("grade > 0")
-    seen = map_batches(toxic.select("text"), _all_features, "feature string, n long", text=0).groupBy("feature").agg(F.sum("n").alias("n"))
-    often = seen.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "feature").limit(MOST_CANDIDATES).collect()
+    marked = toxic.select("text", F.shiftrightunsigned(F.xxhash64("text"), 24).alias("mark"))
+    seen = map_batches(marked, _all_features, "feature string, n long, texts long", text=0)
+    seen = seen.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+    often = seen.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), F.length("feature"), "feature").limit(MOST_CANDIDATES).collect()
     candidates = {row[0]: i for i, row in enumerate(often)}
     schema = "grade int, features array<int>, counts array<int>, size long"
     clean = _counted(rows.where("grade = 0"), candidates, schema)
@@ -166,7 +179,11 @@ def train(rows: DataFrame) -> Ordinal:
     sizes = {row[0]: row[1] for row in rows.groupBy((F.col("grade") > 0).alias("toxic")).count().collect()}
     some, none = sizes.get(True, 0), sizes.get(False, 0)
     odds = np.log((in_toxic + 0.5) / (some + 1)) - np.log((in_clean + 0.5) / (none + 1))
-    chosen = np.flatnonzero(odds >= LEAST_ODDS)
+    # Of features that the same texts have, the shortest stands for all.
+    alike: dict[tuple, int] = {}
+    for i in np.flatnonzero(odds >= LEAST_ODDS).tolist():
+        alike.setdefault((often[i][2], in_clean[i]), i)
+    chosen = np.array(sorted(alike.values()), int)
     features = {often[i][0]: k for k, i in enumerate(chosen)}
     if not features:
         return Ordinal({}, np.zeros(0), np.array([np.log((none + 1) / (some + 1))]))
@@ -183,7 +200,8 @@ def train(rows: DataFrame) -> Ordinal:
         most = np.zeros(len(table))
         np.maximum.at(most, index, np.where(marks[columns], counts, 0))
         grades = grades * (1 + np.digitize(most / np.maximum(size, 1), GRADES))
-    weights, thresholds = fit(index, columns, values(counts, size[index]), grades, len(features))
+    table = expand(index, columns, counts, size[index], len(features))
+    weights, thresholds = fit(*table, grades, len(features) * (1 + len(TIMES)))
     return Ordinal(features, weights, thresholds)
 
 
@@ -196,12 +214,16 @@ def predict(docs: DataFrame, model: Ordinal) -> DataFrame:
         own = shared.value
         words = _words(own.features)
         texts = texts_of(batch.column(1))
-        score = np.zeros(len(texts))
+        rows, columns, counts, sizes = [], [], [], []
         for i, text in enumerate(texts):
             found, size = count_features(text, words)
-            if found:
-                counts = np.fromiter(found.values(), float, len(found))
-                score[i] = own.weights[list(found)] @ values(counts, np.full(len(found), size))
+            rows += [i] * len(found)
+            columns += found
+            counts += found.values()
+            sizes += [size] * len(found)
+        sparse = [np.asarray(c, np.int64) for c in (rows, columns, counts, sizes)]
+        index, column, value = expand(*sparse, len(own.features))
+        score = np.bincount(index, value * own.weights[column], len(texts))
         chances = own.chances(score)
         exact = -np.diff(np.hstack([np.ones((len(texts), 1)), chances, np.zeros((len(texts), 1))]), axis=1)
         return {
