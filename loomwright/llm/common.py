@@ -44,6 +44,14 @@ def join_rows(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, same, how).drop(*names.values())
 
 
+def keep_rows(docs: DataFrame, decisions: DataFrame, once: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose key is among ``decisions``, with all their columns. ``once``
+    keeps one of the rows that repeat a document."""
+    kept = join_rows(docs.select("*", *row_key()), decisions.select(ROW_ID, ROW_TEXT), "left_semi")
+    kept = kept.dropDuplicates([ROW_ID, ROW_TEXT]) if once else kept
+    return kept.drop(ROW_ID, ROW_TEXT)
+
+
 def in_batches(batches: Iterable[pa.RecordBatch], size: int, text: int = 1) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the text in one stays near ``size`` bytes; one text may exceed it."""
     for batch in batches:

@@ -10,15 +10,15 @@ language with the most n-grams, after those are taken off that the filter claims
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, map_batches, mix, texts_of
+from .common import in_batches, mix, texts_of
 
 SIZES = (3, 5)  # bytes of an n-gram
 TRAIN_DOCS = 4000  # whole texts of each language, near enough, that training reads
@@ -157,26 +157,35 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     return Filter.build(languages, found["gram"].to_numpy("int64").astype(np.uint64), members)
 
 
-def predict(docs: DataFrame, model: Filter, text: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` for each row. The score is the share of the text's n-grams
-    that the language has. Null texts and texts without a letter are ``und`` with score 0, as
-    are all texts if nothing was learned; ties go to the first language by name."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def predicted(model: Filter, spark: SparkSession) -> Callable[[str], Column]:
+    """A function of a text column: a struct of ``lang_pred`` and ``score``."""
+    shared = spark.sparkContext.broadcast(model)
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    def guess(texts: list[str]) -> list[dict]:
         filter_ = shared.value
-        texts = texts_of(batch.column(1))
-        known = np.fromiter(map(_has_letter, texts), bool, len(texts))
-        if filter_.languages:
-            scores = filter_.scores([prepared(t) if k else b"" for t, k in zip(texts, known, strict=True)])
-            best = scores.argmax(axis=1)
-            score = np.where(known, scores[np.arange(len(texts)), best], 0.0)
-            names = [filter_.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        else:
-            names, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        return {"doc_id": batch.column(0), "lang_pred": pa.array(names, pa.string()), "score": pa.array(score)}
-
-    return map_batches(docs.select(F.col("doc_id").cast("long"), text), run, "doc_id long, lang_pred string, score double")
+        known = list(map(_has_letter, texts))
+        if not filter_.languages:
+            return [{"lang_pred": UNKNOWN, "score": 0.0}] * len(texts)
+        scores = filter_.scores([prepared(t) if k else b"" for t, k in zip(texts, known, strict=True)])
+        best = zip(scores.argmax(axis=1).tolist(), scores.max(axis=1).tolist(), known, strict=True)
+        return [{"lang_pred": filter_.languages[b] if k else UNKNOWN, "score": s if k else 0.0} for b, s, k in best]
+
+    @F.arrow_udf("lang_pred string, score double")
+    def run(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        return pa.array([row for part in in_batches([batch], 4 << 20, text=0) for row in guess(texts_of(part.column(0)))], kind)
+
+    return run
+
+
+def predict(docs: DataFrame, model: Filter) -> DataFrame:
+    """``docs`` with the columns ``lang_pred`` and ``score``, which replace columns with these
+    names. The score is the share of the text's n-grams that the language has. Null texts and
+    texts without a letter are ``und`` with score 0, as are all texts if nothing was learned;
+    ties go to the first language by name."""
+    marked = docs.withColumn("__guess", predicted(model, docs.sparkSession)("text"))
+    return marked.withColumns({c: F.col(f"__guess.{c}") for c in ("lang_pred", "score")}).drop("__guess")
 
 
 def held_out() -> Column:

@@ -29,7 +29,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A document without an id has no remainder, and is neither learned from nor held out.
     model = language.train(documents.where(~language.held_out()))
     held_out = F.coalesce(language.held_out(), F.lit(False))
-    return language.predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return language.predict(documents, model).select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
