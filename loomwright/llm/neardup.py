@@ -9,8 +9,9 @@ similarity of the sets, as with MinHash, but a sketch takes few passes over the
 Equal sets are one node from the start. Nodes that agree in a band are candidates. In a band
 everybody is first compared with one node only, the one that most others agree with, and
 linked nodes become one component. What is left are pairs of a band in different components;
-these are all compared, unless size or sketch rule the pair out. Links are confirmed on the
-full sets, and pairs within a component need no confirmation.
+these are all compared, unless their sizes, their sketches or the ways in which they differ
+from the node they were compared with rule the pair out. Links are confirmed on the full
+sets, and pairs within a component need no confirmation.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SIMILARITY = 80  # percent
 # Bits of each coordinate that a sketch is stored with, to rule pairs out. With 200
 # coordinates, a pair that is similar enough seems less than this by chance once in 10^9.
 RULE_OUT = 0.61
+WORDS_OF_BITS = 4  # of 64 bits, for what a set differs in from its pivot
 
 
 class _Hashes(dict):
@@ -174,6 +176,42 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_similar(similarity)).select("a", "b")
 
 
+def deltas(pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each node with its ``pivot``: ``delta``, the shingles that one of the two sets has
+    and the other has not; ``shared``, how many of them some other node differs in from the
+    same pivot; those as a bitmap in ``bits``, and how many of them found their bit taken."""
+    own = pivots.join(sets.withColumnRenamed("shingles", "left"), "node")
+    both = own.join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("right")), "pivot")
+    both = both.select(
+        *("node", F.xxhash64("node").alias("owner"), F.xxhash64("pivot").alias("around")),
+        F.concat(F.array_except("left", "right"), F.array_except("right", "left")).alias("differs"),
+    )
+    both = staged(both, "deltas")
+    rows = both.select("owner", "around", F.explode("differs").alias("shingle"))
+    again = rows.groupBy("around", "shingle").agg(F.count("*").alias("nodes")).where("nodes > 1").drop("nodes")
+    place = F.pmod(F.xxhash64("shingle"), F.lit(64 * WORDS_OF_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    bits = [F.coalesce(F.bit_or(F.when(F.floor(place / 64) == k, bit)), F.lit(0).cast("long")) for k in range(WORDS_OF_BITS)]
+    shared = rows.join(again, ["around", "shingle"]).groupBy("owner")
+    shared = shared.agg(F.count("*").alias("shared"), *[b.alias(f"bits_{k}") for k, b in enumerate(bits)])
+    sized = both.select("node", "owner", "around", F.size("differs").alias("delta")).join(shared, "owner", "left").na.fill(0).drop("owner")
+    taken = F.col("shared") - sum((F.bit_count(f"bits_{k}") for k in range(WORDS_OF_BITS)), F.lit(0))
+    return sized.withColumn("taken", taken)
+
+
+def _possible(similarity: int) -> Column:
+    """Whether a pair can be similar enough. Around one pivot, sets differ in all that they
+    differ in from it, but for what they differ in alike: no more than the common bits and
+    those that found theirs taken. Otherwise only the sizes tell."""
+    sizes = F.col("n_shingles") + F.col("other_n_shingles")
+    common = sum((F.bit_count(F.col(f"bits_{k}").bitwiseAND(F.col(f"other_bits_{k}"))) for k in range(WORDS_OF_BITS)), F.lit(0))
+    alike = F.least("shared", "other_shared", common + F.least("taken", "other_taken"))
+    differ = F.when(F.col("around") == F.col("other_around"), F.col("delta") + F.col("other_delta") - 2 * alike)
+    differ = F.greatest(F.coalesce(differ, F.lit(0)), F.abs(F.col("n_shingles") - F.col("other_n_shingles")))
+    # Of two sets, intersection and union are what their sizes and difference make them.
+    return 100 * (sizes - differ) >= similarity * (sizes + differ)
+
+
 def link_nodes(docs: DataFrame, sketched: DataFrame, words: int, similarity: int) -> DataFrame:
     """``node, component`` of the nodes that are linked to another."""
     named = F.min(F.struct("doc_id", ROW_TEXT)).alias("named")
@@ -204,10 +242,12 @@ def link_nodes(docs: DataFrame, sketched: DataFrame, words: int, similarity: int
     # What bands still join across components.
     placed = entries.join(components, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = staged(placed.join(open_.select("band"), "band").join(small, "node"), "open")
+    placed = staged(placed.join(open_.select("band"), "band"), "open")
+    wanted = best.join(placed.select("node").distinct(), "node")
+    measured = deltas(wanted.select("node", F.col("leader.node").alias("pivot")), sets)
+    placed = staged(placed.join(small.join(measured, "node"), "node"), "open")
     others = placed.withColumnsRenamed({c: f"other_{c}" for c in placed.columns if c != "band"})
-    fits = 100 * F.least("n_shingles", "other_n_shingles") >= similarity * F.greatest("n_shingles", "other_n_shingles")
-    pairs = placed.join(others, "band").where((F.col("component") < F.col("other_component")) & fits)
+    pairs = placed.join(others, "band").where((F.col("component") < F.col("other_component")) & _possible(similarity))
     pairs = pairs.where(_alike("brief", "other_brief")).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
     more = verified(staged(pairs, "pairs"), sets, similarity)
     return connected_components(edges.unionByName(more))
