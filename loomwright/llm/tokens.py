@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import json
 import os
 
 import numpy as np
@@ -12,67 +11,77 @@ from tokenizers import Tokenizer
 ID_BYTES = 4
 # Spark runs a process for each core; threads within them only get in each other's way.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-# Pieces that the library gets in one text, with a special token between them.
-JOINED = 500
+# Pieces that the library gets in one text, and what may stand between them.
+JOINED, MARKS = 50, ("\n", " \x01")
 
 
 class TextEncoder:
     """Encodes texts with a tokenizer file of the ``tokenizers`` library.
 
     The pre-tokenizers of byte-level and of word-end vocabularies never join what stands
-    on the two sides of a space, provided that the characters next to the space are not
-    white space themselves. So a text is cut before such spaces, and the library encodes
-    each different piece once; pieces that recur come from memory. A text with any other
-    space is handed to the library whole. Both ways give the ids of the whole text, and
+    on the two sides of a space or line break, provided that the characters next to it are
+    not white space themselves. So a text is cut there, and the library encodes each different
+    piece once; pieces that recur come from memory. A text with other white space is handed to
+    the library whole. Both ways give the ids of the whole text, and
     the names of special tokens are ordinary text.
 
     ``remember`` bounds the pieces in memory: beyond half of it, those not used since are
     forgotten.
     """
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.remember = remember
         # The ids of a piece, or None if a text with that piece has to be encoded whole.
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
-        with open(path, encoding="utf-8") as file:
-            special = [t for t in json.load(file)["added_tokens"] if t["special"]]
-        self.splitter = Tokenizer.from_file(path) if special else None
-        self.mark, self.mark_id = (special[0]["content"], special[0]["id"]) if special else ("", -1)
+        # What can stand between pieces so that its own id tells them apart again.
+        self.mark, self.mark_id = next(filter(None, map(self._apart, MARKS)), ("", -1))
+
+    def _apart(self, mark: str) -> tuple[str, int] | None:
+        left, whole, right = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (" a", f" a{mark} b", " b"))
+        inner = whole[len(left) : -len(right)]
+        return (mark, inner[0]) if len(inner) == 1 and whole == left + inner + right else None
 
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that stand behind a space; many go into one text, since a text of
-        its own for each costs more than its ids."""
-        if self.splitter is None:
+        """Ids of pieces behind a space; many go into one text, since a text of its own for
+        each costs more than its ids."""
+        sign, joint = self.mark.strip(" "), self.mark + " "
+        if not sign or any(sign in p for p in pieces):
             return self._library([" " + p for p in pieces])
-        mark = self.mark + " "
-        texts = [" " + mark.join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        texts = [" " + joint.join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
         out: list[bytes] = []
-        for encoded in self.splitter.encode_batch_fast(texts, add_special_tokens=False):
+        for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.asarray(encoded.ids, dtype="<u4")
             data, start = ids.tobytes(), 0
-            for end in [*(ID_BYTES * np.flatnonzero(ids == self.mark_id)).tolist(), len(data)]:
+            for end in (ID_BYTES * np.flatnonzero(ids == self.mark_id)).tolist():
                 out.append(data[start:end])
                 start = end + ID_BYTES
+            out.append(data[start:])
         return out
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.known) > self.remember // 2:
             self.known, self.older = {}, self.known
-        fresh = wanted - self.known.keys()
+        known = self.known
+        fresh = wanted - known.keys()
         seen = fresh & self.older.keys()
-        self.known.update(zip(seen, map(self.older.__getitem__, seen), strict=True))
+        known.update(zip(seen, map(self.older.__getitem__, seen), strict=True))
         fresh -= seen
-        odd = [p for p in fresh if not p or p[0].isspace() or p[-1].isspace() or "<|" in p]
-        self.known.update(dict.fromkeys(odd))
-        plain = list(fresh.difference(odd))
-        self.known.update(zip(plain, self._pieces(plain), strict=True))
+        plain = [p for p in fresh if p.strip() == p]
+        behind_break, odd = [], fresh.difference(plain) | (fresh & {""})
+        for p in odd:
+            if p[:1] == "\n" and p[1:] and p[1:].strip() == p[1:]:
+                behind_break.append(p)
+        known.update(dict.fromkeys(odd))
+        known.update(zip(behind_break, self._library(behind_break), strict=True))
+        plain = [p for p in plain if p] if "" in fresh else plain
+        known.update(zip(plain, self._pieces(plain), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -87,7 +96,8 @@ class TextEncoder:
                 gc.enable()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        parts = [text.split(" ") for text in texts]
+        # A line break is the lead of the piece behind it, as a space is.
+        parts = [text.replace("\n", " \n").split(" ") for text in texts]
         self._learn(set().union(*parts))
         # No space stands in front of the first word.
         firsts = self._library([words[0] for words in parts])
