@@ -134,7 +134,7 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     chosen = chosen.select(number.cast("int").alias("number"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_batches(batches, 4 << 20):
+        for batch in in_batches(batches, 1 << 20):
             texts, owner = [prepared(t) for t in texts_of(batch.column(1))], batch.column(0).to_numpy()
             for number in np.unique(owner).tolist():
                 own = [t for t, o in zip(texts, owner, strict=True) if o == number]
@@ -174,7 +174,7 @@ def predicted(model: Filter, spark: SparkSession) -> Callable[[str], Column]:
     @F.arrow_udf("lang_pred string, score double")
     def run(text: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([text], ["text"])
-        return pa.array([row for part in in_batches([batch], 4 << 20, text=0) for row in guess(texts_of(part.column(0)))], kind)
+        return pa.array([row for part in in_batches([batch], 1 << 20, text=0) for row in guess(texts_of(part.column(0)))], kind)
 
     return run
 
