@@ -92,7 +92,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = staged(map_batches(docs.select(*row_key(), "text"), _chunk, CHUNKS, text=2), "chunks")
     place = F.struct(F.col(ROW_ID).isNull(), ROW_ID, ROW_TEXT, "start")
     again = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
-    marked = found.join(again.select("hash", "first"), "hash")
+    # Written, so that the join stands right on its shuffles and Spark can split a hot chunk.
+    marked = found.join(staged(again.select("hash", "first"), "again"), "hash")
     # Rows that repeat a document bring its chunks once more, which is no repetition.
     mark = F.struct("start", "lines", "hash", (place == F.col("first")).alias("first"))
     return marked.groupBy(ROW_ID, ROW_TEXT).agg(F.collect_set(mark).alias("marks"))

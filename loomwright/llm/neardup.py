@@ -269,7 +269,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = SIMILARIT
     group = F.coalesce("component", "node")
     rows = rows.withColumn("group", group)
     first = rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("first"))
-    rows = rows.join(first, "group", "left")
+    # Written, so that the join stands right on its shuffles and Spark can split a large group.
+    rows = rows.join(staged(first, "groups"), "group", "left")
     component = F.coalesce("first", "doc_id")
     return rows.select(
         *("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")),

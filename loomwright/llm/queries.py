@@ -86,5 +86,72 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in named}
 
 
+_SMALL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DUPLICATES_SQL = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_SMALL}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM split WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least_reached AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+  doc_id <= coalesce(b, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached ON a = doc_id
+"""
+
+_WORDS = rf"regexp_extract_all({_SMALL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION_SQL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS words FROM starts),
+lengths AS (SELECT DISTINCT len(words) AS n FROM windows),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs),
+found AS (
+  SELECT doc_id, i, n, item_id FROM places JOIN lengths ON i + n - 1 <= len(w)
+  JOIN windows ON words = list_slice(w, i, i + n - 1)
+),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+# Five hexadecimal digits are four of base 32.
+_DIGIT = "(instr('0123456789abcdef', substr(h, CAST(5 * k + {0} AS BIGINT), 1)) - 1)"
+_NUMBER = "(" + " * 16 + ".join(["(" * 4 + _DIGIT.format(1)] + [f"{_DIGIT.format(i)})" for i in range(2, 6)]) + ")"
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({_NUMBER} >> {shift}) & 31 AS BIGINT) + 1, 1)" for shift in (15, 10, 5, 0))
+
+WARC_SQL = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages
+),
+digests AS (SELECT page_id, keeper, strlen(html) AS payload_bytes, sha1(html) AS h FROM payloads),
+parts AS (SELECT page_id, h, unnest(range(0, 8)) AS k FROM digests),
+digits AS (SELECT page_id, string_agg({_BASE32}, '' ORDER BY k) AS payload_digest FROM parts GROUP BY page_id)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM digests JOIN digits USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others need a tokenizer, a trained model, or a hash that SQL has not."""
+    return {
+        "op4_near_duplicates": NEAR_DUPLICATES_SQL,
+        "op5_decontamination": DECONTAMINATION_SQL,
+        "op9_warc": WARC_SQL,
+    }
