@@ -7,12 +7,13 @@ and run the load on that; each returns the whole table that came out.
 
 from __future__ import annotations
 
-import dataclasses
 import json
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwright import (
     ColumnSpec,
@@ -127,29 +128,27 @@ def _short_name(column: str = "table"):
 # --- models -----------------------------------------------------------------------------
 
 
-def orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _built(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Both models over all orders, with their tests, each in the schema of its folder."""
     schema = _schema(spark)
-    build_models(spark, [dataclasses.replace(m, tests=(), folder=None) for m in _order_models(sf_dir)], schema=schema)
-    return spark.table(f"{schema}.orders_summary")
+    return schema, build_models(spark, _order_models(sf_dir), schema=schema)
+
+
+def orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_built(spark, sf_dir)[0]}_marts.orders_summary")
 
 
 def staging_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _schema(spark)
-    build_models(spark, [dataclasses.replace(m, tests=(), folder=None) for m in _order_models(sf_dir)], schema=schema)
-    return spark.table(f"{schema}.stg_orders")
+    return spark.table(f"{_built(spark, sf_dir)[0]}_staging.stg_orders")
 
 
 def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views over all orders and the tests of each, node by node."""
-    return build_models(spark, [dataclasses.replace(m, folder=None) for m in _order_models(sf_dir)], schema=_schema(spark)).select(
-        "node", "status", "tests", "failed_tests"
-    )
+    return _built(spark, sf_dir)[1].select("node", "status", "tests", "failed_tests")
 
 
 def mart_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _schema(spark)
-    build_models(spark, [dataclasses.replace(m, tests=(), folder=None) for m in _order_models(sf_dir)], schema=schema)
-    checks = mart_checkpoint(spark, f"{schema}.orders_summary", ["F", "O", "P"])
+    checks = mart_checkpoint(spark, f"{_built(spark, sf_dir)[0]}_marts.orders_summary", ["F", "O", "P"])
     return checks.select("check_type", "column", "params", "observed", "passed")
 
 
@@ -252,32 +251,126 @@ def missing_declared_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def undeclared_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared: the key. All else stays text."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand")
-    return _ingest(spark, part, columns=_declared(part.select("p_partkey")))
+    """Declared: the key and the price, whose text Spark and SQL write differently. All else
+    stays text."""
+    part = _table(spark, sf_dir, "part")
+    return _ingest(spark, part, columns=_declared(part.select("p_partkey", "p_retailprice")))
 
 
 def header_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return _ingest(spark, supplier, header=[" Supplier Key", "Nome São-Paulo", "1st nation"])
+    supplier = _table(spark, sf_dir, "supplier")
+    header = [" Supplier Key", "Nome São-Paulo", "1st nation", "Acct.Bal"]
+    return _ingest(spark, supplier, header=header, columns=(ColumnSpec("acct_bal", T.DoubleType()),))
+
+
+def typed_ingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps in the file, a date in the table."""
+    orders = _table(spark, sf_dir, "orders")
+    dates = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    return _ingest(spark, orders, columns=_declared(dates))
+
+
+def blank_lines_in_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blank line of a file with one column is a null."""
+    part = _table(spark, sf_dir, "part")
+    lines = part.select(F.when(F.col("p_size") < 10, "").otherwise(F.col("p_name")).alias("value"))
+    lines = lines.withColumn("file", F.spark_partition_id())
+    headers = lines.select("file").distinct().select(F.lit("p_name").alias("value"), "file", F.lit(0).alias("place"))
+    rows = headers.unionByName(lines.withColumn("place", F.lit(1))).repartition("file").sortWithinPartitions("file", "place")
+    folder = shared_dir(spark, "lines")
+    rows.drop("place").write.partitionBy("file").text(folder)
+    base, _, key = folder.rpartition("/")
+    target = TableSpec("query", _schema(spark), "loaded", REPLACE, {"key": f"{key}/*"})
+    ingest_table(spark, target, base_path=base, on_failure="warn")
+    return spark.table(target.full_name)
+
+
+# One fault each: query id -> table, and the record that is put behind its rows.
+FAULTS: dict[str, tuple[str, str]] = {
+    "sound": ("customer", "0,x,1,1.5,y"),
+    "short_row": ("customer", "0,x"),
+    "long_row": ("customer", "0,x,1,1.5,y,z"),
+    "null_in_required_column": ("customer", "0,,1,1.5,y"),
+    "null_in_key": ("orders", ",1,O,1.5,1995-01-01 00:00:00,y"),
+    "bad_int": ("orders", "0,1x,O,1.5,1995-01-01 00:00:00,y"),
+    "bad_date": ("orders", "0,1,O,1.5,1995-02-30,y"),
+}
+REQUIRED = {"customer": "c_name", "orders": "o_orderkey"}
+# What the message of a load that failed says.
+KINDS = {"MALFORMED": "malformed record", "null in a NOT NULL column": "null", "invalid": "invalid value"}
+
+
+def rejected_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole tables with one faulty record at the end, loaded onto tables that hold the rows
+    already: what became of each load, and the rows that are in the table afterwards."""
+    schema = _schema(spark)
+    specs, folder = [], shared_dir(spark, "faults")
+    for name, (table, record) in FAULTS.items():
+        rows = _table(spark, sf_dir, table)
+        path = f"{folder}/{name}"
+        rows.write.options(header=True, escape='"').csv(path)
+        extra = spark.createDataFrame([(",".join(rows.columns),), (record,)], "value string").coalesce(1)
+        extra.write.mode("append").text(path)
+        spec = TableSpec(
+            f"faults.{name}", schema, name, REPLACE, {"key": name}, columns=_declared(rows, [REQUIRED[table]]),
+            primary_key=("o_orderkey",) if table == "orders" else (),
+        )
+        ensure_table(spark, spec.full_name, rows.schema)
+        replace(rows, spec.full_name)
+        specs.append(spec)
+    results = ingest_all(spark, Config("faults", tuple(specs)), base_path=folder)
+    outcomes = [
+        (r.pipeline_id, r.error is None, next((kind for text, kind in KINDS.items() if text in (r.error or "")), None))
+        for r in results
+    ]
+    outcome = spark.createDataFrame(outcomes, "pipeline_id string, loaded boolean, kind string")
+    counts = [
+        spark.table(s.full_name).agg(F.count("*").alias("rows_left")).select(F.lit(s.pipeline_id).alias("pipeline_id"), "rows_left")
+        for s in specs
+    ]
+    return outcome.join(reduce(DataFrame.unionByName, counts), "pipeline_id")
+
+
+# The tables of the report with their rules, and what each observes as SQL over the table.
+DUPLICATES = "(SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
+REPORTED: dict[str, list[tuple[Rule, str]]] = {
+    "customer": [
+        (column_rule("not_null", "c_custkey"), "count(*) FILTER (c_custkey IS NULL)"),
+        (column_rule("unique", "c_custkey"), DUPLICATES.format(table="customer", column="c_custkey")),
+    ],
+    "part": [
+        (column_rule("not_null", "p_partkey"), "count(*) FILTER (p_partkey IS NULL)"),
+        (column_rule("unique", "p_name"), DUPLICATES.format(table="part", column="p_name")),
+    ],
+    "nation": [(table_rule("row_count_min", min=1), "count(*)")],
+    "events": [
+        (
+            column_rule("allowed_values", "event_type", values=["view", "click", "purchase", "signup", "error"]),
+            "count(*) FILTER (event_type NOT IN ('view', 'click', 'purchase', 'signup', 'error'))",
+        )
+    ],
+}
 
 
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several tables in one job, each with its rules; one of them fails its rules."""
+    """Several tables in one job, each with its rules; one of them fails its rules, and one
+    has a rule on the key by which the load makes its rows unique."""
     schema = _schema(spark)
-    rules = {
-        "customer": (column_rule("not_null", "c_custkey"), column_rule("unique", "c_custkey")),
-        "part": (column_rule("not_null", "p_partkey"), column_rule("unique", "p_name")),
-        "nation": (table_rule("row_count_min", min=1),),
-        "events": (column_rule("allowed_values", "event_type", values=["view", "click", "purchase", "signup", "error"]),),
-    }
     specs, base = [], None
-    for name, checks in rules.items():
+    for name, checks in REPORTED.items():
         df = _table(spark, sf_dir, name)
         base, key = _as_csv(df)
-        specs.append(TableSpec(f"all.{name}", schema, name, REPLACE, {"key": key}, columns=_declared(df), rules=checks))
+        specs.append(
+            TableSpec(
+                f"all.{name}", schema, name, REPLACE, {"key": key}, columns=_declared(df), rules=tuple(r for r, _ in checks),
+                primary_key=("c_custkey",) if name == "customer" else (),
+            )
+        )
     report = results_frame(spark, ingest_all(spark, Config("all", tuple(specs)), base_path=base))
-    return report.select("pipeline_id", _short_name("destination_table"), "write_mode", "quality_passed")
+    check = "array<struct<check_type: string, `column`: string, observed: bigint, passed: boolean>>"
+    return report.select(
+        "pipeline_id", _short_name("destination_table"), "write_mode", "quality_passed", F.inline(F.from_json("quality", check))
+    )
 
 
 # --- quality ----------------------------------------------------------------------------
@@ -321,6 +414,7 @@ UNIQUE_RULES: dict[str, tuple[str, Rule]] = {
     "qc_unique": ("part", unique("p_name")),
     "qc_unique_key": ("events", unique("event_id")),
     "qc_unique_composite": ("lineitem", unique(*LINE_KEY)),
+    "qc_unique_nulls": ("events", unique("props")),
     "qc_unique_composite_passing": ("conversations", unique("conv_id", "turn")),
 }
 
@@ -378,16 +472,19 @@ def _validation_config(schema: str) -> Config:
         TableSpec(f"v.{t}", schema, t, REPLACE, {}, table_id=t, rules=tuple(_rule(n) for n in names))
         for t, names in REPORT.items()
     ]
+    again = (column_rule("not_null", "no_such_column"), column_rule("not_null", "o_orderkey"))
+    specs.append(TableSpec("v.orders_again", schema, "orders", REPLACE, {}, table_id="orders_again", rules=again))
     absent = TableSpec("v.absent", schema, "absent", REPLACE, {}, table_id="absent", rules=(table_rule("row_count_min"),))
     return Config("v", (*specs, absent))
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules over catalog tables, and a table that does not exist."""
+    """All rules over catalog tables, a second entry on one of them with a rule on a column
+    that it lacks, and a table that does not exist."""
     schema = _schema(spark)
     _register(spark, sf_dir, schema, REPORT)
     summary = validate_tables(spark, _validation_config(schema))
-    return summary.select(_short_name(), "success", "evaluated", "successful", "unsuccessful", "reason")
+    return summary.select("pipeline_id", _short_name(), "success", "evaluated", "successful", "unsuccessful", "reason")
 
 
 def validation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +534,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_declared_column": missing_declared_column,
         "undeclared_columns": undeclared_columns,
         "header_normalisation": header_normalisation,
+        "typed_ingest_dates": typed_ingest_dates,
+        "blank_lines_in_one_column": blank_lines_in_one_column,
+        "rejected_loads": rejected_loads,
         "ingest_report": ingest_report,
         **{name: _check_query(name) for name in [*SINGLE_RULES, *UNIQUE_RULES]},
         "qc_unique_together": qc_unique_together,
@@ -478,6 +578,19 @@ def _check_sql(name: str) -> str:
     return _result_sql(table, rule, observed, "NULL", passed, table)
 
 
+def _reported_sql(table: str) -> str:
+    checks = " UNION ALL ".join(
+        f"SELECT '{rule.kind}' AS check_type, {f"'{rule.column}'" if rule.column else 'CAST(NULL AS VARCHAR)'} AS \"column\", "
+        f"CAST({observed} AS BIGINT) AS observed, {observed} {'>= 1' if rule.kind == 'row_count_min' else '= 0'} AS passed"
+        + ("" if observed.startswith("(") else f" FROM {table}")
+        for rule, observed in REPORTED[table]
+    )
+    return (
+        f"SELECT 'all.{table}' AS pipeline_id, '{table}' AS destination_table, '{REPLACE}' AS write_mode, "
+        f"bool_and(passed) OVER () AS quality_passed, * FROM ({checks})"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     lines = ", ".join(f"{c} DESC" for c in LINE_ORDER)
     last_lines = (
@@ -513,6 +626,11 @@ def oracle_sql() -> dict[str, str]:
         "+ CAST((count(*) FILTER (o_orderstatus IS NULL) > 0) AS INTEGER) FROM orders) "
         f"+ (SELECT CAST((count(*) > 0) AS INTEGER) FROM {duplicated})"
     )
+    again = (
+        "SELECT 'orders' AS \"table\", 'not_null' AS check_type, 'no_such_column' AS \"column\", '{}' AS params, "
+        "CAST(NULL AS BIGINT) AS observed, false AS passed UNION ALL SELECT 'orders', 'not_null', 'o_orderkey', '{}', "
+        "count(*) FILTER (o_orderkey IS NULL), count(*) FILTER (o_orderkey IS NULL) = 0 FROM orders"
+    )
     sqls = {
         "orders_summary": (
             "WITH staged AS (SELECT o_orderstatus AS order_status FROM orders) "
@@ -542,37 +660,41 @@ def oracle_sql() -> dict[str, str]:
         "multi_line_csv": "SELECT * FROM documents",
         "multi_line_csv_composite_key": "SELECT * FROM conversations",
         "missing_declared_column": "SELECT *, CAST(NULL AS INTEGER) AS c_rating FROM customer",
-        "undeclared_columns": "SELECT p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size, p_brand FROM part",
+        "undeclared_columns": "SELECT * REPLACE (CAST(p_size AS VARCHAR) AS p_size) FROM part",
         "header_normalisation": (
             'SELECT CAST(s_suppkey AS VARCHAR) AS supplier_key, s_name AS "nome_são_paulo", '
-            "CAST(s_nationkey AS VARCHAR) AS c_1st_nation FROM supplier"
+            "CAST(s_nationkey AS VARCHAR) AS c_1st_nation, s_acctbal AS acct_bal FROM supplier"
         ),
-        "ingest_report": " UNION ALL ".join(
-            f"SELECT 'all.{t}' AS pipeline_id, '{t}' AS destination_table, '{REPLACE}' AS write_mode, {passed} AS quality_passed"
-            for t, passed in [
-                (
-                    "customer",
-                    "(SELECT count(*) = count(c_custkey) AND count(c_custkey) = count(DISTINCT c_custkey) FROM customer)",
-                ),
-                ("part", "(SELECT count(*) = count(p_partkey) AND count(p_name) = count(DISTINCT p_name) FROM part)"),
-                ("nation", "(SELECT count(*) >= 1 FROM nation)"),
-                (
-                    "events",
-                    "(SELECT count(*) FILTER (event_type NOT IN ('view', 'click', 'purchase', 'signup', 'error')) = 0 "
-                    "FROM events)",
-                ),
-            ]
+        "typed_ingest_dates": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
+        "blank_lines_in_one_column": "SELECT CASE WHEN p_size >= 10 THEN p_name END AS p_name FROM part",
+        "rejected_loads": " UNION ALL ".join(
+            f"SELECT 'faults.{name}' AS pipeline_id, {kind is None} AS loaded, CAST({kind or 'NULL'} AS VARCHAR) AS kind, "
+            f"count(*) + {int(kind is None)} AS rows_left FROM {FAULTS[name][0]}"
+            for name, kind in {
+                "sound": None,
+                "short_row": "'malformed record'",
+                "long_row": "'malformed record'",
+                "null_in_required_column": "'null'",
+                "null_in_key": "'null'",
+                "bad_int": "'invalid value'",
+                "bad_date": "'invalid value'",
+            }.items()
         ),
+        "ingest_report": " UNION ALL ".join(_reported_sql(table) for table in REPORTED),
         **{name: _check_sql(name) for name in [*SINGLE_RULES, *UNIQUE_RULES]},
         "qc_unique_together": together,
         "qc_report": report,
         "qc_tables_passed": f'SELECT "table", bool_and(passed) AS passed FROM ({report}) GROUP BY "table"',
         "qc_statistics": stats,
         "validation_summary": (
-            f'SELECT "table", success, evaluated, successful, unsuccessful, CAST(NULL AS VARCHAR) AS reason FROM ({stats}) '
-            "UNION ALL SELECT 'absent', false, 0, 0, 0, 'missing_table'"
+            "SELECT 'v.' || \"table\" AS pipeline_id, \"table\", success, evaluated, successful, unsuccessful, "
+            f"CAST(NULL AS VARCHAR) AS reason FROM ({stats}) "
+            "UNION ALL SELECT 'v.orders_again', 'orders', false, 2, count(*) FILTER (passed), count(*) FILTER (NOT passed), "
+            f"NULL FROM ({again}) UNION ALL SELECT 'v.absent', 'absent', false, 0, 0, 0, 'missing_table'"
+        ),
+        "validation_documents": (
+            f'SELECT "table", check_type, "column", params, observed, passed FROM ({report}) UNION ALL SELECT * FROM ({again})'
         ),
-        "validation_documents": f'SELECT "table", check_type, "column", params, observed, passed FROM ({report})',
         "schema_sweep": " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", 'row_count_min' AS check_type, count(*) AS observed, count(*) >= 1 AS passed FROM {t}"
             for t in SWEPT

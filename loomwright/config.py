@@ -51,6 +51,7 @@ class TableSpec:
     primary_key: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = ()
     description: str | None = None
+    problem: str | None = None  # why the entry of the configuration cannot be used
 
     @property
     def full_name(self) -> str:
@@ -99,7 +100,7 @@ def _table_spec(block: Mapping[str, Any], write_mode: str, **known: Any) -> Tabl
     )
 
 
-def _from_sync(root: Mapping[str, Any]) -> Config:
+def _from_sync(root: Mapping[str, Any], strict: bool) -> Config:
     sync = root["sync"]
     name = sync.get("name", "sync")
     source, destination = sync.get("source") or {}, sync.get("destination") or {}
@@ -107,17 +108,20 @@ def _from_sync(root: Mapping[str, Any]) -> Config:
     for block in root.get("tables") or []:
         target = block.get("table") or {}
         replaces = str(target.get("if_exists", "append")).lower() in ("replace", "overwrite")
-        tables.append(
-            _table_spec(
-                block,
-                target.get("write_mode") or (REPLACE if replaces else APPEND),
-                pipeline_id=f"{name}.{block['id']}",
-                table_id=block["id"],
-                schema=target.get("schema") or destination.get("default_schema") or DEFAULT_SCHEMA,
-                table=target.get("name") or f"{destination.get('table_prefix', '')}{block['id']}",
-                source_conf={"bucket": source.get("bucket"), **(block.get("source") or {})},
-            )
-        )
+        mode = target.get("write_mode") or (REPLACE if replaces else APPEND)
+        known = {
+            "pipeline_id": f"{name}.{block['id']}",
+            "table_id": block["id"],
+            "schema": target.get("schema") or destination.get("default_schema") or DEFAULT_SCHEMA,
+            "table": target.get("name") or f"{destination.get('table_prefix', '')}{block['id']}",
+            "source_conf": {"bucket": source.get("bucket"), **(block.get("source") or {})},
+        }
+        try:
+            tables.append(_table_spec(block, mode, **known))
+        except (ValueError, TypeError, KeyError, AttributeError) as e:
+            if strict:
+                raise
+            tables.append(TableSpec(write_mode=str(mode), problem=f"{type(e).__name__}: {e}", **known))
     return Config(name, tuple(tables))
 
 
@@ -137,8 +141,10 @@ def _from_flat(root: Mapping[str, Any]) -> Config:
     return Config(name, (spec,))
 
 
-def parse_config(root: Mapping[str, Any]) -> Config:
-    return _from_sync(root) if "sync" in root else _from_flat(root)
+def parse_config(root: Mapping[str, Any], strict: bool = True) -> Config:
+    """Without ``strict``, a table whose entry is wrong does not keep the others from being
+    read: its own job reports the error."""
+    return _from_sync(root, strict) if "sync" in root else _from_flat(root)
 
 
 def read_yaml(text: str) -> Any:
@@ -149,7 +155,7 @@ def read_yaml(text: str) -> Any:
     return yaml.safe_load(text)
 
 
-def load_config(path: str | None = None, text: str | None = None) -> Config:
+def load_config(path: str | None = None, text: str | None = None, strict: bool = True) -> Config:
     """From YAML text, else from the ``CONFIG_YAML`` environment variable, else from a file."""
     text = text or os.environ.get("CONFIG_YAML")
     if not text:
@@ -157,4 +163,4 @@ def load_config(path: str | None = None, text: str | None = None) -> Config:
             raise ValueError("give a config path or text")
         with open(path, encoding="utf-8-sig") as f:
             text = f.read()
-    return parse_config(read_yaml(text))
+    return parse_config(read_yaml(text), strict)

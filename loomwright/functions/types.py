@@ -66,6 +66,9 @@ def from_text(text: Column, target: T.DataType, name: str) -> Column:
         word = F.lower(F.trim(text))
         value = F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False).otherwise(value)
     elif isinstance(target, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+        if isinstance(target, T.DateType):
+            # A date may have a time behind it, but nothing else, which the cast would cut off.
+            value = F.when(text.try_cast("timestamp_ntz").isNotNull(), value)
         value = F.when(F.length(F.trim(text)) >= SHORTEST_DATE, value)
     elif isinstance(target, (T.DoubleType, T.FloatType)):
         # Not the number literals of Java: 12d, 0x1p3, and 1f, which has no n unlike inf.

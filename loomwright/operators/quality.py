@@ -145,6 +145,9 @@ def _unique_results(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFra
     columns = list(dict.fromkeys(c for r in rules for c in r.columns))
     for c in columns:
         _data_type(df.schema, c)
+    # Rows that have no whole key for any rule are left out by the scan.
+    whole = [reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in r.columns]) for r in rules]
+    df = df.where(reduce(Column.__or__, whole))
     sets = [[F.col(f"`{c}`") for c in s] for s in {frozenset(r.columns): r.columns for r in rules}.values()]
     if len(sets) == 1:
         counted = df.groupBy(*sets[0]).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__set", F.lit(0))
@@ -182,6 +185,17 @@ def check_table(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
+def rule_problem(rule: Rule, schema: T.StructType) -> str | None:
+    """Why a rule cannot be evaluated on a table with these columns."""
+    try:
+        for column in rule.columns:
+            _data_type(schema, column)
+        row_metrics([rule], schema)
+    except (TypeError, ValueError) as e:
+        return str(e)
+    return None
+
+
 def check_tables(spark: SparkSession, tables: Iterable[tuple[str, DataFrame, Iterable[Rule]]]) -> DataFrame:
     parts = [check_table(df, name, rules) for name, df, rules in tables]
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], RESULT_SCHEMA)
@@ -192,9 +206,9 @@ def table_passed(results: DataFrame) -> DataFrame:
     return results.groupBy("table").agg(F.bool_and("passed").alias("passed"))
 
 
-def statistics(results: DataFrame) -> DataFrame:
+def statistics(results: DataFrame, by: str = "table") -> DataFrame:
     """Per table: how many checks there were, and how they came out."""
-    return results.groupBy("table").agg(
+    return results.groupBy(by).agg(
         F.count(F.lit(1)).alias("evaluated"),
         F.count_if("passed").alias("successful"),
         F.count_if(~F.col("passed")).alias("unsuccessful"),

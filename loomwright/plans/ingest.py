@@ -19,7 +19,7 @@ from ..operators.project import project, resolve_schema
 from ..operators.quality import Metric, check_table, row_metrics
 from ..paths import delete_dir
 from ..rules import Rule
-from ..session import fit_shuffle
+from ..session import fit_shuffle, own_session
 from ..sources import RawTable, source_reader
 
 PARALLEL_TABLES = 4
@@ -86,11 +86,6 @@ def _metric_result(metric: Metric, table: str, observed: int) -> dict[str, Any]:
     }
 
 
-def _proven_unique(spec: TableSpec, rule: Rule) -> bool:
-    """After a replacing load the table is the deduplicated batch and nothing else."""
-    return spec.write_mode == REPLACE and rule.kind == "unique" and set(rule.columns) == set(spec.primary_key)
-
-
 def _replace_and_check(rows: DataFrame, spec: TableSpec, rules: list[Rule]) -> list[dict[str, Any]]:
     """Replace the table; row rules are counted while the rows are written. The counts are
     taken in the tasks that write, after the last shuffle, so that a stage run again for a
@@ -101,13 +96,7 @@ def _replace_and_check(rows: DataFrame, spec: TableSpec, rules: list[Rule]) -> l
         rows = rows.observe(observed, *[m.value.alias(f"m{i}") for i, m in enumerate(metrics)])
     replace(rows, spec.full_name)
     counts = observed.get if metrics else {}
-    results = [_metric_result(m, spec.full_name, counts[f"m{i}"]) for i, m in enumerate(metrics)]
-    results += [
-        {**_metric_result(Metric(r, None, lambda n: n == 0), spec.full_name, 0), "duplicate_rows": 0}
-        for r in rules
-        if _proven_unique(spec, r)
-    ]
-    return results
+    return [_metric_result(m, spec.full_name, counts[f"m{i}"]) for i, m in enumerate(metrics)]
 
 
 def prepare(raw: RawTable, spec: TableSpec, target: T.StructType) -> DataFrame:
@@ -129,7 +118,7 @@ def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dic
     rules = load_rules(spec)
     if spec.write_mode == REPLACE:
         results = _replace_and_check(rows, spec, rules)
-        rules = [r for r in rules if r.kind == "unique" and not _proven_unique(spec, r)]
+        rules = [r for r in rules if r.kind == "unique"]
     else:
         # The rules speak of the whole table, so after an append it is read again.
         if spec.primary_key:
@@ -158,12 +147,19 @@ def ingest_table(
     One load at a time may write to a table."""
     if on_failure not in ("raise", "warn"):
         raise ValueError("on_failure is 'raise' or 'warn'")
-    raw = source_reader(spec.source_type)(spark, spec.source_conf, base_path)
+    if spec.problem:
+        raise ValueError(spec.problem)
+    # Settings that a load changes are seen by no other load, and by nothing of the caller.
+    own = own_session(spark)
+    raw = source_reader(spec.source_type)(own, spec.source_conf, base_path)
     try:
-        results = ingest_rows(spark, spec, raw)
+        results = ingest_rows(own, spec, raw)
     finally:
         for path in raw.staged:
-            delete_dir(spark, path)
+            delete_dir(own, path)
+        if spark.catalog.tableExists(spec.full_name):
+            # What the caller's session knew of the files is no longer so.
+            spark.catalog.refreshTable(spec.full_name)
     passed = all(r["passed"] for r in results)
     result = IngestResult(
         spec.pipeline_id, spec.full_name, spec.write_mode, passed, tuple(results), run_id

@@ -15,23 +15,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Config, TableSpec
-from ..operators.quality import RESULT_SCHEMA, check_table, statistics
-from ..session import fit_shuffle
+from ..operators.quality import RESULT_SCHEMA, check_table, rule_problem, statistics
+from ..rules import Rule
+from ..session import fit_shuffle, own_session
 
 log = logging.getLogger(__name__)
 
 PARALLEL_TABLES = 4
 MISSING_TABLE = "missing_table"
 
+_ENTRY = T.StructField("pipeline_id", T.StringType())
+_ERROR = T.StructField("error", T.StringType())
 _OUTCOME_SCHEMA = T.StructType(
     [
+        _ENTRY,
         T.StructField("table", T.StringType()),
         T.StructField("schema_name", T.StringType()),
         T.StructField("table_name", T.StringType()),
         T.StructField("reason", T.StringType()),
-        T.StructField("error", T.StringType()),
+        _ERROR,
     ]
 )
+_CHECK_SCHEMA = T.StructType([_ENTRY, *RESULT_SCHEMA, _ERROR])
 
 
 class ValidationError(AssertionError):
@@ -46,28 +51,52 @@ class Outcome:
     error: str | None = None
 
 
+def _failed(spec: TableSpec, rule: Rule, error: str) -> tuple[Any, ...]:
+    """The result of a rule that could not be evaluated."""
+    return spec.full_name, rule.kind, rule.column, rule.params_json, None, None, False, error
+
+
+def _check(table: DataFrame, spec: TableSpec, rules: Sequence[Rule]) -> list[tuple[Any, ...]]:
+    return [(*row, None) for row in check_table(table, spec.full_name, rules).collect()]
+
+
 def _validate(spark: SparkSession, spec: TableSpec) -> Outcome:
+    """The checks of one entry. A rule that cannot be evaluated fails and the others go on."""
     try:
+        if spec.problem:
+            return Outcome(spec, error=spec.problem)
         if not spark.catalog.tableExists(spec.full_name):
             return Outcome(spec, reason=MISSING_TABLE)
-        table = fit_shuffle(spark.table(spec.full_name))
-        results = check_table(table, spec.full_name, spec.rules).collect()
+        table = fit_shuffle(own_session(spark).table(spec.full_name))
+        problems = [(rule, rule_problem(rule, table.schema)) for rule in spec.rules]
+        results = [_failed(spec, rule, problem) for rule, problem in problems if problem]
+        sound = [rule for rule, problem in problems if not problem]
+        try:
+            results += _check(table, spec, sound)
+        except Exception:
+            # Some rule fails on the data: find out which one.
+            for rule in sound:
+                try:
+                    results += _check(table, spec, [rule])
+                except Exception as e:
+                    results.append(_failed(spec, rule, str(e)))
         return Outcome(spec, tuple(results))
     except Exception as e:
         return Outcome(spec, error=str(e))
 
 
 def _frames(spark: SparkSession, outcomes: Sequence[Outcome]) -> tuple[DataFrame, DataFrame]:
-    """One row per table, and one row per check: as few as the configuration has."""
-    tables = [(o.spec.full_name, o.spec.schema, o.spec.table, o.reason, o.error) for o in outcomes]
-    checks = [r for o in outcomes for r in o.results]
-    return spark.createDataFrame(tables, _OUTCOME_SCHEMA), spark.createDataFrame(checks, RESULT_SCHEMA)
+    """One row per entry, and one row per check: as few as the configuration has."""
+    entries = [(o.spec.pipeline_id, o.spec.full_name, o.spec.schema, o.spec.table, o.reason, o.error) for o in outcomes]
+    checks = [(o.spec.pipeline_id, *r) for o in outcomes for r in o.results]
+    return spark.createDataFrame(entries, _OUTCOME_SCHEMA), spark.createDataFrame(checks, _CHECK_SCHEMA)
 
 
-def _summary(tables: DataFrame, checks: DataFrame) -> DataFrame:
+def _summary(entries: DataFrame, checks: DataFrame) -> DataFrame:
     """A table that is missing or could not be checked has failed; one without rules has not."""
     checked = F.col("reason").isNull() & F.col("error").isNull()
-    return tables.join(statistics(checks), "table", "left").select(
+    return entries.join(statistics(checks, "pipeline_id"), "pipeline_id", "left").select(
+        "pipeline_id",
         "table",
         (checked & F.coalesce("success", F.lit(True))).alias("success"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("evaluated", "successful", "unsuccessful")],
@@ -76,15 +105,16 @@ def _summary(tables: DataFrame, checks: DataFrame) -> DataFrame:
     )
 
 
-def _documents(tables: DataFrame, summary: DataFrame, checks: DataFrame, run_time: str) -> DataFrame:
-    """One JSON document per table: outcome, statistics, and every check."""
-    results = checks.groupBy("table").agg(
-        F.collect_list(F.struct(*[c for c in checks.columns if c != "table"])).alias("results")
+def _documents(entries: DataFrame, summary: DataFrame, checks: DataFrame, run_time: str) -> DataFrame:
+    """One JSON document per entry: outcome, statistics, and every check."""
+    results = checks.groupBy("pipeline_id").agg(
+        F.collect_list(F.struct(*[c for c in checks.columns if c not in ("pipeline_id", "table")])).alias("results")
     )
     return (
-        summary.join(tables.select("table", "schema_name", "table_name"), "table")
-        .join(results, "table", "left")
+        summary.join(entries.select("pipeline_id", "schema_name", "table_name"), "pipeline_id")
+        .join(results, "pipeline_id", "left")
         .select(
+            "pipeline_id",
             "table",
             "success",
             F.struct("evaluated", "successful", "unsuccessful").alias("statistics"),
@@ -111,9 +141,9 @@ def validate_tables(
     parallel: int = PARALLEL_TABLES,
     on_failure: str = "warn",
 ) -> DataFrame:
-    """One row per selected table: ``table, success, evaluated, successful, unsuccessful,
-    reason, error``. With ``on_failure="raise"`` tables that failed are an error, after the
-    findings are written.
+    """One row per selected entry: ``pipeline_id, table, success, evaluated, successful, unsuccessful,
+    reason, error``. Two entries on one table are two rows. With ``on_failure="raise"`` tables
+    that failed are an error, after the findings are written.
 
     ``output_dir`` receives the findings as JSON. ``upload_dir`` receives a copy; if that
     fails the run goes on with a warning."""
@@ -122,10 +152,10 @@ def validate_tables(
     specs = config.select(list(only) if only else None, source_id)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcomes = list(pool.map(inheritable_thread_target(spark)(lambda s: _validate(spark, s)), specs))
-    tables, checks = _frames(spark, outcomes)
-    summary = _summary(tables, checks)
+    entries, checks = _frames(spark, outcomes)
+    summary = _summary(entries, checks)
     run_time = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    documents = _documents(tables, summary, checks, run_time)
+    documents = _documents(entries, summary, checks, run_time)
     if output_dir and outcomes:
         write_documents(documents, output_dir)
     if upload_dir and outcomes:
@@ -134,7 +164,7 @@ def validate_tables(
         except Exception as e:
             log.warning("could not write the validation results to %s: %s", upload_dir, e)
     if on_failure == "raise":
-        failed = sorted(row["table"] for row in summary.where("NOT success").collect())
+        failed = sorted({row["table"] for row in summary.where("NOT success").collect()})
         if failed:
             raise ValidationError(f"validation failed for {', '.join(failed)}")
     return summary

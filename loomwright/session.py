@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -9,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 BYTES_PER_PARTITION = 256 << 20
-# Beyond this the bookkeeping of a shuffle costs more than larger partitions, which spill.
-MOST_PARTITIONS = 50_000
 # What the optimizer assumes of an input it knows nothing about is near the largest long.
 UNKNOWN_SIZE = 1 << 62
 
+_changing = threading.Lock()
+
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the files ``df`` reads, as the optimizer knows it; inputs of unknown size count as none."""
@@ -22,17 +23,30 @@ def input_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes if size < UNKNOWN_SIZE)
 
 
-def fit_shuffle(df: DataFrame) -> DataFrame:
+def fit_shuffle(df: DataFrame, bytes_per_partition: int | None = None) -> DataFrame:
     """Raise the number of shuffle partitions of the session to what the input of ``df``
-    needs, so that the share of one task fits in memory. It is never lowered: adaptive
-    execution merges partitions that turn out small. Returns ``df``."""
+    needs, so that the share of one task fits in memory. It is never lowered, whichever
+    threads share the session: adaptive execution merges partitions that turn out small.
+    Returns ``df``."""
     spark = df.sparkSession
-    wanted = min(input_bytes(df) // BYTES_PER_PARTITION + 1, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
-        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    wanted = input_bytes(df) // (bytes_per_partition or BYTES_PER_PARTITION) + 1
+    with _changing:
+        if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
+            spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
     return df
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same catalog and settings, whose settings nobody else changes."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Change a setting for one statement."""

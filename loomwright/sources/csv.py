@@ -4,17 +4,21 @@ Fields come out as text: an empty field is null, a quoted empty field is the
 empty string, quotes are doubled, a backslash is just a character, and quoted
 fields may hold line breaks. A record with too few or too many fields fails.
 
-However large one file is, it is read by many tasks. Spark's reader splits a file
-only at line breaks, so files without line breaks in fields go to it as they are,
-and the others have their lines put together to records first.
+Spark's reader splits a file only at line breaks, so files without line breaks in
+fields go to it as they are, and the others have their lines put together to
+records first. A large file is read by many tasks; a compressed one, which cannot be
+split, by one, but all work behind that reading is spread.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,7 +32,14 @@ from ..session import fit_shuffle
 # field (null) apart from a quoted empty one.
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\u0000", "mode": "FAILFAST"}
 
-FILE, BLOCK, LINE = "__file", "__block", "__line"
+FILE, BLOCK, GROUP, LINE = "__file", "__block", "__group", "__line"
+
+# Lines that are put together at once. A file that cannot be split is one block, but many groups.
+GROUP_LINES = 100_000
+# What a record, and a column name, may have at most. Larger ones come from a missing quote.
+MOST_RECORD_BYTES = 64 << 20
+MOST_NAME_CHARS = 100_000
+WHOLE = "starts AND NOT odd"
 
 
 @dataclass(frozen=True)
@@ -51,8 +62,10 @@ def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
 
 
 def read_header(spark: SparkSession, path: str) -> list[str | None]:
-    """The first record as it stands. ``multiLine`` reads on from the start of one file and stops there."""
-    first = spark.read.options(**DIALECT, header=False, multiLine=True).csv(path).head(1)
+    """The first record as it stands. ``multiLine`` reads on from the start of one file and stops
+    there; a quote that is never closed makes a name longer than any, which is an error."""
+    limits = {"maxCharsPerColumn": MOST_NAME_CHARS, "header": False, "multiLine": True}
+    first = spark.read.options(**DIALECT, **limits).csv(path).head(1)
     if not first or not any(first[0]):
         raise ValueError(f"{path} has no header")
     return list(first[0])
@@ -64,9 +77,16 @@ def _odd_quotes(line: Column) -> Column:
 
 def _needs_records(spark: SparkSession, path: str) -> bool:
     """Whether some line is not one record to Spark's reader: a quoted field runs on
-    to the next line, or the line is blank (an error, or a null, that it would skip)."""
+    to the next line, or the line is blank (an error, or a null, that it would skip).
+    A line that is no UTF-8 is an error."""
     line = F.col("value")
-    return not spark.read.text(path).where(_odd_quotes(line) | line.rlike(r"\A[\x00-\x20]*\z")).isEmpty()
+    special = _odd_quotes(line) | line.rlike(r"\A[\x00-\x20]*\z")
+    found = spark.read.text(path).select(F.is_valid_utf8(line).alias("valid"), special.alias("special"))
+    # A file without such lines is read to its end here; one with them is checked when it is staged.
+    first = found.where(F.col("special") | ~F.col("valid")).head(1)
+    if first and not first[0]["valid"]:
+        raise ValueError(f"{path}: a line is not valid UTF-8")
+    return bool(first)
 
 
 def _positions(files: list[str]) -> list[Column]:
@@ -93,63 +113,102 @@ def _read_lines(spark: SparkSession, path: str, header: list[str | None], column
     return rows.select("*", *_positions(files)).toDF(*columns, FILE, BLOCK, LINE)
 
 
+def _number_lines(group_lines: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Tell for each line how many quotes stand before it in its group, odd or even. Lines come
+    in the order of their files; a group is a run of at most ``group_lines`` lines of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, lines, state = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, starts = batch.column(1), batch.column(2)
+            odd = batch.column("odd").to_numpy(zero_copy_only=False)
+            same = pc.and_(pc.equal(files[1:], files[:-1]), pc.equal(starts[1:], starts[:-1]))
+            other = np.concatenate([np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1, [batch.num_rows]])
+            group, before = np.empty(batch.num_rows, np.int32), np.empty(batch.num_rows, bool)
+            at = 0
+            while at < batch.num_rows:
+                here = files[at].as_py(), starts[at].as_py()
+                if here != block:
+                    block, lines = here, 0
+                if lines % group_lines == 0:
+                    state = 0
+                # Up to the next block, or to the end of the group.
+                end = min(int(other[other > at][0]), at + group_lines - lines % group_lines)
+                counts = np.cumsum(odd[at:end]) + state
+                group[at:end] = lines // group_lines
+                before[at:end] = np.concatenate([[state], counts[:-1]]) % 2 == 1
+                state, lines, at = int(counts[-1]), lines + end - at, end
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            yield pa.RecordBatch.from_pydict({**columns, GROUP: pa.array(group), "odd_before": pa.array(before)})
+
+    return run
+
+
 def _stage_lines(spark: SparkSession, path: str) -> str:
     """Write the lines with their positions. Line numbers depend on how the files were
     split, so the passes below must all see the ones given here, once."""
     staged = shared_dir(spark, "csv-lines")
     lines = spark.read.option("lineSep", "\n").text(path)
-    lines.select("value", *_positions(lines.inputFiles()), _odd_quotes(F.col("value")).alias("odd")).write.parquet(staged)
+    valid = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
+        F.raise_error(F.lit(f"{path}: a line is not valid UTF-8")).cast("string")
+    )
+    read = lines.select(valid.alias("value"), *_positions(lines.inputFiles()), _odd_quotes(F.col("value")).alias("odd"))
+    schema = f"value string, {FILE} string, {BLOCK} long, {LINE} long, odd boolean, {GROUP} int, odd_before boolean"
+    read.mapInArrow(_number_lines(GROUP_LINES), schema).write.parquet(staged)
     return staged
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """One row per split: whether it begins inside quotes and, if so, the line (in some
-    earlier split) that began the record. As many rows as the files have blocks."""
-    by_line = W.partitionBy(FILE, BLOCK).orderBy(LINE)
-    before = F.sum(F.col("odd").cast("int")).over(by_line.rowsBetween(W.unboundedPreceding, -1))
-    per_split = (
-        lines.select(FILE, BLOCK, LINE, "odd", (F.coalesce(before, F.lit(0)) % 2).alias("state"))
-        .groupBy(FILE, BLOCK)
-        .agg(
-            F.count_if("odd").alias("odd"),
-            F.max(F.when(F.col("state") == 0, F.col(LINE))).alias("last_if_outside"),
-            F.max(F.when(F.col("state") == 1, F.col(LINE))).alias("last_if_inside"),
-        )
+    """One row per group of lines: whether it begins inside quotes and, if so, the line (in some
+    earlier group) that began the record. As many rows as the files have groups."""
+    per_group = lines.groupBy(FILE, BLOCK, GROUP).agg(
+        F.count_if("odd").alias("odd"),
+        F.max(F.when(~F.col("odd_before"), F.col(LINE))).alias("last_if_outside"),
+        F.max(F.when(F.col("odd_before"), F.col(LINE))).alias("last_if_inside"),
     )
-    earlier = W.partitionBy(FILE).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    last = F.when(F.col("inside") == 0, F.col("last_if_outside")).otherwise(F.col("last_if_inside"))
+    earlier = W.partitionBy(FILE).orderBy(BLOCK, GROUP).rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2 == 1
+    last = F.when(~F.col("inside"), F.col("last_if_outside")).otherwise(F.col("last_if_inside"))
     opened = F.when(last.isNotNull(), F.struct(F.col(BLOCK).alias("block"), last.alias("line")))
-    return per_split.withColumn("inside", inside).select(
-        FILE, BLOCK, "odd", "inside", F.last(opened, ignorenulls=True).over(earlier).alias("opened")
+    return per_group.withColumn("inside", inside).select(
+        FILE, BLOCK, GROUP, "odd", "inside", F.last(opened, ignorenulls=True).over(earlier).alias("opened")
     )
 
 
-def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """Lines put together to records, each at the position of its first line. Only the
-    lines of records that have several are grouped."""
-    by_line = W.partitionBy(FILE, BLOCK).orderBy(LINE)
+def _parts(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """The lines of records that have several, each with the first line of its record."""
+    by_line = W.partitionBy(FILE, BLOCK, GROUP).orderBy(LINE)
     upto = by_line.rowsBetween(W.unboundedPreceding, W.currentRow)
-    odd_before = F.sum(F.col("odd").cast("int")).over(by_line.rowsBetween(W.unboundedPreceding, -1))
-    placed = (
-        lines.withColumn("odd_before", F.coalesce(odd_before, F.lit(0)))
-        .withColumn("is_header", (F.col(BLOCK) == 0) & (F.row_number().over(by_line) == 1))
-        .join(splits.select(FILE, BLOCK, "inside", "opened"), [FILE, BLOCK])
-        .withColumn("starts", (F.col("inside") + F.col("odd_before")) % 2 == 0)
+    # Filtered before the window: no whole line is the first line of another.
+    parts = _placed(lines, splits).where(f"NOT ({WHOLE})")
+    here = F.when(F.col("starts"), F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line")))
+    return parts.withColumn("first_line", F.coalesce(F.last(here, ignorenulls=True).over(upto), "opened"))
+
+
+def _placed(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    is_header = (F.col(BLOCK) == 0) & (F.col(GROUP) == 0) & (F.col(LINE) == F.col("first"))
+    firsts = lines.where(f"{BLOCK} = 0 AND {GROUP} = 0").groupBy(FILE).agg(F.min(LINE).alias("first"))
+    return (
+        lines.join(splits.select(FILE, BLOCK, GROUP, "inside", "opened"), [FILE, BLOCK, GROUP])
+        .join(firsts, FILE)
+        .withColumn("is_header", is_header)
+        .withColumn("starts", F.col("inside") == F.col("odd_before"))
     )
-    whole = F.col("starts") & ~F.col("odd")
 
-    here = F.when(F.col("starts"), F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line")))
-    first_line = F.coalesce(F.last(here, ignorenulls=True).over(upto), "opened")
+
+def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Lines put together to records, each at the position of its first line. Only the
+    lines of records that have several are shuffled and grouped."""
     in_order = F.array_sort(F.collect_list(F.struct(BLOCK, LINE, "value")))
     joined = (
-        placed.withColumn("first_line", first_line)
-        .where(~whole)
+        _parts(lines, splits)
         .groupBy(FILE, "first_line")
         .agg(F.array_join(in_order["value"], "\n").alias("text"), F.bool_or("is_header").alias("is_header"))
         .select("text", "is_header", FILE, F.col("first_line.block").alias(BLOCK), F.col("first_line.line").alias(LINE))
     )
-    alone = placed.where(whole).select(F.col("value").alias("text"), "is_header", FILE, BLOCK, LINE)
+    alone = _placed(lines, splits).where(WHOLE).select(F.col("value").alias("text"), "is_header", FILE, BLOCK, LINE)
     text = F.col("text")
     # The line ended in CR LF. A break within quotes is never the end of a record.
     bare = F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
@@ -160,11 +219,17 @@ def _read_records(
     spark: SparkSession, staged: str, path: str, header: list[str | None], columns: list[str]
 ) -> DataFrame:
     lines = fit_shuffle(spark.read.parquet(staged))
-    splits = _splits(lines)
-    # Checked before any record is built: an open quote takes in the rest of its file.
+    kept = f"{staged}-splits"
+    _splits(lines).write.parquet(kept)
+    splits = spark.read.parquet(kept)
+    # Checked before any record is built: an open quote takes in the rest of its file, and two
+    # stray ones all that stands between them.
     open_ended = splits.groupBy(FILE).agg((F.sum("odd") % 2).alias("odd")).where("odd = 1")
     if not open_ended.isEmpty():
         raise ValueError(f"{path}: unterminated quoted field")
+    sizes = _parts(lines, splits).groupBy(FILE, "first_line").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+    if not sizes.where(F.col("bytes") > MOST_RECORD_BYTES).isEmpty():
+        raise ValueError(f"{path}: a record of more than {MOST_RECORD_BYTES} bytes; a quote may be missing or stray")
 
     schema = ", ".join(f"`{c}` string" for c in columns)
     fields = F.from_csv("text", schema, {**DIALECT, "multiLine": "true"})
@@ -184,20 +249,19 @@ def read_csv(
 ) -> RawTable:
     """Scan the object (or the folder of equal objects) a source names.
 
-    ``multi_line``, also a key of ``conf``, says whether quoted fields hold line
-    breaks. Left out, one pass over the lines finds out; saying no saves that pass."""
+    One pass over the lines finds out whether some record is more or less than a line.
+    ``multi_line``, also a key of ``conf``, saves that pass if it is true; saying that there are
+    no such records does not, as the lines may tell otherwise. No row depends on it."""
     path = source_path(conf, base_path)
     header = read_header(spark, path)
     columns = normalise_all(name or "" for name in header)
-    if multi_line is None:
-        multi_line = conf.get("multi_line")
-    if not all(header):
-        # Spark's comparison of headers does not take a column without a name.
-        multi_line = True
     staged: tuple[str, ...] = ()
-    if _needs_records(spark, path) if multi_line is None else multi_line:
-        staged = (_stage_lines(spark, path),)
-        rows = _read_records(spark, staged[0], path, header, columns)
+    # Spark's comparison of headers does not take a column without a name.
+    multi_line = conf.get("multi_line") if multi_line is None else multi_line
+    if multi_line is True or not all(header) or _needs_records(spark, path):
+        folder = _stage_lines(spark, path)
+        staged = (folder, f"{folder}-splits")
+        rows = _read_records(spark, folder, path, header, columns)
     else:
         rows = _read_lines(spark, path, header, columns)
     return RawTable(rows, tuple(columns), (FILE, BLOCK, LINE), staged)

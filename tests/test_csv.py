@@ -1,9 +1,12 @@
 import csv
+import gzip
 import io
 import random
+import re
 
 import pytest
 
+from loomwright.sources import csv as source
 from loomwright.sources import source_reader
 from loomwright.sources.csv import read_csv, source_path
 
@@ -144,3 +147,65 @@ def test_several_files_with_an_unnamed_column(spark, tmp_path):
     (folder / "1.csv").write_text("a,\n1,x\n")
     (folder / "2.csv").write_text("a,\n2,y\n")
     assert rows(spark, tmp_path, {"key": "parts"}) == (["a", "col"], [("1", "x"), ("2", "y")])
+
+
+@pytest.mark.parametrize("multi_line", [None, False, True])
+@pytest.mark.parametrize(
+    ("content", "expected"),
+    [
+        ("a\n1\n\n2\n", [("1",), (None,), ("2",)]),
+        ('a\n"x\ny"\nz\n', [("x\ny",), ("z",)]),
+        ("a,b\n1,x\n\n2,y\n", None),
+        ('a,b\n1,"x\ny",\n', None),
+    ],
+)
+def test_rows_do_not_depend_on_what_is_said_of_the_lines(spark, tmp_path, content, expected, multi_line):
+    conf = write(tmp_path, content)
+    if expected is None:
+        with pytest.raises(Exception):
+            rows(spark, tmp_path, conf, multi_line=multi_line)
+    else:
+        assert rows(spark, tmp_path, conf, multi_line=multi_line)[1] == expected
+
+
+@pytest.mark.parametrize("multi_line", [None, False, True])
+@pytest.mark.parametrize("content", [b"a,b\nS\xe3o,1\n", b"a,b\nx,1\nS\xe3o,2\n", b'a,b\n"x\ny",1\nS\xe3o,2\n'])
+def test_bytes_that_are_no_utf8_fail(spark, tmp_path, content, multi_line):
+    (tmp_path / "latin.csv").write_bytes(content)
+    with pytest.raises(Exception, match="UTF-8"):
+        rows(spark, tmp_path, {"key": "latin.csv"}, multi_line=multi_line)
+
+
+def test_open_quote_in_the_header_fails(spark, tmp_path):
+    conf = write(tmp_path, 'a,"b\n' + "1,x\n" * 50_000)
+    with pytest.raises(Exception):
+        rows(spark, tmp_path, conf)
+
+
+def test_stray_quotes_far_apart_fail(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "MOST_RECORD_BYTES", 1000)
+    conf = write(tmp_path, 'a,b\n1,"x\n' + "1,x\n" * 500 + '1,x"\n2,y\n')
+    with pytest.raises(ValueError, match="stray"):
+        rows(spark, tmp_path, conf)
+
+
+def test_a_compressed_file_has_many_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "GROUP_LINES", 100)
+    expected = [(str(i), f"x\ny{i}" if i % 3 else f"z{i}") for i in range(1000)]
+    content = "a,b\n" + "".join(f'{a},"{b}"\n' for a, b in expected)
+    (tmp_path / "part.csv.gz").write_bytes(gzip.compress(content.encode()))
+    raw = read_csv(spark, {"key": "part.csv.gz"}, base_path=str(tmp_path))
+    assert sorted(map(tuple, raw.rows.select("a", "b").collect())) == sorted(expected)
+    assert spark.read.parquet(raw.staged[1]).count() == 17
+
+
+def test_only_lines_of_long_records_are_shuffled(spark, tmp_path):
+    conf = write(tmp_path, 'a,b\n1,"x\ny"\n' + "2,z\n" * 100)
+    raw = read_csv(spark, conf, base_path=str(tmp_path))
+    raw.rows.write.format("noop").mode("overwrite").save()
+    lines = spark.read.parquet(raw.staged[0])
+    splits = spark.read.parquet(raw.staged[1])
+    plan = source._parts(lines, splits)._jdf.queryExecution().optimizedPlan().toString()
+    # What goes into the window has been filtered or joined on whether a line is whole.
+    assert plan.count("Window") == 1 and re.search(r"(Filter|Join)[^\n]*odd", plan.partition("Window")[2])
+    assert "Window" not in source._placed(lines, splits)._jdf.queryExecution().optimizedPlan().toString()

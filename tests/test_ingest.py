@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row
 
 from loomwright import QualityError, ingest_all, ingest_table, parse_config, results_frame
-from loomwright.config import ColumnSpec, TableSpec
+from loomwright.config import ColumnSpec, Config, TableSpec
 from loomwright.functions.types import parse_type
 from loomwright.paths import table_files
 from loomwright.rules import column_rule, table_rule, unique
@@ -394,3 +394,38 @@ def test_counts_are_taken_in_the_stage_that_writes(spark, tmp_path):
     observed = rows.observe(Observation(), metrics[0].value.alias("m0"))
     plan = observed._jdf.queryExecution().executedPlan().toString()
     assert plan.index("CollectMetrics") < plan.index("Window") < plan.index("Exchange")
+
+
+def test_loads_at_once_change_no_settings_of_others(spark, tmp_path, schema):
+    names = [f"t{i}" for i in range(4)]
+    for name in names:
+        spark.sql(f"CREATE TABLE {schema}.{name} (v string, k int) USING parquet PARTITIONED BY (k)")
+        spark.sql(f"INSERT INTO {schema}.{name} VALUES ('old', 7)")
+        (tmp_path / f"{name}.csv").write_text("k,v\n1,a\n2,b\n")
+        spark.table(f"{schema}.{name}").count()
+    specs = tuple(spec(schema, table=n, key=f"{n}.csv", columns=cols(k="int")) for n in names)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    before = spark.conf.getAll
+    try:
+        results = ingest_all(spark, Config("c", specs), base_path=str(tmp_path), parallel=4)
+        assert [r.error for r in results] == [None] * 4
+        assert spark.conf.getAll == before
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    for name in names:
+        assert sorted(map(tuple, spark.table(f"{schema}.{name}").collect())) == [("a", 1), ("b", 2)]
+
+
+@pytest.mark.parametrize("value", ["2017-10-02 garbage", "2017-10-02Tzzz", "2017-10-02 25:99"])
+def test_dates_with_something_behind_them_fail(spark, tmp_path, schema, value):
+    s = spec(schema, columns=cols(a="date"))
+    with pytest.raises(Exception, match="column a: invalid"):
+        load(spark, tmp_path, f"a\n{value}\n", s)
+    load(spark, tmp_path, "a\n2017-10-02 10:56:33\n2017-10-03\n", s)
+    assert content(spark, s) == [(dt.date(2017, 10, 2),), (dt.date(2017, 10, 3),)]
+
+
+def test_uniqueness_of_the_key_is_measured(spark, tmp_path, schema):
+    s = spec(schema, columns=cols(a="int"), primary_key=("a",), rules=(unique("a"),))
+    result = load(spark, tmp_path, "a,b\n1,x\n1,y\n2,z\n", s)
+    assert [(c["check_type"], c["observed"], c["duplicate_rows"], c["passed"]) for c in result.quality] == [("unique", 0, 0, True)]

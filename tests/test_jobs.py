@@ -8,6 +8,7 @@ from loomwright import (
     Seed,
     ValidationError,
     build_models,
+    ingest_all,
     mart_checkpoint,
     order_models,
     parse_config,
@@ -16,14 +17,14 @@ from loomwright import (
     validate_tables,
 )
 from loomwright.cli import main
-from loomwright.config import ColumnSpec
+from loomwright.config import ColumnSpec, Config, TableSpec
 from loomwright.functions.types import parse_type
 from loomwright.plans.sweep import list_tables
 from loomwright.rules import Rule, column_rule
 
 SEED = (
     "﻿order_id,order_status,order_purchase_timestamp\n"
-    "1,delivered,2025-01-01 10:00:00\n2,shipped,2025-01-02 12:30:00\n3,canceled,2025-01-03 09:15:00\n"
+    "11,canceled,2019-05-06 07:08:09\n12,delivered,2020-02-29 23:59:59\n13,shipped,2021-12-31 00:00:01\n"
 )
 
 
@@ -65,12 +66,12 @@ def test_seed_models_and_checkpoint(spark, tmp_path, analytics):
     checks = mart_checkpoint(spark, f"{analytics}_marts.orders_summary", ["delivered"]).collect()
     assert [c.observed for c in checks] == [0, 2, 0, 0]
     # Built again, with other rows.
-    build_models(spark, order_models(), [order_seed(tmp_path, SEED + "4,shipped,2025-01-04 00:00:00\n")], schema=analytics)
+    build_models(spark, order_models(), [order_seed(tmp_path, SEED + "14,shipped,2022-01-04 00:00:00\n")], schema=analytics)
     assert [r.cnt for r in spark.table(f"{analytics}_marts.orders_summary").collect()] == [1, 1, 2]
 
 
 def test_a_failing_test_blocks_what_depends_on_it(spark, tmp_path, analytics):
-    seed = order_seed(tmp_path, SEED + "3,,2025-01-03 09:15:00\n")
+    seed = order_seed(tmp_path, SEED + "13,,2021-01-03 09:15:00\n")
     models = [*order_models(), Model("apart", "SELECT 1 AS one")]
     nodes = {n.node: n for n in build_models(spark, models, [seed], schema=analytics).collect()}
     assert (nodes["stg_orders"].status, nodes["stg_orders"].failed_tests) == ("fail", 2)
@@ -136,7 +137,7 @@ def test_folder_of_models(spark, tmp_path, analytics, capsys):
         ("at", "timestamp_ntz"),
     ]
     assert sorted(r.cnt for r in spark.table(f"{analytics}_marts.counted").collect()) == [1, 1, 1]
-    order_seed(tmp_path, SEED + "3,shipped,2025-01-04 00:00:00\n")
+    order_seed(tmp_path, SEED + "13,shipped,2022-01-04 00:00:00\n")
     assert main(command, spark) == 1
 
 
@@ -193,10 +194,12 @@ def test_validation(spark, tmp_path, schema):
         "good": (True, 2, 2, 0, None),
         "bad": (False, 3, 0, 3, None),
         "absent": (False, 0, 0, 0, "missing_table"),
-        "broken": (False, 0, 0, 0, None),
+        "broken": (False, 1, 0, 1, None),
         "free": (True, 0, 0, 0, None),
     }
-    assert "no column zz" in got["broken"].error
+    assert got["broken"].error is None
+    broken = next((tmp_path / "out" / f"name={schema}.broken").glob("*.json"))
+    assert "no column zz" in json.loads(broken.read_text())["results"][0]["error"]
     files = list((tmp_path / "out" / f"name={schema}.bad").glob("*.json"))
     assert len(files) == 2
     document = json.loads(files[0].read_text())
@@ -236,3 +239,42 @@ tables:
     assert main(["validate", *config, "--source-id", "other"], spark) == 0
     assert main(["sweep", schema], spark) == 0
     assert f'"destination_table":"{schema}.a"' in capsys.readouterr().out
+
+
+def test_two_entries_on_one_table_and_a_bad_rule_among_good_ones(spark, schema):
+    spark.sql(f"CREATE TABLE {schema}.t USING parquet AS SELECT * FROM VALUES (1, 'a'), (2, null) AS t(id, name)")
+
+    def entry(name, *rules):
+        return TableSpec(f"v.{name}", schema, "t", "append", {}, table_id=name, rules=rules)
+
+    passing = entry("passing", column_rule("not_null", "id"))
+    failing = entry("failing", column_rule("not_null", "name"), column_rule("regex", "id", pattern="x"), column_rule("not_null", "id"))
+    got = {r.pipeline_id: r for r in validate_tables(spark, Config("v", (passing, failing))).collect()}
+    assert (got["v.passing"].success, got["v.passing"].evaluated) == (True, 1)
+    assert (got["v.failing"].success, got["v.failing"].evaluated, got["v.failing"].successful) == (False, 3, 1)
+
+
+def test_a_bad_table_does_not_keep_the_others_from_loading(spark, tmp_path, schema):
+    (tmp_path / "a.csv").write_text("id\n1\n")
+    root = {
+        "sync": {"name": "s", "source": {"bucket": "b"}, "destination": {"default_schema": schema}},
+        "tables": [
+            {"id": "a", "source": {"key": "a.csv"}},
+            {"id": "b", "source": {"key": "a.csv"}, "quality": {"table": {"checks": [{"name": "no_such_rule"}]}}},
+            {"id": "c", "source": {"key": "a.csv"}, "table": {"write_mode": "sideways"}},
+        ],
+    }
+    with pytest.raises(ValueError):
+        parse_config(root)
+    config = parse_config(root, strict=False)
+    results = {r.pipeline_id: r for r in ingest_all(spark, config, base_path=str(tmp_path))}
+    assert results["s.a"].error is None and spark.table(f"{schema}.a").count() == 1
+    assert "no_such_rule" in results["s.b"].error and "sideways" in results["s.c"].error
+    summary = {r.pipeline_id: r for r in validate_tables(spark, config).collect()}
+    assert summary["s.a"].success and "no_such_rule" in summary["s.b"].error
+
+
+def test_checkpoint_command(spark, schema):
+    spark.sql(f"CREATE TABLE {schema}.mart USING parquet AS SELECT 'x' AS order_status, 1 AS cnt")
+    assert main(["checkpoint", f"{schema}.mart", "--statuses", "x", "y"], spark) == 0
+    assert main(["checkpoint", f"{schema}.mart"], spark) == 1

@@ -189,3 +189,13 @@ def test_row_rules_are_one_scan(spark, tmp_path):
     plan = check_table(spark.read.parquet(path), "t", [unique("id"), unique("s"), unique("n", "s")])
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     assert Rule("unique", ("n", "s")).column == "n,s"
+
+
+def test_rows_without_a_key_are_left_out_by_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1), (1, None), (None, 1), (None, None), (1, 1)], "a int, b int").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = check_table(df, "t", [unique("a")])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(a)]" in plan
+    both = [unique("a"), unique("a", "b")]
+    assert [(r.observed, r.duplicate_rows) for r in check_table(df, "t", both).collect()] == [(1, 3), (1, 2)]
