@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, staged, texts_of
 
-WAYS = 3  # hashes that choose borders
+WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
 EVERY = 2  # a border after one line in so many
 LONG_LINE = 50  # words
