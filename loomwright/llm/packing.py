@@ -32,7 +32,7 @@ from .tokens import ID_BYTES, encoder
 LARGE = 3  # a length is large if it exceeds the capacity divided by this
 GROUPS = 128  # sizes that the large lengths are rounded up to
 CLOSE = 1e-3  # how near to the best the linear program is solved
-BLOCK_ROWS = 1000  # pieces of one length that one task ranks
+BLOCK_ROWS = 200  # pieces of one length that one task ranks
 
 
 # --- pieces -----------------------------------------------------------------------------
