@@ -19,7 +19,6 @@ from loomwright import (
     ColumnSpec,
     Config,
     Rule,
-    Seed,
     TableSpec,
     build_models,
     column_rule,
@@ -27,6 +26,7 @@ from loomwright import (
     ingest_table,
     mart_checkpoint,
     order_models,
+    read_seeds,
     results_frame,
     sweep_row_counts,
     table_rule,
@@ -153,10 +153,12 @@ def mart_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seeds of a folder, with the types that their values tell."""
     nation = _table(spark, sf_dir, "nation")
-    base, key = _as_csv(nation)
+    folder = shared_dir(spark, "seeds")
+    nation.write.options(header=True).csv(f"{folder}/nation.csv")
     schema = _schema(spark)
-    build_models(spark, [], [Seed("nation", f"{base}/{key}", _declared(nation))], schema=schema)
+    build_models(spark, [], read_seeds(folder, spark), schema=schema)
     return spark.table(f"{schema}.nation")
 
 

@@ -68,7 +68,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         _print(summary)
         return int(not summary.where("NOT success").isEmpty())
     if args.job == "build":
-        nodes = build_models(spark, read_models(args.models), read_seeds(args.seeds) if args.seeds else (), args.schema)
+        nodes = build_models(spark, read_models(args.models, spark), read_seeds(args.seeds, spark) if args.seeds else (), args.schema)
         _print(nodes)
         return int(not nodes.where("status <> 'success'").isEmpty())
     if args.job == "checkpoint":

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from .functions.identifiers import normalise, normalise_all
@@ -161,6 +162,11 @@ def load_config(path: str | None = None, text: str | None = None, strict: bool =
     if not text:
         if not path:
             raise ValueError("give a config path or text")
-        with open(path, encoding="utf-8-sig") as f:
-            text = f.read()
+        if "://" in path:
+            # In a store that Spark reads.
+            spark = SparkSession.builder.getOrCreate()
+            text = spark.read.text(path, wholetext=True).first()[0].removeprefix("\ufeff")
+        else:
+            with open(path, encoding="utf-8-sig") as f:
+                text = f.read()
     return parse_config(read_yaml(text), strict)

@@ -33,6 +33,29 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def list_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...], below: bool = False) -> list[str]:
+    """Files (and folders that are written as one file is) of a folder in any file system
+    that Spark reads; ``below`` looks into its folders, too."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, folders = [], [path]
+    while folders:
+        for status in system.listStatus(folders.pop()):
+            name = status.getPath().toString()
+            if name.endswith(suffixes):
+                found.append(name)
+            elif below and status.isDirectory():
+                folders.append(status.getPath())
+    return sorted(found)
+
+
+def read_texts(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Small text files, whole."""
+    texts = {path: spark.read.text(path, wholetext=True).first() for path in paths}
+    return {path: row[0].removeprefix("\ufeff") if row else "" for path, row in texts.items()}
+
+
 @dataclass(frozen=True)
 class TableFiles:
     location: str | None

@@ -6,17 +6,19 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ColumnSpec, read_yaml
+from ..functions.identifiers import normalise
+from ..functions.types import SHORTEST_DATE, parse_type
 from ..operators.load import ensure_schema, ensure_table, replace
 from ..operators.project import project, resolve_schema
 from ..operators.quality import check_table
-from ..paths import delete_dir
+from ..paths import delete_dir, list_files, read_texts
 from ..rules import Rule, column_rule
 from ..session import fit_shuffle, setting
 from ..sources import read_csv
@@ -48,6 +50,32 @@ class Seed:
     name: str
     path: str
     columns: tuple[ColumnSpec, ...] = ()
+    infer: bool = False  # take the types of other columns from their values
+
+
+# The types that the values of a seed can tell, in this order. All else is text.
+_INFERRED = (T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampNTZType())
+
+
+def infer_columns(rows: DataFrame, names: Iterable[str]) -> tuple[ColumnSpec, ...]:
+    """The first type that all values of a column have; a column without values is text. Text
+    shorter than a date is no time."""
+    names = list(names)
+
+    def holds(name: str, kind: T.DataType) -> Any:
+        text = F.col(f"`{name}`")
+        fits = text.try_cast(kind).isNotNull()
+        if isinstance(kind, T.TimestampNTZType):
+            fits &= F.length(text) >= SHORTEST_DATE
+        return F.bool_and(F.when(text.isNotNull(), fits))
+
+    if not names:
+        return ()
+    found = rows.agg(*[F.array(*[holds(n, kind) for kind in _INFERRED]).alias(f"c{i}") for i, n in enumerate(names)]).first()
+    return tuple(
+        ColumnSpec(n, next((kind for kind, fits in zip(_INFERRED, found[i], strict=True) if fits), T.StringType()))
+        for i, n in enumerate(names)
+    )
 
 
 @dataclass(frozen=True)
@@ -81,27 +109,40 @@ def parse_tests(root: Mapping[str, Any]) -> dict[str, tuple[Rule, ...]]:
     return found
 
 
-def read_models(folder: str) -> list[Model]:
-    """Models of a folder: ``<name>.sql``, in a subfolder that names the suffix of their schema,
-    with tests in the ``.yml`` files next to them."""
-    root = Path(folder)
-    tests: dict[str, tuple[Rule, ...]] = {}
-    for path in sorted([*root.rglob("*.yml"), *root.rglob("*.yaml")]):
-        tests |= parse_tests(read_yaml(path.read_text(encoding="utf-8-sig")) or {})
-    return [
-        Model(
-            path.stem,
-            path.read_text(encoding="utf-8-sig").strip().rstrip(";"),
-            tests.get(path.stem, ()),
-            path.parent.name if path.parent != root else None,
-        )
-        for path in sorted(root.rglob("*.sql"))
-    ]
+def _named(path: str) -> tuple[str, str]:
+    """The folder and the name of a file."""
+    folder, _, file = path.rstrip("/").rpartition("/")
+    return folder, file.rpartition(".")[0]
 
 
-def read_seeds(folder: str) -> list[Seed]:
-    """A seed per CSV file. Their columns are text, which the models cast."""
-    return [Seed(path.stem, str(path)) for path in sorted(Path(folder).glob("*.csv"))]
+def read_models(folder: str, spark: SparkSession | None = None) -> list[Model]:
+    """Models of a folder in any file system: ``<name>.sql``, in a subfolder that names the suffix
+    of their schema, with tests in the ``.yml`` files next to them."""
+    spark = spark or SparkSession.active()
+    tests: dict[str, tuple[Rule, ...]] = {}
+    for text in read_texts(spark, list_files(spark, folder, (".yml", ".yaml"), below=True)).values():
+        tests |= parse_tests(read_yaml(text) or {})
+    queries = read_texts(spark, list_files(spark, folder, (".sql",), below=True))
+    models = []
+    for path, query in queries.items():
+        parent, name = _named(path)
+        inside = parent.removesuffix("/").endswith(folder.rstrip("/"))
+        models.append(Model(name, query.strip().rstrip(";"), tests.get(name, ()), None if inside else parent.rpartition("/")[2]))
+    return models
+
+
+def read_seeds(folder: str, spark: SparkSession | None = None) -> list[Seed]:
+    """A seed per CSV file (or folder of them that is named like one), in any file system. Types
+    stand in the ``.yml`` files next to them (``seeds: [{name, config: {column_types: {column:
+    type}}}]``); where none does, the values tell."""
+    spark = spark or SparkSession.active()
+    declared: dict[str, tuple[ColumnSpec, ...]] = {}
+    for text in read_texts(spark, list_files(spark, folder, (".yml", ".yaml"))).values():
+        for seed in (read_yaml(text) or {}).get("seeds") or []:
+            types = (seed.get("config") or {}).get("column_types") or {}
+            declared[seed["name"]] = tuple(ColumnSpec(normalise(c), parse_type(t)) for c, t in types.items())
+    paths = list_files(spark, folder, (".csv",))
+    return [Seed(_named(p)[1], p, declared.get(_named(p)[1], ()), infer=True) for p in paths]
 
 
 def staging_sql(source: str, key: str, status: str, at: str) -> str:
@@ -112,7 +153,7 @@ def staging_sql(source: str, key: str, status: str, at: str) -> str:
     )
 
 
-# The mart: how many orders there are of each status.
+# The mart, how many orders there are of each status.
 ORDERS_SUMMARY_SQL = """
 WITH staged AS (SELECT order_status FROM {{ ref('stg_orders') }})
 SELECT order_status, CAST(count(*) AS int) AS cnt
@@ -158,8 +199,11 @@ def mart_checkpoint(spark: SparkSession, table: str, statuses: Iterable[str] = M
 def load_seed(spark: SparkSession, seed: Seed, relation: str) -> None:
     folder, _, key = seed.path.rpartition("/")
     raw = read_csv(spark, {"key": key}, base_path=folder or ".")
-    columns = resolve_schema(raw.columns, seed.columns)
     try:
+        known = seed.columns
+        if seed.infer:
+            known += infer_columns(raw.rows, [c for c in raw.columns if c not in {k.name for k in known}])
+        columns = resolve_schema(raw.columns, known)
         rows = project(raw.rows, columns, raw.columns)
         ensure_table(spark, relation, columns)
         replace(rows, relation)

@@ -13,6 +13,7 @@ from loomwright import (
     order_models,
     parse_config,
     parse_tests,
+    read_seeds,
     sweep_row_counts,
     validate_tables,
 )
@@ -278,3 +279,16 @@ def test_checkpoint_command(spark, schema):
     spark.sql(f"CREATE TABLE {schema}.mart USING parquet AS SELECT 'x' AS order_status, 1 AS cnt")
     assert main(["checkpoint", f"{schema}.mart", "--statuses", "x", "y"], spark) == 0
     assert main(["checkpoint", f"{schema}.mart"], spark) == 1
+
+
+def test_types_of_seeds(spark, tmp_path, schema):
+    (tmp_path / "s.csv").write_text("i,big,x,at,code,none,mixed\n1,3000000000,1.5,2020-01-02 03:04:05,07,,1\n,5,2,2020-01-03,08,,a\n")
+    (tmp_path / "s.yml").write_text("seeds:\n  - name: s\n    config: {column_types: {code: text}}\n")
+    (seed,) = read_seeds(str(tmp_path), spark)
+    assert seed.name == "s" and [c.name for c in seed.columns] == ["code"]
+    build_models(spark, [], [seed], schema=schema)
+    kinds = dict(spark.table(f"{schema}.s").dtypes)
+    assert kinds == {
+        "i": "int", "big": "bigint", "x": "double", "at": "timestamp_ntz", "code": "string", "none": "string", "mixed": "string"
+    }
+    assert sorted(r.code for r in spark.table(f"{schema}.s").collect()) == ["07", "08"]
