@@ -30,7 +30,7 @@ from .tokens import encoder
 MAGIC = b"LWTOK1\0\0"
 FOOTER = "<QQqQQQQ8s"
 FOOTER_BYTES = struct.calcsize(FOOTER)
-FILE_BYTES = 64 << 20  # of text, for the number of files
+FILE_BYTES = 128 << 20  # of text in a file, near enough
 READ_DOCS, READ_BYTES = 4096, 8 << 20
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts_of
+from .common import map_batches, staged, texts_of
 
 MOST_LABELLED = 20_000  # labelled texts that training reads, near enough
 LEAST_TEXTS = 5  # toxic texts that a feature needs
@@ -163,7 +163,8 @@ def _all_features(batch: pa.RecordBatch) -> dict[str, pa.Array]:
 def train(rows: DataFrame) -> Ordinal:
     """Learn from ``text, grade`` (``labelled_texts``); grade 0 is clean. The driver gets the
     features of the toxic texts that ``LEAST_TEXTS`` of them share, and the sparse rows."""
-    rows = rows.dropDuplicates(["text"])
+    # Written once: the passes below read the bounded sample, not the corpus.
+    rows = staged(rows.dropDuplicates(["text"]), "labelled")
     toxic = rows.where("grade > 0")
     marked = toxic.select("text", F.shiftrightunsigned(F.xxhash64("text"), 24).alias("mark"))
     seen = map_batches(marked, _all_features, "feature string, n long, texts long", text=0)
