@@ -124,12 +124,13 @@ def fit(rows: np.ndarray, columns: np.ndarray, entries: np.ndarray, grades: np.n
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> DataFrame:
-    """``text, grade`` of labelled documents: all, or about ``most`` chosen by a hash of the
-    text, so that copies of a text come once or not at all. Null texts and labels teach nothing."""
+    """``text, grade`` of labelled documents: all, or about ``most`` chosen by a hash of their
+    ids. Null texts and labels teach nothing, and of several labels of a document one counts.
+    The chosen labels are few by that bound, so they go to the documents."""
     wanted = labels.select("doc_id", F.col(label).cast("int").alias("grade")).dropna().dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text").dropna().join(wanted, "doc_id")
     share = most / max(most, wanted.count())
-    return rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)).select("text", "grade")
+    chosen = wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
+    return docs.select("doc_id", "text").dropna().join(F.broadcast(chosen), "doc_id").select("text", "grade")
 
 
 def _counted(rows: DataFrame, known: dict[str, int], schema: str) -> DataFrame:
