@@ -126,12 +126,13 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     by a hash of the text. Driver and filter hold at most ``1 / LEAST_RATE`` n-grams for each
     language and size."""
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).dropna()
-    counted = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    languages = sorted(row[0] for row in counted.select("lang").collect())
-    number = F.array_position(F.lit(languages) if languages else F.array().cast("array<string>"), F.col("lang"))
-    share = F.lit(float(train_docs)) / F.col("rows")
-    chosen = rows.join(counted, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
-    chosen = chosen.select(number.cast("int").alias("number"), "text")
+    counted = sorted(map(tuple, rows.groupBy("lang").count().collect()))  # a row for each language
+    languages = [lang for lang, _ in counted]
+    # How much of a language is read; as a local table it goes to the texts, not they to it.
+    parts = [(lang, k, min(1.0, train_docs / n)) for k, (lang, n) in enumerate(counted, 1)]
+    share = labelled.sparkSession.createDataFrame(parts, "lang string, number int, share double")
+    chosen = rows.join(share, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    chosen = chosen.select("number", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_batches(batches, 1 << 20):
