@@ -217,7 +217,10 @@ def templates(pages: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("pages", "times", "vector", "chars")]
     tokens = map_batches(rows, _tokens, schema).groupBy("host", "path", "text").agg(*sums)
     tokens = staged(tokens, "tokens")
+    # Written, so that the size of the table is known before it is joined: the tokens of a
+    # large host need not come together for it.
     hosts = tokens.where("path = '' AND text IS NULL").select("host", F.col("pages").alias("all"), F.col("vector").alias("each"))
+    hosts = staged(hosts, "hosts")
     shared = tokens.join(hosts, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SHARE * F.col("all")))
     texts = shared.where("text IS NOT NULL").groupBy("host").agg(F.collect_list("text").alias("texts"))
     varying = tokens.join(hosts, "host").where("text IS NOT NULL").where(
