@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import os
+import struct
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -13,6 +15,20 @@ ID_BYTES = 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # Pieces that the library gets in one text, and what may stand between them.
 JOINED, MARKS = 50, ("\n", " \x01")
+LEADS, SAMPLES = ("\u0120", ""), ("a", "The", "house", "Zqxvbw", "internationalisation", "LLM", "\u00fcber", "\u00c9l\u00e8ve", "\u0130")
+# The letters before this are of the Latin script, in all versions of Unicode.
+LATIN_END = "\u0250"
+
+
+def _byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: visible Latin-1 characters as they are, the
+    others as characters from 256 on, in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + hidden.index(b)) for b in hidden}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 
 class TextEncoder:
@@ -20,10 +36,10 @@ class TextEncoder:
 
     The pre-tokenizers of byte-level and of word-end vocabularies never join what stands
     on the two sides of a space or line break, provided that the characters next to it are
-    not white space themselves. So a text is cut there, and the library encodes each different
-    piece once; pieces that recur come from memory. A text with other white space is handed to
-    the library whole. Both ways give the ids of the whole text, and
-    the names of special tokens are ordinary text.
+    not white space themselves, and they cut a comma or full stop from letters before it. So a
+    text is cut there, and the library encodes each different piece once; pieces that recur
+    come from memory. A text with other white space is handed to the library whole. Both ways
+    give the ids of the whole text, and the names of special tokens are ordinary text.
 
     ``remember`` bounds the pieces in memory: beyond half of it, those not used since are
     forgotten.
@@ -36,14 +52,37 @@ class TextEncoder:
         # The ids of a piece, or None if a text with that piece has to be encoded whole.
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.normalizer = self.tokenizer.normalizer
+        self.lower = self.normalizer is not None and self.normalizer.normalize_str("Aa") == "aa"
+        # What the pre-tokenizer makes of the space in front of a word, if the model can be asked.
+        self.lead: str | None = next((lead for lead in LEADS if self._leads(lead)), None)
+        self.tails = dict(zip(",.", self._library([",", "."]), strict=True))
         # What can stand between pieces so that its own id tells them apart again.
         self.mark, self.mark_id = next(filter(None, map(self._apart, MARKS)), ("", -1))
 
+    def _leads(self, lead: str) -> bool:
+        self.lead = lead
+        return all(self._word(w) in (None, self._library([" " + w])[0]) for w in SAMPLES)
+
     def _apart(self, mark: str) -> tuple[str, int] | None:
         left, whole, right = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (" a", f" a{mark} b", " b"))
         inner = whole[len(left) : -len(right)]
         return (mark, inner[0]) if len(inner) == 1 and whole == left + inner + right else None
 
+    def _word(self, letters: str) -> bytes | None:
+        """Latin letters behind a space are one piece to every pre-tokenizer, so they go to the
+        model of the library at once, as the characters that stand for their bytes."""
+        if letters.isascii():
+            text = letters.lower() if self.lower else letters
+        else:
+            text = self.normalizer.normalize_str(letters) if self.normalizer else letters
+            if not text.isalpha():
+                return None
+            text = text.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        ids = [t.id for t in self.tokenize(self.lead + text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
@@ -52,18 +91,19 @@ class TextEncoder:
         """Ids of pieces behind a space; many go into one text, since a text of its own for
         each costs more than its ids."""
         sign, joint = self.mark.strip(" "), self.mark + " "
+        if not pieces:
+            return []
         if not sign or any(sign in p for p in pieces):
             return self._library([" " + p for p in pieces])
         texts = [" " + joint.join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
-        out: list[bytes] = []
+        flat: list[int] = []
         for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.asarray(encoded.ids, dtype="<u4")
-            data, start = ids.tobytes(), 0
-            for end in (ID_BYTES * np.flatnonzero(ids == self.mark_id)).tolist():
-                out.append(data[start:end])
-                start = end + ID_BYTES
-            out.append(data[start:])
-        return out
+            flat += encoded.ids
+            flat.append(self.mark_id)
+        ids = np.asarray(flat, dtype="<u4")
+        data, ends = ids.tobytes(), (ID_BYTES * np.flatnonzero(ids == self.mark_id)).tolist()
+        starts = [0, *[end + ID_BYTES for end in ends[:-1]]]
+        return [data[start:end] for start, end in zip(starts, ends, strict=True)]
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.known) > self.remember // 2:
@@ -81,7 +121,18 @@ class TextEncoder:
         known.update(dict.fromkeys(odd))
         known.update(zip(behind_break, self._library(behind_break), strict=True))
         plain = [p for p in plain if p] if "" in fresh else plain
-        known.update(zip(plain, self._pieces(plain), strict=True))
+        rest = []
+        for p in plain:
+            tail = self.tails.get(p[-1], b"")
+            core = p[:-1] if tail else p
+            ids = None
+            if self.lead is not None and core.isalpha() and (core.isascii() or max(core) < LATIN_END):
+                ids = known.get(core) or self._word(core)
+            if ids is None:
+                rest.append(p)
+            else:
+                known[p] = ids + tail
+        known.update(zip(rest, self._pieces(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -101,15 +152,15 @@ class TextEncoder:
         self._learn(set().union(*parts))
         # No space stands in front of the first word.
         firsts = self._library([words[0] for words in parts])
-        known = self.known
+        find = self.known.__getitem__
         out: list[bytes | None] = []
         for words, first in zip(parts, firsts, strict=True):
-            ids = [known[word] for word in words]
-            if None in ids:
+            alone = find(words[0]) is None and words != [""]
+            try:
+                # A piece that stands for itself only with its neighbours has no bytes to join.
+                out.append(None if alone else first + b"".join(map(find, islice(words, 1, None))))
+            except TypeError:
                 out.append(None)
-            else:
-                ids[0] = first
-                out.append(b"".join(ids))
         left = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(left, self._library([texts[i] for i in left]), strict=True):
             out[i] = ids
