@@ -34,8 +34,8 @@ SHARE, LEAST_PAGES = 0.5, 3
 # Names of elements, of roles and of parts of class names and ids.
 RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|canvas|math|xmp|title"
 BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th "
+    "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

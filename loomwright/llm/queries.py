@@ -133,7 +133,8 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 # Five hexadecimal digits are four of base 32.
 _DIGIT = "(instr('0123456789abcdef', substr(h, CAST(5 * k + {0} AS BIGINT), 1)) - 1)"
 _NUMBER = "(" + " * 16 + ".join(["(" * 4 + _DIGIT.format(1)] + [f"{_DIGIT.format(i)})" for i in range(2, 6)]) + ")"
-_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({_NUMBER} >> {shift}) & 31 AS BIGINT) + 1, 1)" for shift in (15, 10, 5, 0))
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+_BASE32 = " || ".join(f"substr({_LETTERS}, CAST(({_NUMBER} >> {shift}) & 31 AS BIGINT) + 1, 1)" for shift in (15, 10, 5, 0))
 
 WARC_SQL = f"""
 WITH payloads AS (

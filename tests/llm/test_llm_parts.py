@@ -159,7 +159,7 @@ def test_ordinal_grades_are_ordered():
 PAGE = (
     "<html><head><title>t</title><style>p{}</style></head><body><header>Site</header><nav><a>Home</a></nav>"
     '<div class="cookie-notice">We use cookies</div><article><h1>A &amp; B</h1><p>One\n two<br>three<p>Four <span class="ad">buy</span>five</p>'
-    '<script>var x="</p>";</script><ul><li>x<li>y</ul><div class="comments"><p>me too</p></div></article>'
+    '<script>var x="</p>";</script><button>Send</button><ul><li>x<li>y</ul><div class="comments"><p>me too</p></div></article>'
     "<aside>side</aside><form><p>mail</p></form><footer>&copy; z</footer></body>"
 )
 
