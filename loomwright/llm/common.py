@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..paths import shared_dir
+from ..paths import delete_dir, shared_dir
 from ..session import fit_shuffle
 
 # Names that no input column has.
@@ -30,6 +31,24 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for tables that nothing reads any more when the block ends. What the block
+    hands out has to be written outside of them by then."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, purpose: str) -> DataFrame:
+        paths.append(shared_dir(spark, purpose))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            delete_dir(spark, path)
+
+
 def row_key(text: str = "text") -> list[Column]:
     """Columns that identify a document: its id and a hash of its text. Rows that agree in
     both are the same document and are treated alike."""

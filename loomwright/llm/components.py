@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import scratch, staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,23 +18,33 @@ def connected_components(edges: DataFrame) -> DataFrame:
     many neighbours is a hot key of one aggregation, which is made before the shuffle, and of
     one join, which Spark splits.
     """
-    links = staged(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-        # Large star: neighbours above a node go to the smallest it knows.
-        large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = staged(large.where(F.col("a") != F.col("b")).distinct(), "links")
-        # Small star: a node and its smaller neighbours go to the smallest of them.
-        smallest = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(smallest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        small = small.unionByName(smallest.select("a", F.col("least").alias("b")))
-        small = staged(small.where(F.col("a") != F.col("b")).distinct(), "links")
-        # Done when every node hangs on one root that hangs on none.
-        heads = small.select(F.col("b").alias("a")).distinct()
-        twice = small.groupBy("a").count().where("count > 1").limit(1).count()
-        if not twice and not small.join(heads, "a", "left_semi").limit(1).count():
-            break
-        links = small
-    roots = small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return small.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    spark = edges.sparkSession
+    ordered = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    with scratch(spark) as keep:
+        links = keep(ordered.distinct(), "links")
+        while True:
+            large = keep(_large_star(links), "links")
+            links = keep(_small_star(large), "links")
+            # Done when every node hangs on one root that hangs on none.
+            roots = links.select(F.col("b").alias("a")).distinct()
+            twice = links.groupBy("a").count().where("count > 1").limit(1).count()
+            if not twice and not links.join(roots, "a", "left_semi").limit(1).count():
+                break
+        heads = roots.select(F.col("a").alias("node"), F.col("a").alias("component"))
+        return staged(links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(heads), "components")
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    """The neighbours above a node go to the smallest node it knows."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+    large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return large.where(F.col("a") != F.col("b")).distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours go to the smallest of them."""
+    least = links.groupBy("a").agg(F.min("b").alias("least"))
+    small = links.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    small = small.unionByName(least.select("a", F.col("least").alias("b")))
+    return small.where(F.col("a") != F.col("b")).distinct()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, staged, texts_of
+from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scratch, staged, texts_of
 
 WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
@@ -89,14 +89,15 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """``marks`` by document: ``start, lines, hash, first`` of each chunk that occurs more than
     once in the corpus. The first one is that of the smallest ``doc_id``, then the first in
     the text."""
-    found = staged(map_batches(docs.select(*row_key(), "text"), _chunk, CHUNKS, text=2), "chunks")
-    place = F.struct(F.col(ROW_ID).isNull(), ROW_ID, ROW_TEXT, "start")
-    again = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
-    # Written, so that the join stands right on its shuffles and Spark can split a hot chunk.
-    marked = found.join(staged(again.select("hash", "first"), "again"), "hash")
-    # Rows that repeat a document bring its chunks once more, which is no repetition.
-    mark = F.struct("start", "lines", "hash", (place == F.col("first")).alias("first"))
-    return marked.groupBy(ROW_ID, ROW_TEXT).agg(F.collect_set(mark).alias("marks"))
+    with scratch(docs.sparkSession) as keep:
+        found = keep(map_batches(docs.select(*row_key(), "text"), _chunk, CHUNKS, text=2), "chunks")
+        place = F.struct(F.col(ROW_ID).isNull(), ROW_ID, ROW_TEXT, "start")
+        again = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
+        # Written, so that the join stands right on its shuffles and Spark can split a hot chunk.
+        marked = found.join(keep(again.select("hash", "first"), "again"), "hash")
+        # Rows that repeat a document bring its chunks once more, which is no repetition.
+        mark = F.struct("start", "lines", "hash", (place == F.col("first")).alias("first"))
+        return staged(marked.groupBy(ROW_ID, ROW_TEXT).agg(F.collect_set(mark).alias("marks")), "marks")
 
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -111,17 +112,16 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     new = ("n_lines", "n_removed_lines", "n_removed_words", "removed")
     docs = docs.drop(*new)
     keyed = docs.select("*", *row_key())
-    marks = staged(repeated_chunks(docs), "marks")
-    marked = staged(join_rows(keyed, marks, "left"), "marked")
-    texts = map_batches(marked.where("marks IS NOT NULL").select("text", "marks"), _marked_text, "hash long, chunk string", text=0)
+    marks = repeated_chunks(docs)
+    marked = join_rows(docs.select("text", *row_key()), marks, "inner").select("text", "marks")
+    texts = map_batches(marked, _marked_text, "hash long, chunk string", text=0)
     # Equal chunks meet before the shuffle, so a hot one is sent once by each task.
     compared = texts.groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     different = staged(compared.where("least <> most").select("hash"), "different")
     if different.limit(1).count():
         kept = marks.select(ROW_ID, ROW_TEXT, F.explode("marks").alias("mark")).join(different, F.col("mark.hash") == different["hash"], "left_anti")
         marks = kept.groupBy(ROW_ID, ROW_TEXT).agg(F.collect_list("mark").alias("marks"))
-        marked = join_rows(keyed, marks, "left")
-    return _removed(marked, docs.columns)
+    return _removed(join_rows(keyed, marks, "left"), docs.columns)
 
 
 def _removed(marked: DataFrame, columns: list[str]) -> DataFrame:

@@ -16,6 +16,8 @@ sets, and pairs within a component need no confirmation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, staged, texts_of
+from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scratch, staged, texts_of
 from .components import connected_components
 
 ROWS, BANDS = 5, 40
@@ -177,16 +179,20 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def deltas(pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """For each node with its ``pivot``: ``delta``, the shingles that one of the two sets has
-    and the other has not; ``shared``, how many of them some other node differs in from the
-    same pivot; those as a bitmap in ``bits``, and how many of them found their bit taken."""
+    """For each node with its ``pivot`` the shingles that one of the two sets has and the other
+    has not."""
     own = pivots.join(sets.withColumnRenamed("shingles", "left"), "node")
     both = own.join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("right")), "pivot")
-    both = both.select(
+    return both.select(
         *("node", F.xxhash64("node").alias("owner"), F.xxhash64("pivot").alias("around")),
         F.concat(F.array_except("left", "right"), F.array_except("right", "left")).alias("differs"),
     )
-    both = staged(both, "deltas")
+
+
+def measured(both: DataFrame) -> DataFrame:
+    """For each node of ``deltas``: ``delta``, how many shingles differ; ``shared``, how many of
+    them some other node differs in from the same pivot; those as a bitmap in ``bits``, and how
+    many of them found their bit ``taken``."""
     rows = both.select("owner", "around", F.explode("differs").alias("shingle"))
     again = rows.groupBy("around", "shingle").agg(F.count("*").alias("nodes")).where("nodes > 1").drop("nodes")
     place = F.pmod(F.xxhash64("shingle"), F.lit(64 * WORDS_OF_BITS))
@@ -214,19 +220,26 @@ def _possible(similarity: int) -> Column:
 
 def link_nodes(docs: DataFrame, sketched: DataFrame, words: int, similarity: int) -> DataFrame:
     """``node, component`` of the nodes that are linked to another."""
+    with scratch(docs.sparkSession) as keep:
+        return _link_nodes(docs, sketched, words, similarity, keep)
+
+
+def _link_nodes(
+    docs: DataFrame, sketched: DataFrame, words: int, similarity: int, keep: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     named = F.min(F.struct("doc_id", ROW_TEXT)).alias("named")
     facts = [F.first(c).alias(c) for c in ("n_shingles", "bands", "brief")]
     nodes = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(named, *facts)
-    nodes = staged(nodes.select("node", F.col("named.doc_id").alias(ROW_ID), f"named.{ROW_TEXT}", "n_shingles", "bands", "brief"), "nodes")
+    nodes = keep(nodes.select("node", F.col("named.doc_id").alias(ROW_ID), f"named.{ROW_TEXT}", "n_shingles", "bands", "brief"), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    entries = staged(entries.join(shared, "band"), "bands")
+    entries = keep(entries.join(shared, "band"), "bands")
     # The node that most others agree with leads each band that it is in.
     weight = entries.groupBy("node").agg(F.sum("members").alias("weight"))
     weighted = entries.join(weight, "node")
     leaders = weighted.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("leader"))
     best = weighted.join(leaders, "band").groupBy("node").agg(F.max("leader").alias("leader"))
-    stars = best.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).where(F.col("a") != F.col("b"))
+    best = keep(best.select("node", F.col("leader.node").alias("pivot")), "leaders")
     small = nodes.select("node", "n_shingles", "brief")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -235,21 +248,20 @@ def link_nodes(docs: DataFrame, sketched: DataFrame, words: int, similarity: int
         fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
         return pairs.where(fits).where(_alike("brief_a", "brief_b")).select("a", "b")
 
-    candidates = entries.select("node").distinct()
-    sets = staged(node_sets(docs, nodes.join(candidates, "node"), words), "sets")
-    edges = staged(verified(plausible(stars), sets, similarity), "edges")
-    components = staged(connected_components(edges), "components")
+    sets = keep(node_sets(docs, nodes.join(best.select("node"), "node"), words), "sets")
+    stars = best.where(F.col("node") != F.col("pivot")).toDF("a", "b")
+    edges = keep(verified(plausible(stars), sets, similarity), "edges")
+    components = connected_components(edges)
     # What bands still join across components.
     placed = entries.join(components, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = staged(placed.join(open_.select("band"), "band"), "open")
-    wanted = best.join(placed.select("node").distinct(), "node")
-    measured = deltas(wanted.select("node", F.col("leader.node").alias("pivot")), sets)
-    placed = staged(placed.join(small.join(measured, "node"), "node"), "open")
+    placed = keep(placed.join(open_.select("band"), "band"), "open")
+    differences = keep(deltas(best.join(placed.select("node").distinct(), "node"), sets), "deltas")
+    placed = keep(placed.join(small.join(measured(differences), "node"), "node"), "measured")
     others = placed.withColumnsRenamed({c: f"other_{c}" for c in placed.columns if c != "band"})
     pairs = placed.join(others, "band").where((F.col("component") < F.col("other_component")) & _possible(similarity))
     pairs = pairs.where(_alike("brief", "other_brief")).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
-    more = verified(staged(pairs, "pairs"), sets, similarity)
+    more = verified(keep(pairs, "pairs"), sets, similarity)
     return connected_components(edges.unionByName(more))
 
 
@@ -263,9 +275,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = SIMILARIT
     and are linked with nothing; a null ``doc_id`` counts as the largest, and as a group of
     its own it is kept. Rows that repeat an id are in one group each.
     """
-    sketched = staged(sketch_documents(docs, words), "sketches")
-    linked = link_nodes(docs, sketched, words, similarity)
-    rows = sketched.select("doc_id", ROW_TEXT, "n_shingles", "node").join(linked, "node", "left")
+    with scratch(docs.sparkSession) as keep:
+        sketched = keep(sketch_documents(docs, words), "sketches")
+        own = staged(sketched.select("doc_id", ROW_TEXT, "n_shingles", "node"), "nodes")
+        linked = link_nodes(docs, sketched, words, similarity)
+    rows = own.join(linked, "node", "left")
     group = F.coalesce("component", "node")
     rows = rows.withColumn("group", group)
     first = rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("first"))
