@@ -84,12 +84,34 @@ def in_batches(batches: Iterable[pa.RecordBatch], size: int, text: int = 1) -> I
             start = stop
 
 
+# What modules remember in a worker process, and which of them it works for.
+_memories: list[Callable[[], None]] = []
+_working_for: list[str] = [""]
+
+
+def remembers(forget: Callable[[], None]) -> None:
+    """Register how to forget what a module remembers between the tasks of a worker."""
+    _memories.append(forget)
+
+
+def work_for(operator: str) -> None:
+    """Workers are kept from stage to stage; what one operator remembered is of no use to the
+    next, which needs the memory."""
+    if _working_for[0] != operator:
+        _working_for[0] = operator
+        for forget in _memories:
+            forget()
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str, size: int = 4 << 20, text: int = 1
 ) -> DataFrame:
     """Apply ``function`` to batches of ``df`` of about ``size`` bytes of text."""
 
+    operator = function.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work_for(operator)
         for batch in in_batches(batches, size, text):
             yield pa.RecordBatch.from_pydict(function(batch))
 

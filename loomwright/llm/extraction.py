@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, map_batches, mix, staged, texts_of
+from .common import in_batches, map_batches, mix, staged, texts_of, work_for
 
 # A token belongs to the template of a host that has it on this part of its pages, and on
 # so many pages at least.
@@ -287,6 +287,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     joined = pages.withColumn("host", hosts("url")).join(by_host, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work_for(__name__)
         known: dict[str, tuple[frozenset[int], str | None]] = {}
         for batch in in_batches(batches, 4 << 20, text=2):
             out = []

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, mix, texts_of
+from .common import in_batches, mix, texts_of, work_for
 
 SIZES = (3, 5)  # bytes of an n-gram
 TRAIN_DOCS = 4000  # whole texts of each language, near enough, that training reads
@@ -135,6 +135,7 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     chosen = chosen.select("number", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work_for(__name__)
         for batch in in_batches(batches, 1 << 20):
             texts, owner = [prepared(t) for t in texts_of(batch.column(1))], batch.column(0).to_numpy()
             for number in np.unique(owner).tolist():
@@ -174,6 +175,7 @@ def predicted(model: Filter, spark: SparkSession) -> Callable[[str], Column]:
 
     @F.arrow_udf("lang_pred string, score double")
     def run(text: pa.Array) -> pa.Array:
+        work_for(__name__)
         batch = pa.RecordBatch.from_arrays([text], ["text"])
         return pa.array([row for part in in_batches([batch], 1 << 20, text=0) for row in guess(texts_of(part.column(0)))], kind)
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scratch, staged, texts_of
+from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scratch, staged, texts_of, work_for
 
 WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
@@ -130,6 +130,7 @@ def _removed(marked: DataFrame, columns: list[str]) -> DataFrame:
 
     @F.arrow_udf(kind)
     def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
+        work_for(__name__)
         out = []
         for own, taken in zip(text.to_pylist(), spans.to_pylist(), strict=True):
             lines = (own or "").split("\n")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scratch, staged, texts_of
+from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, remembers, row_key, scratch, staged, texts_of
 from .components import connected_components
 
 ROWS, BANDS = 5, 40
@@ -45,6 +45,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+remembers(_hashes.clear)
 
 
 def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_batches, staged, texts_of
+from .common import in_batches, staged, texts_of, work_for
 from .eliasfano import EliasFano, encode
 from .files import opened, written
 from .tokens import encoder
@@ -79,6 +79,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, v
     width = 2 if vocabulary <= 1 << 16 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work_for(__name__)
         shard = TaskContext.get().partitionId()
         first = next(batches, None)
         while first is not None and not first.num_rows:

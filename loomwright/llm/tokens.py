@@ -10,6 +10,8 @@ from itertools import islice
 import numpy as np
 from tokenizers import Tokenizer
 
+from .common import remembers
+
 ID_BYTES = 4
 # Spark runs a process for each core; threads within them only get in each other's way.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -168,6 +170,7 @@ class TextEncoder:
 
 
 _encoders: dict[str, TextEncoder] = {}
+remembers(_encoders.clear)
 
 
 def encoder(path: str) -> TextEncoder:

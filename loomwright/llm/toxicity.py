@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, staged, texts_of
+from .common import map_batches, remembers, staged, texts_of
 
 MOST_LABELLED = 20_000  # labelled texts that training reads, near enough
 LEAST_TEXTS = 5  # toxic texts that a feature needs
@@ -241,6 +241,7 @@ def predict(docs: DataFrame, model: Ordinal) -> DataFrame:
 
 
 _last: list = [None, None]
+remembers(lambda: _last.__setitem__(slice(None), [None, None]))
 
 
 def _words(features: dict[str, int]) -> Words:
