@@ -33,7 +33,7 @@ SIMILARITY = 80  # percent
 # Bits of each coordinate that a sketch is stored with, to rule pairs out. With 200
 # coordinates, a pair that is similar enough seems less than this by chance once in 10^9.
 RULE_OUT = 0.61
-WORDS_OF_BITS = 4  # of 64 bits, for what a set differs in from its pivot
+WORDS_OF_BITS = 16  # of 64 bits, for what a set differs in from its pivot
 
 
 class _Hashes(dict):
