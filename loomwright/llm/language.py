@@ -128,10 +128,10 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).dropna()
     counted = sorted(map(tuple, rows.groupBy("lang").count().collect()))  # a row for each language
     languages = [lang for lang, _ in counted]
-    # How much of a language is read; as a local table it goes to the texts, not they to it.
+    # How much of a language is read. The driver holds these rows, so they go to the texts.
     parts = [(lang, k, min(1.0, train_docs / n)) for k, (lang, n) in enumerate(counted, 1)]
     share = labelled.sparkSession.createDataFrame(parts, "lang string, number int, share double")
-    chosen = rows.join(share, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    chosen = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     chosen = chosen.select("number", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
