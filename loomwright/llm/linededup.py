@@ -1,17 +1,22 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by runs and content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines decides whether a chunk ends after a line,
-so the borders depend on nothing but the lines around them, and lines put in or taken out
-elsewhere shift no border. Several such hashes cut each text in several ways, which finds
-more of a repeated passage than one. A line of at least ``LONG_LINE`` words is a passage by
-itself, always with a border on both sides.
+A run is the fewest lines from a line on, or up to a line, that have ``LONG_LINE`` words.
+Runs depend on nothing around them, and a passage of so many words is the union of the runs in
+it, so all of a passage that occurs again is found wherever it stands.
 
-Chunks of several lines, and long lines, that occur again anywhere in the corpus are removed
-but for the first time, after their bytes have been compared.
+Of shorter passages chunks find a part: a rolling hash over the hashes of the last lines decides
+whether a chunk ends after a line, so lines put in or taken out elsewhere shift no border.
+Several such hashes cut each text in several ways, which finds more than one.
+
+Runs, and chunks of several lines, that occur again anywhere in the corpus are removed but for
+the first time, after their bytes have been compared. What overlaps its own first time in a
+text is no repetition, so of a line that repeats over and over the first run stays.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,25 +28,71 @@ from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scra
 WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
 EVERY = 2  # a border after one line in so many
-LONG_LINE = 50  # words
+LONG_LINE = 50  # words of a run
 
 CHUNKS = f"{ROW_ID} long, {ROW_TEXT} long, start int, lines int, hash long"
-BLANKS = " \t\n\x0b\x0c\r"
 
 
-def chunks(lines: list[str]) -> list[tuple[int, int]]:
-    """The chunks of a text that may be removed: first line and number of lines."""
+def runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the fewest lines of ``LONG_LINE`` words from each line on and up to
+    each line. Blank lines begin a run only behind a line that is a run by itself: other runs
+    go over them."""
+    n = len(words)
+    before = np.concatenate([[0], np.cumsum(words)])
+    # The last line with words so far, from the front.
+    said = np.maximum.accumulate(np.where(words > 0, np.arange(n), -1))
+    starts = np.flatnonzero((words > 0) | ((said >= 0) & (words[said] >= LONG_LINE)))
+    ends = np.searchsorted(before, before[starts] + LONG_LINE, "left")
+    starts, ends = starts[ends <= n], ends[ends <= n]
+    up_to = np.flatnonzero((words > 0) & (before[1:] >= LONG_LINE)) + 1
+    return np.concatenate([starts, np.searchsorted(before, before[up_to] - LONG_LINE, "right") - 1]), np.concatenate([ends, up_to])
+
+
+def line_hashes(lines: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(line) for line in lines), np.uint64, len(lines))
+
+
+def apart(spans: list[tuple[int, int]], contents: list[int]) -> list[tuple[int, int]]:
+    """Spans of a text, in order, without those that overlap the first one of the same content.
+    In their place the first one of each chain of overlapping ones is extended over them, so that
+    another copy of the chain is still found whole."""
+    if len(set(contents)) == len(contents):
+        return spans
+    places = defaultdict(list)
+    for (start, n), content in zip(spans, contents, strict=True):
+        places[content, n].append(start)
+    found = set()
+    for (_, n), starts in places.items():
+        begin = before = starts[0]
+        for start in starts:
+            if start >= before + n:
+                begin = start
+            elif begin < start < begin + n:
+                found.add((begin, start + n - begin))
+            if start == starts[0] or start >= starts[0] + n:
+                found.add((start, n))
+            before = start
+    return sorted(found)
+
+
+def _content(hashes: np.ndarray, start: int, n: int) -> int:
+    return xxhash.xxh3_64_intdigest(hashes[start : start + n].tobytes())
+
+
+def chunks(lines: list[str], hashes: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """The runs and chunks of a text that may be removed: first line and number of lines."""
     n = len(lines)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(line) for line in lines), np.uint64, n)
-    # 49 blanks at least separate 50 words.
-    long = np.fromiter((len(line) > 2 * LONG_LINE - 2 and len(line.encode().split()) >= LONG_LINE for line in lines), bool, n)
-    said = np.fromiter((bool(line.strip(BLANKS)) for line in lines), np.int64, n)
+    hashes = line_hashes(lines) if hashes is None else hashes
+    words = np.fromiter((len(line.encode().split()) for line in lines), np.int64, n)
+    long = words >= LONG_LINE
     rolling = np.zeros(n, np.uint64)
     for back in range(LINES):
         if back < n:
             rolling[back:] = rolling[back:] * np.uint64(0x9E3779B97F4A7C15) + hashes[: n - back]
-    found = set()
-    said_before = np.concatenate([[0], np.cumsum(said)])
+    first, end = runs(words)
+    found = set(zip(first.tolist(), (end - first).tolist(), strict=True))
+    words_before = np.concatenate([[0], np.cumsum(words)])
+    said_before = np.concatenate([[0], np.cumsum(words > 0)])
     for way in range(WAYS):
         border = mix(rolling + np.uint64(way + 1)) % np.uint64(EVERY) == 0
         border[-1] = True
@@ -50,20 +101,23 @@ def chunks(lines: list[str]) -> list[tuple[int, int]]:
         ends = np.flatnonzero(border) + 1
         starts = np.concatenate([[0], ends[:-1]])
         several = said_before[ends] - said_before[starts] >= 2
-        wanted = several | long[starts]
+        # The others are the union of the runs in them.
+        wanted = several & (words_before[ends] - words_before[starts] < LONG_LINE)
         found.update(zip(starts[wanted].tolist(), (ends - starts)[wanted].tolist(), strict=True))
-    return sorted(found)
+    spans = sorted(found)
+    return apart(spans, [_content(hashes, *span) for span in spans])
 
 
 def _chunk(batch: pa.RecordBatch) -> dict[str, pa.Array]:
     rows, start, count, digest = [], [], [], []
     for row, text in enumerate(texts_of(batch.column(2))):
         lines = text.split("\n")
-        for first, n in chunks(lines):
+        hashes = line_hashes(lines)
+        for first, n in chunks(lines, hashes):
             rows.append(row)
             start.append(first)
             count.append(n)
-            digest.append(xxhash.xxh3_64_intdigest("\n".join(lines[first : first + n])))
+            digest.append(_content(hashes, first, n))
     rows = pa.array(rows, pa.int64())
     return {
         ROW_ID: batch.column(0).take(rows),
@@ -107,7 +161,7 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     All rows and all other columns stay; columns with the new names are replaced, and a text
     may become empty. Null stays null. Rows with the same id and text are the same document
     and keep or lose the same lines. Chunks whose hash stands for different bytes are left
-    alone.
+    alone. Spans may overlap.
     """
     new = ("n_lines", "n_removed_lines", "n_removed_words", "removed")
     docs = docs.drop(*new)

@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import itertools
 import random
 from collections import Counter
 
@@ -134,6 +135,55 @@ def test_chunks_are_shift_resistant():
     assert (1, 1) in linededup.chunks(["short", long, "short", "shorter"])
 
 
+def repeated_lines(docs):
+    """Lines of the maximal runs of at least 50 words, words at both edges, that stand in an earlier
+    document too: by comparing all pairs of lines."""
+    gone = [set() for _ in docs]
+    for later in range(len(docs)):
+        for earlier in range(later):
+            a, b = docs[later], docs[earlier]
+            for i, j in itertools.product(range(len(a)), range(len(b))):
+                if a[i] != b[j] or (i and j and a[i - 1] == b[j - 1]):
+                    continue
+                n = next((n for n in range(min(len(a) - i, len(b) - j)) if a[i + n] != b[j + n]), min(len(a) - i, len(b) - j))
+                said = [k for k in range(i, i + n) if a[k].split()]
+                if sum(len(a[k].split()) for k in said) >= 50:
+                    gone[later].update(range(said[0], said[-1] + 1))
+    return gone
+
+
+def test_passages_of_short_lines_are_found_whole():
+    rng = random.Random(5)
+    numbers = itertools.count()
+
+    def lines(n, least, most):
+        return ["" if rng.random() < 0.15 else " ".join(f"w{next(numbers)}" for _ in range(rng.randint(least, most))) for _ in range(n)]
+
+    for _ in range(60):
+        passages = [lines(rng.randint(2, 9), 1, rng.choice([20, 45, 70])) for _ in range(3)]
+        docs = [sum(([*lines(rng.randint(0, 3), 1, 20), *rng.choice(passages)] for _ in range(2)), []) + lines(2, 1, 20) for _ in range(3)]
+        docs = [d for d in docs if len({x for x in d if x}) == len([x for x in d if x])]  # no repeats in a text
+        places, found = {}, []
+        for doc in docs:
+            spans = [(tuple(doc[s : s + n]), s, n) for s, n in linededup.chunks(doc) if sum(len(x.split()) for x in doc[s : s + n]) >= 50]
+            found.append({k for own, s, n in spans if own in places for k in range(s, s + n) if k < len(doc)})
+            places.update((own, 1) for own, _, _ in spans)
+        for doc, want, got in zip(docs, repeated_lines(docs), found, strict=True):
+            # Blank lines at the edge of a run may go with it.
+            assert {k for k in want ^ got if doc[k].split()} == set() and want <= got
+
+
+def test_a_line_over_and_over_keeps_its_first_run():
+    again = " ".join(["w"] * 20)  # a run is three lines
+    for times in range(3, 12):
+        lines = ["a b", *[again] * times, "c d"]
+        spans = [s for s in linededup.chunks(lines) if all(lines[k] == again for k in range(s[0], sum(s)))]
+        starts = [start for start, n in spans if n == 3]
+        assert starts == [1, *range(4, times - 1)]
+        # A copy goes whole.
+        assert {k for start, n in spans for k in range(start, start + n)} == set(range(1, times + 1))
+
+
 def test_language_filter():
     codes = np.arange(1, 2000, dtype=np.uint64)
     members = np.zeros((len(codes), 70), bool)
