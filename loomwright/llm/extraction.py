@@ -259,11 +259,12 @@ def extract(page: str, texts: frozenset[int], slot: str | None) -> str:
     """The main text of a page, given the text that its host repeats and the slot of the article."""
     blocks, _ = read_page(page)
     kept = [(e, t) for e, t in blocks if e.role != DROPPED and (e.role != HEADER or (e.main and e.name in HEADINGS))]
-    surest = max((e.main for e, _ in kept), default=0)
+    fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts]
+    surest = max((e.main for e, _ in fresh), default=0)
     if surest >= 2:
-        chosen = [t for e, t in kept if e.main == surest]
+        # Articles within the main element can be cards, so its own text stays too.
+        chosen = [t for e, t in fresh if e.main >= 2]
     else:
-        fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts]
         inside = [(e, t) for e, t in fresh if slot and (e.path == slot or e.path.startswith(slot + "/"))]
         chosen = [t for e, t in inside or fresh if e.main == surest or inside]
     return "\n".join(chosen)

@@ -144,6 +144,22 @@ def test_template_tells_the_article_where_no_element_does(spark):
         assert "Home" not in lines and "All rights reserved" not in lines
 
 
+def extracted(spark, pages):
+    """Texts of pages of one host."""
+    from loomwright.llm import extraction
+
+    rows = [(i, f"http://host/{i}", page) for i, page in enumerate(pages)]
+    got = extraction.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_template_counts_inside_the_article(spark):
+    cards = "".join(f"<article><p>Card {{0}} {k}</p></article>" for k in range(2))
+    page = "<body><main><h1>Title {0}</h1><p>Story {0}</p><div><p>Tell your friends</p></div>" + cards + "</main></body>"
+    got = extracted(spark, [page.format(i) for i in range(4)])
+    assert got == [f"Title {i}\nStory {i}\nCard {i} 0\nCard {i} 1" for i in range(4)]
+
+
 def deduplicated(docs):
     """Texts without the chunks that stand in a smaller document, or earlier."""
     places = defaultdict(list)
