@@ -15,7 +15,9 @@ so that a host with any number of pages is summed up before the shuffle.
 from __future__ import annotations
 
 import html
+import json
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -38,6 +40,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
+FRAME = frozenset("article aside body center div footer form header html main nav section table".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NO_TEXT = frozenset("head nav footer aside form button dialog menu label input noscript".split())
@@ -172,34 +175,55 @@ def _text_token(path: str, text: str) -> int:
     return np.uint64(xxhash.xxh3_64_intdigest(f"{path}\n{text}")).astype(np.int64)
 
 
-def _tokens(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-    """Tokens of the pages of a batch, summed up by host: how many pages have a token, how
-    often, the sum that stands for the vector, and the characters of text."""
-    found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0, 0])
-    for url, page, row in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_numpy(), strict=True):
-        host = host_of(url)
+def _hash(text: str) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text)).astype(np.int64))
+
+
+def _outline(tags: Counter) -> int:
+    """What pages of one template have in common: the outer elements that hold others."""
+    return _hash(str(sorted((p, n) for p, n in tags.items() if p.count("/") <= 3 and re.split(r"[/.]", p[p.rindex("/") + 1 :])[0] in FRAME)))
+
+
+def _read(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    """For each page its host, a hash of its texts, and its outline and tokens: path, hash of the
+    text or none, how often, and characters."""
+    hosts, contents, packed = [], [], []
+    for url, page in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
         blocks, tags = read_page(page)
-        own: Counter = Counter()
+        own: Counter = Counter({(path, None): times for path, times in tags.items()})
         size: dict[tuple, int] = defaultdict(int)
-        for path, times in tags.items():
-            own[host, path, None] += times
         for element, text in blocks:
-            key = host, element.path, int(_text_token(element.path, text))
+            key = element.path, int(_text_token(element.path, text))
             own[key] += 1
             size[key] += len(text) if element.role not in (DROPPED, HEADER) else 0
-        own[host, "", None] += 1
-        hashed = mix(np.fromiter(own.values(), np.uint64, len(own)) + mix(np.full(len(own), row).astype(np.uint64)))
-        for (key, times), vector in zip(own.items(), (hashed >> np.uint64(24)).tolist(), strict=True):
-            sums = found[key]
+        own["", None] += 1
+        tokens = [(path, text, n, size.get((path, text), 0)) for (path, text), n in own.items()]
+        hosts.append(host_of(url))
+        contents.append(_hash("\n".join(text for _, text in blocks)))
+        packed.append(zlib.compress(json.dumps((_outline(tags), tokens)).encode(), 1))
+    return {"host": pa.array(hosts, pa.string()), "content": pa.array(contents, pa.int64()), "packed": pa.array(packed, pa.binary())}
+
+
+def _tokens(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    """Tokens of the pages of a batch, summed up by host and outline: how many pages have a token, how
+    often, the sum that stands for the vector, and the characters of text."""
+    found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0, 0])
+    for host, row, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_pylist(), strict=True):
+        outline, own = json.loads(zlib.decompress(packed))
+        times = np.array([n for _, _, n, _ in own], np.uint64)
+        hashed = mix(times + mix(np.full(len(own), row).astype(np.uint64)))
+        for (path, text, n, chars), vector in zip(own, (hashed >> np.uint64(24)).tolist(), strict=True):
+            sums = found[host, outline, path, text]
             sums[0] += 1
-            sums[1] += times
+            sums[1] += n
             sums[2] += vector
-            sums[3] += size.get(key, 0)
+            sums[3] += chars
     keys, sums = list(found), np.array(list(found.values()), np.int64).reshape(-1, 4)
     return {
         "host": pa.array([k[0] for k in keys], pa.string()),
-        "path": pa.array([k[1] for k in keys], pa.string()),
-        "text": pa.array([k[2] for k in keys], pa.int64()),
+        "outline": pa.array([k[1] for k in keys], pa.int64()),
+        "path": pa.array([k[2] for k in keys], pa.string()),
+        "text": pa.array([k[3] for k in keys], pa.int64()),
         **{name: pa.array(sums[:, i]) for i, name in enumerate(("pages", "times", "vector", "chars"))},
     }
 
@@ -209,23 +233,30 @@ def templates(pages: DataFrame) -> DataFrame:
     and ``classes`` (the paths of each equivalence class with the number of pages, whether
     every page has each of them once, and the characters that vary below each path).
 
-    Of a host only tokens that half of its pages have are kept, so a template is no larger
-    than twice a page.
+    Pages with the same texts are copies, which say nothing about a template, and count once. Of a
+    host only tokens that half of its pages have are kept, or half of those with the same outline,
+    so a template is no larger than twice a page for each outline.
     """
-    rows = pages.select("url", "html", F.xxhash64("page_id", "url", "html").alias("row"))
-    schema = "host string, path string, text long, pages long, times long, vector long, chars long"
+    read = map_batches(pages.select("url", "html"), _read, "host string, content long, packed binary")
+    rows = read.groupBy("host", "content").agg(F.min("packed").alias("packed"))
+    schema = "host string, outline long, path string, text long, pages long, times long, vector long, chars long"
     sums = [F.sum(c).alias(c) for c in ("pages", "times", "vector", "chars")]
-    tokens = map_batches(rows, _tokens, schema).groupBy("host", "path", "text").agg(*sums)
-    tokens = staged(tokens, "tokens")
+    key = ["host", "path", "text"]
+    by_outline = staged(map_batches(rows, _tokens, schema, text=2).groupBy("outline", *key).agg(*sums), "outlines")
+    outlines = by_outline.where("path = '' AND text IS NULL").select("host", "outline", F.col("pages").alias("all"))
+    often = by_outline.where(F.col("text").isNotNull() & (F.col("pages") >= LEAST_PAGES)).join(outlines, ["host", "outline"])
+    often = often.where(F.col("pages") >= SHARE * F.col("all")).select(*key).distinct().withColumn("often", F.lit(True))
+    # Tags have no text and are joined to nothing.
+    tokens = staged(by_outline.groupBy(*key).agg(*sums).join(often, key, "left"), "tokens")
     # Written, so that the size of the table is known before it is joined: the tokens of a
     # large host need not come together for it.
     hosts = tokens.where("path = '' AND text IS NULL").select("host", F.col("pages").alias("all"), F.col("vector").alias("each"))
     hosts = staged(hosts, "hosts")
-    shared = tokens.join(hosts, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SHARE * F.col("all")))
+    on_half = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SHARE * F.col("all"))
+    template = on_half | F.coalesce("often", F.lit(False))
+    shared = tokens.join(hosts, "host").where(template)
     texts = shared.where("text IS NOT NULL").groupBy("host").agg(F.collect_list("text").alias("texts"))
-    varying = tokens.join(hosts, "host").where("text IS NOT NULL").where(
-        (F.col("pages") < LEAST_PAGES) | (F.col("pages") < SHARE * F.col("all"))
-    )
+    varying = tokens.join(hosts, "host").where("text IS NOT NULL").where(~template)
     slots = varying.groupBy("host", "path").agg(F.sum("chars").alias("varies"))
     tags = shared.where("text IS NULL AND path <> ''").join(slots, ["host", "path"], "left")
     member = F.struct("path", F.coalesce("varies", F.lit(0)).alias("varies"))
@@ -259,7 +290,8 @@ def extract(page: str, texts: frozenset[int], slot: str | None) -> str:
     """The main text of a page, given the text that its host repeats and the slot of the article."""
     blocks, _ = read_page(page)
     kept = [(e, t) for e, t in blocks if e.role != DROPPED and (e.role != HEADER or (e.main and e.name in HEADINGS))]
-    fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts]
+    # A page is more than its template.
+    fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts] or kept
     surest = max((e.main for e, _ in fresh), default=0)
     if surest >= 2:
         # Articles within the main element can be cards, so its own text stays too.

@@ -160,6 +160,23 @@ def test_template_counts_inside_the_article(spark):
     assert got == [f"Title {i}\nStory {i}\nCard {i} 0\nCard {i} 1" for i in range(4)]
 
 
+def test_copies_are_no_template(spark):
+    page = "<body><div><p>Home</p></div><div><h1>Title {0}</h1><p>Sentence {0}</p></div></body>"
+    got = extracted(spark, [page.format(i) for i in (7, 7, 7, 7, 1, 2)])
+    assert got == [f"Title {i}\nSentence {i}" for i in (7, 7, 7, 7, 1, 2)]
+    alone = extracted(spark, [page.format(7)] * 4)
+    assert all("Sentence 7" in text for text in alone)
+
+
+def test_templates_by_class_of_pages(spark):
+    """Three templates on a host, each on a third of its pages."""
+    pages = []
+    for k in range(3):
+        page = f"<body>{'<div>' * k}<div><p>Menu {k}</p></div><div><h1>Title {k} {{0}}</h1><p>Sentence {k} {{0}}</p></div>{'</div>' * k}</body>"
+        pages += [page.format(i) for i in range(4)]
+    assert extracted(spark, pages) == [f"Title {k} {i}\nSentence {k} {i}" for k in range(3) for i in range(4)]
+
+
 def deduplicated(docs):
     """Texts without the chunks that stand in a smaller document, or earlier."""
     places = defaultdict(list)
