@@ -45,13 +45,33 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NO_TEXT = frozenset("head nav footer aside form button dialog menu label input noscript".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-NO_TEXT_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|sidebar\w*|side|aside|"
+# A class or id tells something only if all its parts are of these or, besides one of these, of
+# the names of parts of a page below. Others are left to the template.
+NO_TEXT_PARTS = re.compile(
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|sidebar\w*|side|aside|"
     r"foot|footer|cookies?|consent|gdpr|notices?|notification\w*|alerts?|popup|modal|overlay|newsletter|subscri\w*|signup|login|"
     r"share|sharing|social|comments?|commentlist|disqus|repl(?:y|ies)|respond|related|recommend\w*|breadcrumbs?|pagination|pager|"
-    r"widgets?|skip|legal|copyright|disclaimer|toolbar|search|form|hidden)(?:$|[-_\s\d])",
+    r"widgets?|skip|legal|copyright|disclaimer|toolbar|search|form|hidden)\d*",
     re.IGNORECASE,
 )
+OTHER_PARTS = re.compile(
+    r"(?:area|bar|block|body|bottom|box|buttons?|container|content|entry|group|holder|icons?|inner|items?|links?|list|main|outer|page|"
+    r"panel|posts?|primary|secondary|section|site|slot|text|thread|top|unit|wrap|wrapper|\d*)",
+    re.IGNORECASE,
+)
+
+
+def _no_text_name(names: str) -> bool:
+    """Whether one of the classes and ids says that this is no main text. ``has-sidebar`` or
+    ``comments-open`` say something else."""
+    for name in names.split():
+        parts = re.split("[-_]", name)
+        said = [bool(NO_TEXT_PARTS.fullmatch(part)) for part in parts]
+        if any(said) and all(own or OTHER_PARTS.fullmatch(part) for own, part in zip(said, parts, strict=True)):
+            return True
+    return False
+
+
 HEADER_NAMES = re.compile(r"(?:^|[-_\s])(?:header|masthead|topbar|site-title)(?:$|[-_\s\d])", re.IGNORECASE)
 MAIN_NAMES = re.compile(
     r"(?:^|[-_\s])(?:article|articlebody|post|entry|story|content|main|text|body)(?:$|[-_\s\d])", re.IGNORECASE
@@ -65,8 +85,9 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _DIGITS = re.compile(r"\d+")
 
-# What an element is for: nothing special, no main text, a page header, or the main text.
-PLAIN, DROPPED, HEADER, MAIN = 0, 1, 2, 3
+# What an element is for: nothing special, no main text, a page header, the main text, or no main
+# text by its name only.
+PLAIN, DROPPED, HEADER, MAIN, DOUBTFUL = 0, 1, 2, 3, 4
 
 
 class Element:
@@ -89,8 +110,10 @@ def _opened(name: str, attributes: dict[str, str], parent: Element) -> Element:
     if role != DROPPED and name not in ("html", "body"):
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
         article = name == "article" or aria in ("main", "article") or name == "main"
-        if name in NO_TEXT or aria in NO_TEXT_ROLES or hidden or (names and NO_TEXT_NAMES.search(names)):
+        if name in NO_TEXT or aria in NO_TEXT_ROLES or hidden:
             role = DROPPED
+        elif role == DOUBTFUL or (names and not article and attributes.get("itemprop") != "articleBody" and _no_text_name(names)):
+            role = DOUBTFUL
         elif name == "header" or (names and HEADER_NAMES.search(names)):
             role = HEADER
         elif article:
@@ -195,7 +218,7 @@ def _read(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         for element, text in blocks:
             key = element.path, int(_text_token(element.path, text))
             own[key] += 1
-            size[key] += len(text) if element.role not in (DROPPED, HEADER) else 0
+            size[key] += len(text) if element.role not in (DROPPED, HEADER, DOUBTFUL) else 0
         own["", None] += 1
         tokens = [(path, text, n, size.get((path, text), 0)) for (path, text), n in own.items()]
         hosts.append(host_of(url))
@@ -288,8 +311,18 @@ def main_slot(classes: list[dict] | None) -> str | None:
 
 def extract(page: str, texts: frozenset[int], slot: str | None) -> str:
     """The main text of a page, given the text that its host repeats and the slot of the article."""
-    blocks, _ = read_page(page)
+    blocks, tags = read_page(page)
     kept = [(e, t) for e, t in blocks if e.role != DROPPED and (e.role != HEADER or (e.main and e.name in HEADINGS))]
+    sure = [(e, t) for e, t in kept if e.role != DOUBTFUL]
+    if not any(e.main >= 2 for e, _ in sure):
+        # What holds the only article with most of the text, or all text, is no menu whatever its
+        # name. Several articles can be comments or cards.
+        inside = [(e, t) for e, t in kept if e.main >= 2]
+        articles = sum(n for path, n in tags.items() if re.split(r"[/.]", path[path.rindex("/") + 1 :])[0] in ("article", "main"))
+        if sure and (articles > 1 or sum(len(t) for _, t in inside) <= sum(len(t) for _, t in sure)):
+            inside = []
+        sure = inside or sure or kept
+    kept = sure
     # A page is more than its template.
     fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts] or kept
     surest = max((e.main for e, _ in fresh), default=0)

@@ -220,6 +220,17 @@ def test_article_of_a_page():
     assert extraction.extract("<p>a<aside>b</aside><p>c &lt;d&gt;", frozenset(), None) == "a\nc <d>"
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "layout no-sidebar", "page-wrap side-left", "post comments-open", "entry legal-news"])
+def test_names_that_only_mention_what_is_dropped(names):
+    side = '<div class="sidebar">menu</div><div id="site-footer">c</div><div class="post-comments"><article>me too</article><article>so do I</article></div>'
+    for page in ('<div class="{}"><p>a</p>SIDE</div>', '<div class="{}"><article><p>a</p></article>SIDE</div>', '<main class="{}"><p>a</p>SIDE</main>'):
+        assert extraction.extract("<body>" + page.format(names).replace("SIDE", side), frozenset(), None) == "a"
+    assert extraction.extract('<div class="sidebar-wrapper"><p>b</p><article class="legal"><p>a</p></article></div>', frozenset(), None) == "a"
+    assert extraction.extract('<p>b</p><div class="legal"><article><p>a b c</p></article></div>', frozenset(), None) == "a b c"
+    assert extraction.extract('<p>a b c</p><div class="comments"><article>d</article></div>', frozenset(), None) == "a b c"
+    assert extraction.extract('<div class="widgets"><p>a</p><nav>b</nav></div>', frozenset(), None) == "a"
+
+
 def test_records_stream_in_chunks():
     payload = "äb".encode() * 1000
     import hashlib
