@@ -24,7 +24,6 @@ from .common import map_batches, remembers, staged, texts_of
 
 MOST_LABELLED = 20_000  # labelled texts that training reads, near enough
 LEAST_TEXTS = 5  # toxic texts that a feature needs
-MOST_CANDIDATES = 50_000  # features that are counted among the clean texts
 LEAST_ODDS = 1.5  # log odds of a feature between toxic and clean texts
 MARK_ODDS, MARK_SHARE = 3.0, 0.01  # and of one that marks a word, with its share of the toxic texts
 GRADES = (0.01, 0.04)  # part of the words that is marked, from grade 1 to 2 and from 2 to 3
@@ -150,36 +149,36 @@ def _counted(rows: DataFrame, known: dict[str, int], schema: str) -> DataFrame:
 
 
 def _all_features(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-    """Features of texts, with the number of texts and a sum that stands for which ones."""
-    found: Counter = Counter()
+    """Features of texts, with the number of toxic and of clean texts and a sum that stands for
+    which toxic ones."""
+    found: tuple[Counter, Counter] = (Counter(), Counter())
     texts: Counter = Counter()
-    for text, mark in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+    for text, mark, toxic in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
         own = {f for word in set(_WORD.findall(text.lower())) for f in features_of(word)}
-        found.update(own)
-        texts.update(dict.fromkeys(own, mark))
-    columns = {"feature": list(found), "n": list(found.values()), "texts": [texts[f] for f in found]}
+        found[toxic].update(own)
+        if toxic:
+            texts.update(dict.fromkeys(own, mark))
+    names = list(found[0] | found[1])
+    columns = {"feature": names, "n": [found[1][f] for f in names], "clean": [found[0][f] for f in names], "texts": [texts[f] for f in names]}
     return {name: pa.array(c, pa.string() if name == "feature" else pa.int64()) for name, c in columns.items()}
 
 
 def train(rows: DataFrame) -> Ordinal:
     """Learn from ``text, grade`` (``labelled_texts``); grade 0 is clean. The driver gets the
-    features of the toxic texts that ``LEAST_TEXTS`` of them share, and the sparse rows."""
+    features that ``LEAST_TEXTS`` toxic texts share and that have ``LEAST_ODDS``, and the sparse rows."""
     # Written once: the passes below read the bounded sample, not the corpus.
     rows = staged(rows.dropDuplicates(["text"]), "labelled")
-    toxic = rows.where("grade > 0")
-    marked = toxic.select("text", F.shiftrightunsigned(F.xxhash64("text"), 24).alias("mark"))
-    seen = map_batches(marked, _all_features, "feature string, n long, texts long", text=0)
-    seen = seen.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    often = seen.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), F.length("feature"), "feature").limit(MOST_CANDIDATES).collect()
-    candidates = {row[0]: i for i, row in enumerate(often)}
-    schema = "grade int, features array<int>, counts array<int>, size long"
-    clean = _counted(rows.where("grade = 0"), candidates, schema)
-    in_clean = np.zeros(len(candidates))
-    for feature, n in clean.select(F.explode("features").alias("f")).groupBy("f").count().collect():
-        in_clean[feature] = n
-    in_toxic = np.array([row[1] for row in often], float)
-    sizes = {row[0]: row[1] for row in rows.groupBy((F.col("grade") > 0).alias("toxic")).count().collect()}
+    is_toxic = F.col("grade") > 0
+    sizes = {row[0]: row[1] for row in rows.groupBy(is_toxic.alias("toxic")).count().collect()}
     some, none = sizes.get(True, 0), sizes.get(False, 0)
+    marked = rows.select("text", F.shiftrightunsigned(F.xxhash64("text"), 24).alias("mark"), is_toxic.alias("toxic"))
+    seen = map_batches(marked, _all_features, "feature string, n long, clean long, texts long", text=0)
+    seen = seen.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "texts")]).where(F.col("n") >= LEAST_TEXTS)
+    # A little less than below, whatever way logarithms are rounded.
+    told = F.log((F.col("n") + 0.5) / (some + 1)) - F.log((F.col("clean") + 0.5) / (none + 1)) >= LEAST_ODDS - 1e-9
+    often = seen.where(told).select("feature", "n", "texts", "clean").orderBy(F.desc("n"), F.length("feature"), "feature").collect()
+    schema = "grade int, features array<int>, counts array<int>, size long"
+    in_toxic, in_clean = (np.array([row[c] for row in often], float) for c in ("n", "clean"))
     odds = np.log((in_toxic + 0.5) / (some + 1)) - np.log((in_clean + 0.5) / (none + 1))
     # Of features that the same texts have, the shortest stands for all.
     alike: dict[tuple, int] = {}

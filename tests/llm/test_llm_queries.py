@@ -232,6 +232,15 @@ def test_held_out_toxicity(spark):
     assert all((r.severity > 0.2) >= r.toxic for r in found) and {r.grade for r in found} >= {0, 1, 2}
 
 
+def test_rare_features_count_among_many_common_ones(spark):
+    """More features of toxic texts than 50,000, and the one that tells is the rarest."""
+    common = " ".join(f"k{i:05d}" for i in range(26_000))  # and their beginnings
+    rows = [(common + (" zap" if i % 3 else ""), 1) for i in range(9)]
+    rows = [(f"{text} t{i}", grade) for i, (text, grade) in enumerate(rows)] + [(f"{common} c{i}", 0) for i in range(30)]
+    model = toxicity.train(spark.createDataFrame(rows, "text string, grade int"))
+    assert set(model.features) == {"zap"}
+
+
 def test_archives_hold_the_pages(spark, oracle):
     from loomwright.llm import warc
 
