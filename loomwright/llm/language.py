@@ -122,17 +122,19 @@ def _places(codes: np.ndarray, size: int) -> Iterator[np.ndarray]:
 
 def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
     """Learn a filter from ``text`` and ``lang``; rows in which one of them is null teach
-    nothing. Of a language with more than ``train_docs`` rows, about as many are read, chosen
-    by a hash of the text. Driver and filter hold at most ``1 / LEAST_RATE`` n-grams for each
+    nothing, and copies of a text count once. Of a language with more than ``train_docs`` texts,
+    about as many are read, chosen by a hash of the text. Driver and filter hold at most ``1 / LEAST_RATE`` n-grams for each
     language and size."""
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).dropna()
-    counted = sorted(map(tuple, rows.groupBy("lang").count().collect()))  # a row for each language
+    # Hashes stand for the texts here; the texts that are read are told apart below.
+    different = rows.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    counted = sorted(map(tuple, different.groupBy("lang").count().collect()))  # a row for each language
     languages = [lang for lang, _ in counted]
     # How much of a language is read. The driver holds these rows, so they go to the texts.
     parts = [(lang, k, min(1.0, train_docs / n)) for k, (lang, n) in enumerate(counted, 1)]
     share = labelled.sparkSession.createDataFrame(parts, "lang string, number int, share double")
     chosen = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    chosen = chosen.select("number", "text")
+    chosen = chosen.select("number", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work_for(__name__)

@@ -113,6 +113,14 @@ def test_predictions_see_nothing_but_the_text(spark):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
 
 
+def test_copies_of_a_text_teach_once(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("text", "lang").dropna()
+    hot = docs.where("length(text) > 500").orderBy("text").limit(1)
+    copies = docs.unionAll(hot.crossJoin(spark.range(300)).select("text", "lang"))
+    one, two = (language.train(d, train_docs=40) for d in (docs, copies))
+    assert one.languages == two.languages and (one.slots == two.slots).all()
+
+
 def test_pages(spark, oracle):
     def article(page):
         import html
