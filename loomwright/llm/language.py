@@ -27,6 +27,9 @@ LEAST_RATE = 2e-5
 LEAST_SHARE = 0.2
 HASHES, SLOTS_PER_GRAM = 3, 12
 UNKNOWN = "und"
+# A text of so many bytes with a lower score is in none of the languages: what is known of them is
+# hardly more than chance. Less text tells nothing.
+LEAST_BYTES, LEAST_SCORE = 200, 0.02
 WORD = 64  # languages in one mask
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -184,6 +187,16 @@ def predicted(model: Filter, spark: SparkSession) -> Callable[[str], Column]:
     return run
 
 
+def has_letter() -> Callable[[str], Column]:
+    """A function of a text column: whether it has a letter."""
+
+    @F.arrow_udf("boolean")
+    def run(text: pa.Array) -> pa.Array:
+        return pa.array([_has_letter(t) for t in texts_of(text)], pa.bool_())
+
+    return run
+
+
 def predict(docs: DataFrame, model: Filter) -> DataFrame:
     """``docs`` with the columns ``lang_pred`` and ``score``, which replace columns with these
     names. The score is the share of the text's n-grams that the language has. Null texts and
@@ -193,6 +206,11 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
     return marked.withColumns({c: F.col(f"__guess.{c}") for c in ("lang_pred", "score")}).drop("__guess")
 
 
+def in_no_language(text: str = "text") -> Column:
+    """Whether a row of ``predict`` is in none of the languages of the model, by its score."""
+    return (F.octet_length(text) >= LEAST_BYTES) & (F.col("score") < LEAST_SCORE)
+
+
 def held_out() -> Column:
     """Documents that training leaves for the test."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2

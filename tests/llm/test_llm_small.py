@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
 sys.path.insert(0, str(ROOT))
@@ -120,6 +121,16 @@ def test_pipeline_keeps_the_columns(spark, awkward):
         assert stage(spark, docs, awkward).columns == docs.columns
 
 
+def test_language_stage(spark):
+    latin = "The quick brown fox jumps over the lazy dog and runs away. " * 8
+    greek = "Η γρήγορη καφέ αλεπού πηδάει πάνω από το σκυλί. " * 8
+    rows = [(i, f"{latin} {i}", "en", "s", 1, "x", 1, "r") for i in range(20)] + [(20, greek, None, "s", 1, "x", 1, "r"), (21, "12", None, "s", 1, "x", 1, "r")]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()} == set(range(20))
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, none, "").collect()} == set(range(21))
+
+
 def test_pipeline(spark, awkward, empty, nulls):
     assert {r.doc_id for r in corpus_pipeline.run(spark, awkward).collect()} == {5, 7}
     assert corpus_pipeline.run(spark, empty).collect() == corpus_pipeline.run(spark, nulls).collect() == []
