@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import shared_dir
-from . import contamination, extraction, language, linededup, neardup, packing, repetition, tokenfile, toxicity, warc
+from . import alignment, contamination, extraction, importance, language, linededup, mixing, neardup, packing, repetition, tokenfile, toxicity, warc
 from .common import read_table
 
 
@@ -81,8 +81,28 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    drawn = importance.resample(documents, benchmark, sizes=(1, 1), buckets=10_000, seed=2024, percent=10, least_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(read_table(spark, sf_dir, "documents"), weights=(1, 2, 3), percent=100, most_epochs=3)
+    return planned.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read_table(spark, sf_dir, "documents"), *paths).withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_best_fit_packing, op2_html_extraction, op3_language_id, op4_near_duplicates, op5_decontamination, op6_line_dedup, op7_quality_rules, op8_toxicity, op9_warc, op10_token_files]
+    named = [
+        *(op1_best_fit_packing, op2_html_extraction, op3_language_id, op4_near_duplicates, op5_decontamination),
+        *(op6_line_dedup, op7_quality_rules, op8_toxicity, op9_warc, op10_token_files),
+        *(op11_importance_resampling, op12_source_mixing, op13_token_alignment),
+    ]
     return {query.__name__: query for query in named}
 
 
@@ -149,10 +169,92 @@ FROM digests JOIN digits USING (page_id)
 """
 
 
+# Hexadecimal digits as a number.
+_HEX = "(instr('0123456789abcdef', substr({0}, CAST({1} AS BIGINT), 1)) - 1)"
+_BYTES = f"list_transform(range(0, strlen(word)), lambda k: 16 * {_HEX.format('h', '2 * k + 1')} + {_HEX.format('h', '2 * k + 2')})"
+_DRAW = "floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))"
+_EIGHT = "(" + " * 16 + ".join(["(" * 7 + _HEX.format("d", 1)] + [f"{_HEX.format('d', i)})" for i in range(2, 9)]) + ")"
+
+RESAMPLING_SQL = f"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS t FROM range(0, 256) AS r(i)
+),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT {_WORDS} AS w FROM benchmark),
+found AS (SELECT doc_id, unnest(w) AS word FROM docs),
+wanted AS (SELECT unnest(w) AS word FROM items),
+known AS (SELECT word, lower(hex(word)) AS h FROM (SELECT word FROM found UNION SELECT word FROM wanted)),
+placed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS BIGINT) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM known, crc
+),
+have AS (SELECT bucket, count(*) AS s FROM found JOIN placed USING (word) GROUP BY bucket),
+want AS (SELECT bucket, count(*) AS t FROM wanted JOIN placed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM have) + 10000) AS DOUBLE)
+    / CAST((coalesce(s, 0) + 1) * (coalesce((SELECT sum(t) FROM want), 0) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM have LEFT JOIN want USING (bucket)
+),
+weights AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM found JOIN placed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+noise AS (SELECT doc_id, {_EIGHT} AS h FROM (SELECT doc_id, sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents)),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST({_DRAW} AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (doc_id) JOIN noise USING (doc_id)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+MIXING_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM docs GROUP BY source
+),
+ordered AS (
+  SELECT *, 3 * source_size AS most,
+    sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) - 3 * source_size AS most_before,
+    sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) - weight AS weight_before,
+    sum(source_size) OVER () AS budget, sum(weight) OVER () AS weights
+  FROM sources
+),
+cut AS (SELECT *, most / weight < (budget - most_before) / (weights - weight_before) AS is_full FROM ordered),
+targets AS (
+  SELECT source, source_size, CASE WHEN is_full THEN CAST(most AS DOUBLE) ELSE
+    CAST(budget - coalesce(sum(most) FILTER (is_full) OVER (), 0) AS DOUBLE) * weight
+      / CAST(weights - coalesce(sum(weight) FILTER (is_full) OVER (), 0) AS DOUBLE) END AS target
+  FROM cut
+),
+placed AS (
+  SELECT doc_id, source, size, sum(size) OVER (
+    PARTITION BY source ORDER BY md5('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id
+  ) - size AS before FROM docs
+),
+epochs AS (
+  SELECT doc_id, size, source_size, target, before, CAST(floor(target) AS BIGINT) AS words,
+    CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs
+  FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, words - epochs * source_size - before)) AS BIGINT) AS taken
+FROM epochs
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others need a tokenizer, a trained model, or a hash that SQL has not."""
     return {
         "op4_near_duplicates": NEAR_DUPLICATES_SQL,
         "op5_decontamination": DECONTAMINATION_SQL,
         "op9_warc": WARC_SQL,
+        "op11_importance_resampling": RESAMPLING_SQL,
+        "op12_source_mixing": MIXING_SQL,
     }
