@@ -8,9 +8,12 @@ and run the load on that; each returns the whole table that came out.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +41,7 @@ from loomwright.operators.dedup import keep_last, only_new
 from loomwright.operators.load import append, append_absent, ensure_table, replace
 from loomwright.operators.quality import check_table, check_tables, statistics, table_passed
 from loomwright.paths import shared_dir
-from loomwright.session import fit_shuffle
+from loomwright.session import fit_shuffle, own_session
 
 # The operators for training data and their pipeline can be taken out of the library.
 try:
@@ -333,6 +336,91 @@ def rejected_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.join(reduce(DataFrame.unionByName, counts), "pipeline_id")
 
 
+def keyed_table_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that was created with a key and a required column, and later loads of whole tables
+    whose configurations name neither: what became of each, and the rows that were there then."""
+    orders = _table(spark, sf_dir, "orders")
+    table = f"{_schema(spark)}.kept"
+    schema, _, name = table.partition(".")
+    others = orders.withColumn("o_orderkey", F.col("o_orderkey") + 10**12)
+    known = {"columns": _declared(orders, ["o_orderstatus"]), "primary_key": ("o_orderkey",)}
+    loads = [
+        ("first", APPEND, orders, known),
+        ("keys_that_are_there", APPEND, orders, {}),
+        ("null_in_required_column", APPEND, others.withColumn("o_orderstatus", F.lit(None).cast("string")), {}),
+        ("keys_twice", REPLACE, others.unionAll(others), {}),
+        ("other_keys", APPEND, others, {}),
+        ("keys_that_are_there_named", APPEND, orders.withColumn("o_totalprice", F.lit(0.0)), known),
+        ("replaced", REPLACE, orders, {}),
+    ]
+    kinds = {"duplicate key": "duplicate", "null in a NOT NULL column": "null"}
+    rows = []
+    for load, mode, df, more in loads:
+        base, key = _as_csv(df)
+        error = None
+        try:
+            ingest_table(spark, TableSpec(load, schema, name, mode, {"key": key}, **more), base_path=base)
+        except Exception as e:
+            error = str(e)
+        kind = next((kind for text, kind in kinds.items() if text in (error or "")), None)
+        rows.append((load, error is None, kind, spark.table(table).count()))
+    return spark.createDataFrame(rows, "load string, loaded boolean, kind string, rows_there bigint")
+
+
+def append_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches that are loaded at once, each from a session of its own."""
+    orders = _table(spark, sf_dir, "orders")
+    table = f"{_schema(spark)}.shared"
+    ensure_table(spark, table, orders.schema, primary_key=("o_orderkey",))
+
+    def write(left_out: int) -> None:
+        rows = _table(own_session(spark), sf_dir, "orders")
+        append_absent(rows.where(F.col("o_orderkey") % 3 != left_out), table, ["o_orderkey"])
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), (0, 1)))
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are read after the table was replaced, by a reader from before and by one from after."""
+    supplier = _table(spark, sf_dir, "supplier")
+    target = _target(spark, supplier)
+    before = spark.table(target).select(F.lit("before").alias("reader"), "*")
+    replace(supplier.withColumn("s_acctbal", F.lit(0.0)), target)
+    return before.unionByName(spark.table(target).select(F.lit("after").alias("reader"), "*"))
+
+
+# A fault in the row with the largest key: table -> key, column and what stands there.
+LOCATED: dict[str, tuple[str, str, str | None]] = {
+    "orders": ("o_orderkey", "o_totalprice", "n/a"),
+    "customer": ("c_custkey", "c_name", None),
+    "documents": ("doc_id", "n_chars", "many"),
+}
+FILES = 4
+
+
+def located_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole tables in several files each, one record of which is at fault: where the error says it is."""
+    schema = _schema(spark)
+    specs, folder = [], shared_dir(spark, "located")
+    for table, (key, column, value) in LOCATED.items():
+        rows = _table(spark, sf_dir, table)
+        largest = F.lit(rows.agg(F.max(key)).first()[0])
+        faulty = F.when(F.col(key) == largest, F.lit(value)).otherwise(F.col(column).cast("string"))
+        dealt = rows.withColumn(column, faulty).withColumn("file", F.col(key) % FILES)
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        dealt.repartition(FILES, "file").sortWithinPartitions("file", key).write.partitionBy("file").options(**options).csv(f"{folder}/{table}")
+        specs.append(TableSpec(table, schema, table, REPLACE, {"key": f"{table}/*"}, columns=_declared(rows, [column])))
+    results = ingest_all(spark, Config("located", tuple(specs)), base_path=folder)
+    found = [(r.pipeline_id, *re.search(r"/file=(\d+)/.*, record (\d+): (.*)", r.error or "/file=0/, record 0: none").groups()) for r in results]
+    return spark.createDataFrame(
+        [(name, int(file), int(record), problem) for name, file, record, problem in found],
+        "table string, file int, record bigint, problem string",
+    )
+
+
 # The tables of the report with their rules, and what each observes as SQL over the table.
 DUPLICATES = "(SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
 REPORTED: dict[str, list[tuple[Rule, str]]] = {
@@ -500,6 +588,38 @@ def validation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(_short_name(), F.inline("results"))
 
 
+# Rules whose findings are looked at: table -> rule, what breaks it in SQL, and the value that is shown.
+EVIDENCE: dict[str, list[tuple[Rule, str, str]]] = {
+    "orders": [(_rule("qc_allowed_values"), "o_orderstatus NOT IN ('O', 'F')", "o_orderstatus")],
+    "customer": [
+        (_rule("qc_regex"), "NOT regexp_matches(c_name, '^Customer#[0-9]{8}[0-4]$')", "c_name"),
+        (column_rule("max_length", "c_mktsegment", max=8), "length(c_mktsegment) > 8", "c_mktsegment"),
+    ],
+    "part": [
+        (unique("p_name"), "", "p_name"),
+        (column_rule("range", "p_size", min=10, max=40), "p_size < 10 OR p_size > 40", "p_size"),
+    ],
+    "lineitem": [(unique(*LINE_KEY), "", "concat_ws(',', l_orderkey, l_linenumber)"), (unique("l_partkey"), "", "l_partkey")],
+    "events": [(column_rule("not_null", "props"), "props IS NULL", "NULL"), (unique("event_id"), "", "event_id")],
+    "documents": [(column_rule("allowed_values", "source", values=["src0", "src1"]), "source NOT IN ('src0', 'src1')", "source")],
+}
+
+
+def validation_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and samples that a validation keeps with its findings."""
+    schema = _schema(spark)
+    _register(spark, sf_dir, schema, EVIDENCE)
+    specs = [
+        TableSpec(f"e.{t}", schema, t, REPLACE, {}, table_id=t, rules=tuple(r for r, _, _ in found)) for t, found in EVIDENCE.items()
+    ]
+    output = shared_dir(spark, "findings")
+    validate_tables(spark, Config("e", tuple(specs)), output_dir=output)
+    counts = "element_count: bigint, missing_count: bigint, unexpected_count: bigint, samples: array<string>"
+    results = f"results array<struct<check_type: string, `column`: string, {counts}>>"
+    documents = spark.read.schema(f"`table` string, {results}").json(output).select(_short_name(), F.inline("results"))
+    return documents.withColumn("samples", F.array_join("samples", ";"))
+
+
 def schema_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _schema(spark)
     _register(spark, sf_dir, schema, SWEPT)
@@ -539,6 +659,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "typed_ingest_dates": typed_ingest_dates,
         "blank_lines_in_one_column": blank_lines_in_one_column,
         "rejected_loads": rejected_loads,
+        "keyed_table_constraints": keyed_table_constraints,
+        "append_two_writers": append_two_writers,
+        "snapshot_read": snapshot_read,
+        "located_faults": located_faults,
         "ingest_report": ingest_report,
         **{name: _check_query(name) for name in [*SINGLE_RULES, *UNIQUE_RULES]},
         "qc_unique_together": qc_unique_together,
@@ -547,6 +671,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qc_statistics": qc_statistics,
         "validation_summary": validation_summary,
         "validation_documents": validation_documents,
+        "validation_evidence": validation_evidence,
         "schema_sweep": schema_sweep,
         **(training.queries() | {"pipeline": corpus_pipeline.run} if training else {}),
     }
@@ -593,6 +718,35 @@ def _reported_sql(table: str) -> str:
     )
 
 
+def _evidence_sql(table: str, rule: Rule, broken: str, shown: str) -> str:
+    """Of each quarter of the hashes, the value with the least one."""
+    missing = " OR ".join(f"{c} IS NULL" for c in rule.columns)
+    if rule.kind == "unique":
+        keys, present = ", ".join(rule.columns), " AND ".join(f"{c} IS NOT NULL" for c in rule.columns)
+        groups = f"(SELECT {keys}, count(*) AS n FROM {table} WHERE {present} GROUP BY {keys} HAVING count(*) > 1)"
+        unexpected, values = f"(SELECT coalesce(sum(n), 0) FROM {groups})", f"SELECT CAST({shown} AS VARCHAR) AS x FROM {groups}"
+    else:
+        unexpected, values = f"count(*) FILTER ({broken})", f"SELECT CAST({shown} AS VARCHAR) AS x FROM {table} WHERE {broken}"
+    quarter = "(instr('0123456789abcdef', substr(md5(x), 1, 1)) - 1) // 4"
+    least = f"SELECT substr(min(md5(x) || x), 33) AS x FROM ({values}) WHERE x IS NOT NULL GROUP BY {quarter}"
+    return (
+        f"SELECT '{table}' AS \"table\", '{rule.kind}' AS check_type, '{rule.column}' AS \"column\", count(*) AS element_count, "
+        f"count(*) FILTER ({missing}) AS missing_count, CAST({unexpected} AS BIGINT) AS unexpected_count, "
+        f"(SELECT coalesce(string_agg(x, ';' ORDER BY x), '') FROM ({least})) AS samples FROM {table}"
+    )
+
+
+def _located_sql(table: str) -> str:
+    key, column, value = LOCATED[table]
+    kind = {"o_totalprice": "double", "n_chars": "bigint"}.get(column)
+    problem = f"column {column}: invalid {kind}: {value}" if value else f"column {column}: null in a NOT NULL column"
+    largest = f"(SELECT max({key}) FROM {table})"
+    return (
+        f"SELECT '{table}' AS \"table\", CAST({largest} % {FILES} AS INTEGER) AS file, count(*) AS record, '{problem}' AS problem "
+        f"FROM {table} WHERE {key} % {FILES} = {largest} % {FILES}"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     lines = ", ".join(f"{c} DESC" for c in LINE_ORDER)
     last_lines = (
@@ -682,6 +836,25 @@ def oracle_sql() -> dict[str, str]:
                 "bad_date": "'invalid value'",
             }.items()
         ),
+        "keyed_table_constraints": " UNION ALL ".join(
+            f"SELECT '{load}' AS load, {kind is None} AS loaded, CAST({kind or 'NULL'} AS VARCHAR) AS kind, "
+            f"{times} * count(*) AS rows_there FROM orders"
+            for load, kind, times in [
+                ("first", None, 1),
+                ("keys_that_are_there", "'duplicate'", 1),
+                ("null_in_required_column", "'null'", 1),
+                ("keys_twice", "'duplicate'", 1),
+                ("other_keys", None, 2),
+                ("keys_that_are_there_named", None, 2),
+                ("replaced", None, 1),
+            ]
+        ),
+        "append_two_writers": "SELECT * FROM orders",
+        "snapshot_read": (
+            "SELECT 'before' AS reader, * FROM supplier UNION ALL "
+            "SELECT 'after', * REPLACE (CAST(0 AS DOUBLE) AS s_acctbal) FROM supplier"
+        ),
+        "located_faults": " UNION ALL ".join(_located_sql(table) for table in LOCATED),
         "ingest_report": " UNION ALL ".join(_reported_sql(table) for table in REPORTED),
         **{name: _check_sql(name) for name in [*SINGLE_RULES, *UNIQUE_RULES]},
         "qc_unique_together": together,
@@ -697,6 +870,9 @@ def oracle_sql() -> dict[str, str]:
         "validation_documents": (
             f'SELECT "table", check_type, "column", params, observed, passed FROM ({report}) UNION ALL SELECT * FROM ({again})'
         ),
+        "validation_evidence": " UNION ALL ".join(
+            _evidence_sql(table, *found) for table, all_found in EVIDENCE.items() for found in all_found
+        ),
         "schema_sweep": " UNION ALL ".join(
             f"SELECT '{t}' AS \"table\", 'row_count_min' AS check_type, count(*) AS observed, count(*) >= 1 AS passed FROM {t}"
             for t in SWEPT

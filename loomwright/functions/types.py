@@ -56,9 +56,8 @@ def _has(text: Column, letters: str) -> Column:
     return reduce(Column.__or__, [text.contains(letter) for letter in letters])
 
 
-def from_text(text: Column, target: T.DataType, name: str) -> Column:
-    """``text`` as ``target``. Null stays null; text that does not fit fails the
-    query with the column and the value, whether or not ANSI mode is on."""
+def convert(text: Column, target: T.DataType) -> Column:
+    """``text`` as ``target``, null where it does not fit."""
     if isinstance(target, T.StringType):
         return text
     value = text.try_cast(target)
@@ -74,5 +73,18 @@ def from_text(text: Column, target: T.DataType, name: str) -> Column:
         # Not the number literals of Java: 12d, 0x1p3, and 1f, which has no n unlike inf.
         literal = _has(text, "dDxX") | (_has(text, "fF") & ~_has(text, "nN"))
         value = F.when(~literal, value)
-    problem = F.concat(F.lit(f"column {name}: invalid {target.simpleString()}: "), text)
-    return F.when(text.isNotNull(), F.coalesce(value, F.raise_error(problem).cast(target)))
+    return value
+
+
+def problem(text: Column, target: T.DataType, name: str) -> Column:
+    """What is said of a text that does not fit."""
+    return F.concat(F.lit(f"column {name}: invalid {target.simpleString()}: "), text)
+
+
+def from_text(text: Column, target: T.DataType, name: str) -> Column:
+    """``text`` as ``target``. Null stays null; text that does not fit fails the
+    query with the column and the value, whether or not ANSI mode is on."""
+    if isinstance(target, T.StringType):
+        return text
+    value = F.coalesce(convert(text, target), F.raise_error(problem(text, target, name)).cast(target))
+    return F.when(text.isNotNull(), value)

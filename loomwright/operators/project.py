@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ColumnSpec
-from ..functions.types import from_text
+from ..functions.types import convert, from_text, problem
 
 
 def resolve_schema(header: Sequence[str], declared: Iterable[ColumnSpec]) -> T.StructType:
@@ -21,9 +21,13 @@ def resolve_schema(header: Sequence[str], declared: Iterable[ColumnSpec]) -> T.S
     return T.StructType([c.to_field() for c in [*from_header, *absent]])
 
 
+def _null_problem(name: str) -> str:
+    return f"column {name}: null in a NOT NULL column"
+
+
 def require(value: Column, data_type: T.DataType, name: str) -> Column:
     """``value``, or a failing query where it is null."""
-    return F.coalesce(value, F.raise_error(F.lit(f"column {name}: null in a NOT NULL column")).cast(data_type))
+    return F.coalesce(value, F.raise_error(F.lit(_null_problem(name))).cast(data_type))
 
 
 def project(
@@ -44,3 +48,17 @@ def project(
             value = require(value, field.dataType, field.name)
         projection.append(value.alias(field.name))
     return rows.select(*projection, *keep)
+
+
+def first_fault(target: T.StructType, header: Sequence[str], required: Collection[str] = ()) -> Column:
+    """What ``project`` fails on in a row, in the order of the columns; null if it does not."""
+    faults = []
+    for field in target:
+        if field.name in header:
+            text = F.col(f"`{field.name}`")
+            faults.append(F.when(text.isNotNull() & convert(text, field.dataType).isNull(), problem(text, field.dataType, field.name)))
+            if field.name in required:
+                faults.append(F.when(text.isNull(), F.lit(_null_problem(field.name))))
+        elif field.name in required:
+            faults.append(F.lit(_null_problem(field.name)))
+    return F.coalesce(*faults) if faults else F.lit(None).cast("string")

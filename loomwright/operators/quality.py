@@ -1,7 +1,8 @@
 """Quality rules as aggregates.
 
 All rules of a table that look at one row at a time are one aggregation over the
-columns they name; all uniqueness rules together are one more, over grouping sets.
+columns they name. All uniqueness rules together are one more, over numbers that stand for the
+keys, and another over the keys whose numbers occur more than once.
 """
 
 from __future__ import annotations
@@ -34,6 +35,16 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
+EVIDENCE_SCHEMA = T.StructType(
+    [
+        *RESULT_SCHEMA,
+        T.StructField("element_count", T.LongType()),
+        T.StructField("missing_count", T.LongType()),
+        T.StructField("unexpected_count", T.LongType()),
+        T.StructField("samples", T.ArrayType(T.StringType())),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -137,37 +148,187 @@ def _row_results(df: DataFrame, table: str, metrics: Sequence[Metric]) -> DataFr
     return one_row.select(F.inline(F.array(*results)))
 
 
-def _unique_results(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    """Count the rows of every key of every rule in one pass and one shuffle.
+# Keys of these types are told apart by a number as large as a hash.
+_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _number(column: str, data_type: T.DataType) -> Column | None:
+    """The values of a column as longs, a different one for each, if it has such."""
+    value = F.col(f"`{column}`")
+    if isinstance(data_type, _WHOLE_NUMBERS):
+        return value.cast("long")
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(data_type, T.TimestampNTZType):
+        micros = (F.hour(value) * 3600 + F.minute(value) * 60).cast("long") * 1_000_000
+        seconds = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("long")
+        return F.unix_date(value.cast("date")).cast("long") * 86_400_000_000 + micros + seconds
+    return None
 
-    Rows are counted before the shuffle, so a value that fills a third of the table
-    arrives as one count per task. Keys with a null in them are not compared."""
-    columns = list(dict.fromkeys(c for r in rules for c in r.columns))
+
+def _hashed(columns: Sequence[str], schema: T.StructType) -> Column:
+    """A hash of a key; keys that are grouped as equal have the same one."""
+    values = []
     for c in columns:
-        _data_type(df.schema, c)
-    # Rows that have no whole key for any rule are left out by the scan.
-    whole = [reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in r.columns]) for r in rules]
+        value = F.col(f"`{c}`")
+        # Zero has two signs.
+        values.append(value + F.lit(0).cast(schema[c].dataType) if isinstance(schema[c].dataType, (T.DoubleType, T.FloatType)) else value)
+    return F.xxhash64(*values)
+
+
+def _in_one(entries: Sequence[Column]) -> Column:
+    """A row for each of the entries, which are null where a row has none."""
+    return F.explode(F.array(*entries)).alias("entry")
+
+
+def duplicated_keys(df: DataFrame, keys: Sequence[Sequence[str]], samples: int = 0) -> DataFrame:
+    """The keys that several rows of ``df`` share: ``set`` (which of ``keys``), ``rows``, and with
+    ``samples`` the key as text in ``shown``. Keys with a null in them are not compared.
+
+    All rows are counted by a number of 64 bits: the key itself if it fits, else a hash. Only rows
+    whose hash occurs more than once are then compared by the whole key, so where a long key is
+    unique, as it should be, that is all that is shuffled."""
+    schema = df.schema
+    for c in {c for columns in keys for c in columns}:
+        _data_type(schema, c)
+    whole = [reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in columns]) for columns in keys]
+    # Rows that have no whole key at all are left out by the scan.
     df = df.where(reduce(Column.__or__, whole))
-    sets = [[F.col(f"`{c}`") for c in s] for s in {frozenset(r.columns): r.columns for r in rules}.values()]
-    if len(sets) == 1:
-        counted = df.groupBy(*sets[0]).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__set", F.lit(0))
-        set_ids = [0] * len(rules)
-    else:
-        counted = df.groupingSets(sets, *[F.col(f"`{c}`") for c in columns]).agg(
-            F.count(F.lit(1)).alias("__rows"), F.grouping_id().alias("__set")
-        )
-        # A bit per column, the first one highest, set where the column is not in the set.
-        set_ids = [sum(1 << i for i, c in enumerate(reversed(columns)) if c not in r.columns) for r in rules]
-
-    totals, results = [], []
-    for i, (rule, set_id) in enumerate(zip(rules, set_ids)):
-        duplicated = (F.col("__set") == set_id) & (F.col("__rows") > 1)
-        for c in rule.columns:
-            duplicated &= F.col(f"`{c}`").isNotNull()
-        totals.append(F.count_if(duplicated).alias(f"groups{i}"))
-        totals.append(F.coalesce(F.sum(F.when(duplicated, F.col("__rows"))), F.lit(0)).alias(f"rows{i}"))
-        results.append(_result(table, rule, F.col(f"groups{i}"), F.col(f"rows{i}"), F.col(f"groups{i}") == 0))
-    return counted.agg(*totals).select(F.inline(F.array(*results)))
+    numbers = [_number(columns[0], schema[columns[0]].dataType) if len(columns) == 1 else None for columns in keys]
+    codes = [_hashed(columns, schema) if n is None else n for columns, n in zip(keys, numbers, strict=True)]
+    sets = [F.lit(i).cast("byte").alias("set") for i in range(len(keys))]
+    coded = [F.when(w, F.struct(i, code.alias("code"))) for i, w, code in zip(sets, whole, codes, strict=True)]
+    entries = df.select(_in_one(coded)).select("entry.*") if len(keys) > 1 else df.select(sets[0], codes[0].alias("code"))
+    # The join below would add this filter to its own branch, and the counts would be made twice.
+    entries = entries.where("set IS NOT NULL AND code IS NOT NULL")
+    counted = entries.groupBy("set", "code").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    exact = [i for i, n in enumerate(numbers) if n is not None]
+    found = []
+    if exact:
+        if samples:
+            shown = {i: _text_of_number(schema[keys[i][0]].dataType) for i in exact}
+            by_set = reduce(lambda rest, i: F.when(F.col("set") == i, shown[i]).otherwise(rest), exact, F.lit(None).cast("string"))
+            found.append(counted.select(F.when(F.col("set").isin(exact), F.col("set")).alias("set"), "rows", by_set.alias("shown")))
+        else:
+            # No filter, which would be pushed below the counts and split them in two.
+            found.append(counted.select(F.when(F.col("set").isin(exact), F.col("set")).alias("set"), "rows"))
+    hashed = [i for i in range(len(keys)) if i not in exact]
+    if hashed:
+        names = list(dict.fromkeys(c for i in hashed for c in keys[i]))
+        def own(i: int) -> list[Column]:
+            typed = [F.col(f"`{c}`") if c in keys[i] else F.lit(None).cast(schema[c].dataType) for c in names]
+            return [v.alias(f"key{k}") for k, v in enumerate(typed)]
+
+        full = df.select(_in_one([F.when(whole[i], F.struct(sets[i], codes[i].alias("code"), *own(i))) for i in hashed]))
+        columns = [f"key{k}" for k in range(len(names))]
+        again = full.select("entry.*").where("set IS NOT NULL").join(counted.select("set", "code"), ["set", "code"], "left_semi").groupBy("set", "code", *columns)
+        again = again.agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+        shown = [F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("shown")] if samples else []
+        found.append(again.select("set", "rows", *shown))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _text_of_number(data_type: T.DataType) -> Column:
+    code = F.col("code")
+    if isinstance(data_type, T.DateType):
+        return F.date_from_unix_date(code.cast("int")).cast("string")
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(code).cast("string")
+    if isinstance(data_type, T.TimestampNTZType):
+        seconds = (code / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
+        return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)).cast("string")
+    return code.cast("string")
+
+
+def _key_sets(rules: Sequence[Rule]) -> tuple[list[tuple[str, ...]], list[int]]:
+    """The different keys of rules, and which one each rule has."""
+    sets = list({frozenset(r.columns): r.columns for r in rules}.values())
+    places = {frozenset(columns): i for i, columns in enumerate(sets)}
+    return sets, [places[frozenset(r.columns)] for r in rules]
+
+
+def _unique_totals(df: DataFrame, rules: Sequence[Rule], samples: int = 0) -> DataFrame:
+    """One row with ``groups<i>`` and ``rows<i>`` for the i-th rule, how many keys are duplicated and how many
+    rows hold them, and with ``samples`` some of the keys in ``samples<i>``."""
+    sets, places = _key_sets(rules)
+    totals = []
+    for i, place in enumerate(places):
+        mine = F.col("set") == place
+        totals.append(F.count_if(mine).alias(f"groups{i}"))
+        totals.append(F.coalesce(F.sum(F.when(mine, F.col("rows"))), F.lit(0)).alias(f"rows{i}"))
+        if samples:
+            totals.append(_sample(F.when(mine, F.col("shown")), samples).alias(f"samples{i}"))
+    return duplicated_keys(df, sets, samples).agg(*totals)
+
+
+def _unique_results(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
+    results = [
+        _result(table, rule, F.col(f"groups{i}"), F.col(f"rows{i}"), F.col(f"groups{i}") == 0) for i, rule in enumerate(rules)
+    ]
+    return _unique_totals(df, rules).select(F.inline(F.array(*results)))
+
+
+# --- evidence ---------------------------------------------------------------------------
+
+# Samples of a finding: a power of two, up to one for each hexadecimal digit.
+SAMPLES = 4
+_DIGITS = "0123456789abcdefg"
+
+
+def _sample(value: Column, samples: int) -> Column:
+    """At most ``samples`` of the values that are not null, as text: hashes are dealt to as many ranges,
+    and of each the value with the least hash is taken. It takes a value for each range and
+    task, and does not depend on the order of rows."""
+    text = value.cast("string")
+    marked = F.concat(F.md5(text), text)
+    step = 16 // samples
+    borders = [(_DIGITS[i], _DIGITS[i + step]) for i in range(0, 16, step)]
+    least = [F.min(F.when((marked >= low) & (marked < high), marked)) for low, high in borders]
+    return F.transform(F.filter(F.array(*least), lambda m: m.isNotNull()), lambda m: F.substr(m, F.lit(33)))
+
+
+def evidence(df: DataFrame, table: str, rules: Iterable[Rule], samples: int = SAMPLES) -> list[dict[str, Any]]:
+    """The results of ``check_table`` as records, each with ``element_count`` (rows), ``missing_count`` (rows in
+    which a column of the rule is null), ``unexpected_count`` (rows that break the rule) and
+    ``samples`` (some of their values, as text). They are counted in the same passes: one for all
+    rules that look at a row, one or two for all of uniqueness."""
+    if samples not in (1, 2, 4, 8, 16):
+        raise ValueError(f"samples is 1, 2, 4, 8 or 16, not {samples}")
+    rules = list(rules)
+    if not rules:
+        return []
+    metrics = row_metrics(rules, df.schema)
+    aggregates = [F.count(F.lit(1)).alias("elements")]
+    for i, rule in enumerate(rules):
+        if rule.columns:
+            missing = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in rule.columns])
+            aggregates.append(F.count_if(missing).alias(f"missing{i}"))
+    for i, m in enumerate(metrics):
+        aggregates.append(m.value.alias(f"m{i}"))
+        if m.rule.columns and m.rule.kind != "not_null":
+            column = F.col(f"`{m.rule.columns[0]}`")
+            broken = F.when(_violation(m.rule, df.schema[m.rule.columns[0]].dataType), column.cast("string"))
+            aggregates.append(_sample(broken, samples).alias(f"samples_m{i}"))
+    counts = df.agg(*aggregates).first().asDict()
+    uniques = [r for r in rules if r.kind == "unique"]
+    repeated = _unique_totals(df, uniques, samples).first().asDict() if uniques else {}
+
+    def record(i: int, rule: Rule) -> dict[str, Any]:
+        found = {"table": table, "check_type": rule.kind, "column": rule.column, "params": rule.params_json}
+        counted = {"element_count": counts["elements"], "missing_count": counts.get(f"missing{i}")}
+        if rule.kind == "unique":
+            k = uniques.index(rule)
+            groups, rows = repeated[f"groups{k}"], repeated[f"rows{k}"]
+            counted |= {"unexpected_count": rows, "samples": sorted(repeated[f"samples{k}"])}
+            return found | {"observed": groups, "duplicate_rows": rows, "passed": groups == 0} | counted
+        k = [m.rule for m in metrics].index(rule)
+        observed = counts[f"m{k}"]
+        counted |= {"unexpected_count": observed if rule.columns else None, "samples": sorted(counts.get(f"samples_m{k}") or [])}
+        return found | {"observed": observed, "duplicate_rows": None, "passed": bool(metrics[k].holds(observed))} | counted
+
+    return [record(i, rule) for i, rule in enumerate(rules)]
 
 
 def check_table(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:

@@ -10,17 +10,19 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import REPLACE, Config, TableSpec
 from ..operators.dedup import keep_last
 from ..operators.load import append, append_absent, ensure_schema, ensure_table, replace
-from ..operators.project import project, resolve_schema
+from ..operators.project import first_fault, project, resolve_schema
 from ..operators.quality import Metric, check_table, row_metrics
-from ..paths import delete_dir
+from ..operators.constraints import of_table
+from ..paths import delete_dir, table_files
 from ..rules import Rule
 from ..session import fit_shuffle, own_session
-from ..sources import RawTable, source_reader
+from ..sources import MALFORMED, RawTable, source_reader
 
 PARALLEL_TABLES = 4
 
@@ -68,6 +70,19 @@ class QualityError(ValueError):
         self.result = result
 
 
+class RecordError(ValueError):
+    """A record that cannot be loaded: ``file``, ``record`` (its number in the file, from 1 and without
+    the header) and ``problem``, for the first such record in the order of the files."""
+
+    def __init__(self, file: str, record: int, problem: str, reason: str):
+        super().__init__(f"{file}, record {record}: {problem}\n{reason}")
+        self.file, self.record, self.problem = file, record, problem
+
+
+# What an error says if a record is to blame.
+DATA_ERRORS = ("MALFORMED", "null in a NOT NULL column", "invalid ")
+
+
 def load_rules(spec: TableSpec) -> list[Rule]:
     """The rules checked at load: an empty list of allowed values is left to the validation."""
     return [r for r in spec.rules if r.kind != "allowed_values" or r.params["values"]]
@@ -94,7 +109,7 @@ def _replace_and_check(rows: DataFrame, spec: TableSpec, rules: list[Rule]) -> l
     observed = Observation()
     if metrics:
         rows = rows.observe(observed, *[m.value.alias(f"m{i}") for i, m in enumerate(metrics)])
-    replace(rows, spec.full_name)
+    replace(rows, spec.full_name, unique_on=spec.primary_key)
     counts = observed.get if metrics else {}
     return [_metric_result(m, spec.full_name, counts[f"m{i}"]) for i, m in enumerate(metrics)]
 
@@ -112,7 +127,9 @@ def prepare(raw: RawTable, spec: TableSpec, target: T.StructType) -> DataFrame:
 def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dict[str, Any]]:
     """Load ``raw`` as the mode of ``spec`` says and return the results of its rules."""
     ensure_schema(spark, spec.schema)
-    target = ensure_table(spark, spec.full_name, resolve_schema(raw.columns, spec.columns), spec.description)
+    columns = resolve_schema(raw.columns, spec.columns)
+    missing = [c for c in spec.primary_key if c not in columns.names]
+    target = ensure_table(spark, spec.full_name, columns, spec.description, () if missing else spec.primary_key, spec.required - {*missing})
     fit_shuffle(raw.rows)
     rows = prepare(raw, spec, target)
     rules = load_rules(spec)
@@ -133,6 +150,26 @@ def ingest_rows(spark: SparkSession, spec: TableSpec, raw: RawTable) -> list[dic
     return results
 
 
+def locate_fault(spark: SparkSession, spec: TableSpec, raw: RawTable, reason: str) -> RecordError | None:
+    """The first record, in the order of the files, that a load fails on. Only a load that failed
+    looks for it: one pass finds the record, another counts those before it."""
+    if not raw.tolerant or not any(kind in reason for kind in DATA_ERRORS):
+        return None
+    target = spark.table(spec.full_name).schema
+    required = spec.required | of_table(table_files(spark, spec.full_name)).not_null
+    malformed = F.when(F.col(MALFORMED).isNotNull(), F.concat(F.lit("malformed record: "), F.left(F.col(MALFORMED), F.lit(200))))
+    rows = raw.tolerant()
+    fault = F.coalesce(malformed, first_fault(target, raw.columns, required))
+    first = rows.select(*raw.order, fault.alias("problem")).where("problem IS NOT NULL").orderBy(*raw.order).head(1)
+    if not first:
+        return None
+    at = first[0]
+    file, *place = raw.order
+    before = F.struct(*place) <= F.struct(*[F.lit(at[c]).alias(c) for c in place])
+    record = rows.where((F.col(file) == at[file]) & before).count()
+    return RecordError(at[file] or raw.path, record, at["problem"], reason)
+
+
 def ingest_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -144,7 +181,9 @@ def ingest_table(
 
     ``base_path`` stands in for the bucket. With ``on_failure="raise"`` failing checks
     raise ``QualityError`` after the rows are committed; ``"warn"`` only reports them.
-    One load at a time may write to a table."""
+    A primary key and required columns belong to the table once it is created: a later load
+    fails on rows that it does not take, whatever its own configuration names. Several loads may
+    append to a table at once."""
     if on_failure not in ("raise", "warn"):
         raise ValueError("on_failure is 'raise' or 'warn'")
     if spec.problem:
@@ -154,6 +193,11 @@ def ingest_table(
     raw = source_reader(spec.source_type)(own, spec.source_conf, base_path)
     try:
         results = ingest_rows(own, spec, raw)
+    except Exception as e:
+        fault = locate_fault(own, spec, raw, str(e)) if spark.catalog.tableExists(spec.full_name) else None
+        if fault:
+            raise fault from e
+        raise
     finally:
         for path in raw.staged:
             delete_dir(own, path)

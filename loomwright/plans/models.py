@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +22,13 @@ from ..operators.project import project, resolve_schema
 from ..operators.quality import check_table
 from ..paths import delete_dir, list_files, read_texts
 from ..rules import Rule, column_rule
-from ..session import fit_shuffle, setting
+from ..session import fit_shuffle, own_session, setting
 from ..sources import read_csv
 
 _REF = re.compile(r"\{\{\s*ref\(\s*['\"](\w+)['\"]\s*\)\s*\}\}")
 
+PARALLEL_NODES = 4
+
 # The tests a model may declare on a column.
 MODEL_TESTS = ("not_null", "unique")
 
@@ -224,56 +228,83 @@ def _create_view(spark: SparkSession, model: Model, relation: str, relations: Ma
         spark.sql(f"CREATE OR REPLACE {kind} {relation} AS {query}")
 
 
+def _build_node(
+    spark: SparkSession, node: Model | Seed, rules: tuple[Rule, ...], relations: Mapping[str, str]
+) -> tuple[str, int, str | None]:
+    """Create a node and run its tests: its status, how many tests failed, and what went wrong."""
+    relation = relations[node.name]
+    try:
+        if isinstance(node, Model):
+            _create_view(spark, node, relation, relations)
+        else:
+            load_seed(spark, node, relation)
+        results = check_table(fit_shuffle(spark.table(relation)), relation, rules).collect() if rules else []
+        failed = sum(not r["passed"] for r in results)
+        return "fail" if failed else "success", failed, None
+    except Exception as e:
+        return "error", 0, str(e)
+
+
 def build_models(
     spark: SparkSession,
     models: Iterable[Model],
     seeds: Iterable[Seed] = (),
     schema: str | None = None,
     tests: Mapping[str, tuple[Rule, ...]] | None = None,
+    parallel: int = PARALLEL_NODES,
 ) -> DataFrame:
     """Load the seeds, create the views parents first, and run the tests of each node when
-    it is built. Whatever depends on a node that failed is skipped. Returns a row per node.
+    it is built. A node is built as soon as all its parents are, at most ``parallel`` at once,
+    each in a session of its own. Whatever depends on a node that failed is skipped, and nothing
+    else is. Returns a row per node, parents first.
 
     With ``schema``, seeds go to that schema and views to it or to ``<schema>_<folder>``;
-    without, views are temporary, and there can be no seeds."""
-    by_name = {m.name: m for m in models}
-    seed_by_name = {s.name: s for s in seeds}
-    if seed_by_name and not schema:
+    without, views are temporary, there can be no seeds, and nodes are built one after the other in
+    the session of the caller, which alone sees them."""
+    nodes: dict[str, Model | Seed] = {s.name: s for s in seeds}
+    if nodes and not schema:
         raise ValueError("seeds are tables and need a schema")
-    unknown = sorted({p for m in by_name.values() for p in m.parents} - by_name.keys() - seed_by_name.keys())
+    seed_names = [*nodes]
+    nodes |= {m.name: m for m in models}
+    graph = {n: node.parents if isinstance(node, Model) else () for n, node in nodes.items()}
+    unknown = sorted({p for parents in graph.values() for p in parents} - nodes.keys())
     if unknown:
         raise ValueError(f"models refer to {', '.join(unknown)}, which no model or seed defines")
 
     def relation_of(name: str) -> str:
         if not schema:
             return name
-        folder = by_name[name].folder if name in by_name else None
+        folder = getattr(nodes[name], "folder", None)
         return f"{schema}_{folder}.{name}" if folder else f"{schema}.{name}"
 
-    relations = {n: relation_of(n) for n in [*seed_by_name, *by_name]}
+    relations = {n: relation_of(n) for n in nodes}
     for target in sorted({r.rpartition(".")[0] for r in relations.values()} - {""}):
         ensure_schema(spark, target)
 
-    graph = {n: () for n in seed_by_name} | {n: m.parents for n, m in by_name.items()}
-    status: dict[str, str] = {}
-    nodes = []
-    for name in TopologicalSorter(graph).static_order():
-        model = by_name.get(name)
-        rules = (*(model.tests if model else ()), *(tests or {}).get(name, ()))
-        failed, error = 0, None
-        if any(status[p] != "success" for p in graph[name]):
-            status[name] = "skipped"
-        else:
-            try:
-                if model:
-                    _create_view(spark, model, relations[name], relations)
-                else:
-                    load_seed(spark, seed_by_name[name], relations[name])
-                built = fit_shuffle(spark.table(relations[name]))
-                results = check_table(built, relations[name], rules).collect() if rules else []
-                failed = sum(not r["passed"] for r in results)
-                status[name] = "fail" if failed else "success"
-            except Exception as e:
-                status[name], error = "error", str(e)
-        nodes.append((name, relations[name], status[name], len(rules), failed, error))
-    return spark.createDataFrame(nodes, NODE_SCHEMA)
+    rules = {n: (*getattr(node, "tests", ()), *(tests or {}).get(n, ())) for n, node in nodes.items()}
+    outcomes: dict[str, tuple[str, int, str | None]] = {}
+
+    def build(name: str) -> tuple[str, int, str | None]:
+        if any(outcomes[p][0] != "success" for p in graph[name]):
+            return "skipped", 0, None
+        session = own_session(spark) if schema else spark
+        return _build_node(session, nodes[name], rules[name], relations)
+
+    order = [*TopologicalSorter(graph).static_order()]
+    waiting = TopologicalSorter(graph)
+    waiting.prepare()
+    running: dict[Future, str] = {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel) if schema else 1) as pool:
+        while waiting.is_active():
+            for name in waiting.get_ready():
+                running[pool.submit(inheritable_thread_target(spark)(build), name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                outcomes[name] = future.result()
+                waiting.done(name)
+    for name in seed_names:
+        if outcomes[name][0] in ("success", "fail"):
+            # What the session of the caller knew of the files is no longer so.
+            spark.catalog.refreshTable(relations[name])
+    rows = [(n, relations[n], outcomes[n][0], len(rules[n]), *outcomes[n][1:]) for n in order]
+    return spark.createDataFrame(rows, NODE_SCHEMA)

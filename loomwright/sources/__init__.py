@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from .csv import RawTable, read_csv
+from .csv import MALFORMED, RawTable, read_csv
 
 # Add a reader here to load from another kind of source.
 SOURCES: dict[str, Callable[..., RawTable]] = {"s3_csv": read_csv}
@@ -16,4 +16,4 @@ def source_reader(kind: str) -> Callable[..., RawTable]:
     return SOURCES[kind]
 
 
-__all__ = ["SOURCES", "RawTable", "read_csv", "source_reader"]
+__all__ = ["MALFORMED", "SOURCES", "RawTable", "read_csv", "source_reader"]

@@ -33,10 +33,14 @@ from ..session import fit_shuffle
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\u0000", "mode": "FAILFAST"}
 
 FILE, BLOCK, GROUP, LINE = "__file", "__block", "__group", "__line"
+# The text of a record that is malformed, where that is asked for.
+MALFORMED = "__malformed"
+TOLERANT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
 
 # Lines that are put together at once. A file that cannot be split is one block, but many groups.
 GROUP_LINES = 100_000
-# What a record, and a column name, may have at most. Larger ones come from a missing quote.
+# What a record, and a column name, may have at most unless a source says otherwise
+# (``max_record_bytes``, ``max_name_chars``). Larger ones come from a missing quote.
 MOST_RECORD_BYTES = 64 << 20
 MOST_NAME_CHARS = 100_000
 WHOLE = "starts AND NOT odd"
@@ -45,12 +49,16 @@ WHOLE = "starts AND NOT odd"
 @dataclass(frozen=True)
 class RawTable:
     """Text columns under their normalised names, followed by the columns that
-    order the rows as they stand in the files, and folders to delete after use."""
+    order the rows as they stand in the files, and folders to delete after use. ``tolerant``
+    reads the same rows again for a diagnosis: a record with too few or too many fields does
+    not fail, but stands in the column ``MALFORMED``."""
 
     rows: DataFrame
     columns: tuple[str, ...]
     order: tuple[str, ...]
     staged: tuple[str, ...] = ()
+    path: str = ""
+    tolerant: Callable[[], DataFrame] | None = None
 
 
 def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
@@ -61,10 +69,10 @@ def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
     return f"{base.rstrip('/')}/{conf['key']}"
 
 
-def read_header(spark: SparkSession, path: str) -> list[str | None]:
+def read_header(spark: SparkSession, path: str, most_chars: int = MOST_NAME_CHARS) -> list[str | None]:
     """The first record as it stands. ``multiLine`` reads on from the start of one file and stops
     there; a quote that is never closed makes a name longer than any, which is an error."""
-    limits = {"maxCharsPerColumn": MOST_NAME_CHARS, "header": False, "multiLine": True}
+    limits = {"maxCharsPerColumn": most_chars, "header": False, "multiLine": True}
     first = spark.read.options(**DIALECT, **limits).csv(path).head(1)
     if not first or not any(first[0]):
         raise ValueError(f"{path} has no header")
@@ -104,13 +112,17 @@ def _text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _read_lines(spark: SparkSession, path: str, header: list[str | None], columns: list[str]) -> DataFrame:
+def _read_lines(
+    spark: SparkSession, path: str, header: list[str | None], columns: list[str], tolerant: bool = False
+) -> DataFrame:
     """Every line is a record: Spark's reader, which splits the files, skips the header of
     each and, where there are several, compares it with ours."""
-    reader = spark.read.schema(_text_schema(header)).options(**DIALECT, header=True, multiLine=False)
+    more = [MALFORMED] if tolerant else []
+    dialect = DIALECT | (TOLERANT if tolerant else {})
+    reader = spark.read.schema(_text_schema([*header, *more])).options(**dialect, header=True, multiLine=False)
     files = reader.csv(path).inputFiles()
-    rows = reader.option("enforceSchema", len(files) == 1).csv(path)
-    return rows.select("*", *_positions(files)).toDF(*columns, FILE, BLOCK, LINE)
+    rows = reader.option("enforceSchema", tolerant or len(files) == 1).csv(path)
+    return rows.select("*", *_positions(files)).toDF(*columns, *more, FILE, BLOCK, LINE)
 
 
 def _number_lines(group_lines: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -216,10 +228,18 @@ def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def _read_records(
-    spark: SparkSession, staged: str, path: str, header: list[str | None], columns: list[str]
+    spark: SparkSession,
+    staged: str,
+    path: str,
+    header: list[str | None],
+    columns: list[str],
+    most_bytes: int,
+    tolerant: bool = False,
 ) -> DataFrame:
     lines = fit_shuffle(spark.read.parquet(staged))
     kept = f"{staged}-splits"
+    if tolerant:
+        return _parsed(lines, spark.read.parquet(kept), path, header, columns, tolerant=True)
     _splits(lines).write.parquet(kept)
     splits = spark.read.parquet(kept)
     # Checked before any record is built: an open quote takes in the rest of its file, and two
@@ -228,15 +248,26 @@ def _read_records(
     if not open_ended.isEmpty():
         raise ValueError(f"{path}: unterminated quoted field")
     sizes = _parts(lines, splits).groupBy(FILE, "first_line").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
-    if not sizes.where(F.col("bytes") > MOST_RECORD_BYTES).isEmpty():
-        raise ValueError(f"{path}: a record of more than {MOST_RECORD_BYTES} bytes; a quote may be missing or stray")
+    if not sizes.where(F.col("bytes") > most_bytes).isEmpty():
+        raise ValueError(
+            f"{path}: a record of more than {most_bytes} bytes; a quote may be missing or stray, else raise max_record_bytes"
+        )
+
+    return _parsed(lines, splits, path, header, columns)
 
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    fields = F.from_csv("text", schema, {**DIALECT, "multiLine": "true"})
+
+def _parsed(
+    lines: DataFrame, splits: DataFrame, path: str, header: list[str | None], columns: list[str], tolerant: bool = False
+) -> DataFrame:
+    more = [MALFORMED] if tolerant else []
+    schema = ", ".join(f"`{c}` string" for c in [*columns, *more])
+    fields = F.from_csv("text", schema, {**DIALECT, "multiLine": "true", **(TOLERANT if tolerant else {})})
     if len(columns) == 1:
         # A blank line is a null in a table of one column, a short record in any other.
-        fields = F.when(F.col("text") == "", F.struct(F.lit(None).cast("string").alias(columns[0]))).otherwise(fields)
-    expected = F.struct(*[F.lit(h).cast("string").alias(c) for h, c in zip(header, columns)])
+        nulls = F.struct(*[F.lit(None).cast("string").alias(c) for c in [*columns, *more]])
+        fields = F.when(F.col("text") == "", nulls).otherwise(fields)
+    known = [F.lit(h).cast("string").alias(c) for h, c in zip(header, columns)]
+    expected = F.struct(*known, *[F.lit(None).cast("string").alias(c) for c in more])
     wrong = F.raise_error(F.concat(F.lit(f"{path}: a file has another header: "), "text")).cast("boolean")
     is_data = F.when(~F.col("is_header"), True).when(fields.eqNullSafe(expected), False).otherwise(wrong)
     # `inline` rather than a struct column: as a generator the parser stays out of the generated
@@ -261,7 +292,8 @@ def read_csv(
     if multi_line is True or not all(header) or _needs_records(spark, path):
         folder = _stage_lines(spark, path)
         staged = (folder, f"{folder}-splits")
-        rows = _read_records(spark, folder, path, header, columns)
+        most_bytes = int(conf.get("max_record_bytes") or MOST_RECORD_BYTES)
+        read, source = _read_records, (spark, folder, path, header, columns, most_bytes)
     else:
-        rows = _read_lines(spark, path, header, columns)
-    return RawTable(rows, tuple(columns), (FILE, BLOCK, LINE), staged)
+        read, source = _read_lines, (spark, path, header, columns)
+    return RawTable(read(*source), tuple(columns), (FILE, BLOCK, LINE), staged, path, lambda: read(*source, tolerant=True))

@@ -187,6 +187,8 @@ def test_stray_quotes_far_apart_fail(spark, tmp_path, monkeypatch):
     conf = write(tmp_path, 'a,b\n1,"x\n' + "1,x\n" * 500 + '1,x"\n2,y\n')
     with pytest.raises(ValueError, match="stray"):
         rows(spark, tmp_path, conf)
+    # A source may say that its records are that large.
+    assert len(rows(spark, tmp_path, {**conf, "max_record_bytes": 5000})[1]) == 2
 
 
 def test_a_compressed_file_has_many_groups(spark, tmp_path, monkeypatch):

@@ -1,16 +1,24 @@
 import datetime as dt
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import types as T
 
 from loomwright import QualityError, ingest_all, ingest_table, parse_config, results_frame
 from loomwright.config import ColumnSpec, Config, TableSpec
 from loomwright.functions.types import parse_type
+from loomwright.operators import load as load_module
+from loomwright.operators.constraints import ConstraintError, constrain
+from loomwright.operators.load import append, append_absent, ensure_table, expire_snapshots, replace
 from loomwright.paths import table_files
+from loomwright.plans.ingest import RecordError
 from loomwright.rules import column_rule, table_rule, unique
-from loomwright.session import setting
+from loomwright.session import own_session, setting
 
 
 def cols(**types):
@@ -168,12 +176,23 @@ def test_replace_by_nothing(spark, tmp_path, schema):
     assert content(spark, s) == [] and [c["observed"] for c in result.quality] == [0, 0]
 
 
-def test_replace_deletes_the_files_it_replaced(spark, tmp_path, schema):
+def test_replaced_rows_are_kept_until_they_expire(spark, tmp_path, schema):
     s = spec(schema)
-    for _ in range(3):
-        load(spark, tmp_path, "a\n1\n", s)
+    load(spark, tmp_path, "a\n1\n", s)
+    before = spark.table(s.full_name)
+    for value in (2, 3):
+        load(spark, tmp_path, f"a\n{value}\n", s)
+    assert [tuple(r) for r in before.collect()] == [("1",)] and content(spark, s) == [("3",)]
+    location = table_files(spark, s.full_name).location.removeprefix("file:")
+    folders = lambda: sorted(os.listdir(os.path.dirname(location)))
+    assert len(folders()) == 4  # with the one the table was created with
+    assert expire_snapshots(spark, s.full_name, timedelta(hours=1)) == 0 and len(folders()) == 4
+    assert expire_snapshots(spark, s.full_name) == 3 and folders() == [os.path.basename(location)]
+    assert content(spark, s) == [("3",)]
+    # A replace deletes what has been kept for long enough.
+    replace(spark.createDataFrame([("4",)], "a string"), s.full_name, retention=timedelta(0))
+    assert content(spark, s) == [("4",)] and len(folders()) == 1
     location = table_files(spark, s.full_name).location.removeprefix("file:")
-    assert sorted(os.listdir(os.path.dirname(location))) == [os.path.basename(location)]
     spark.sql(f"DROP TABLE {s.full_name}")
     assert not os.path.exists(location)
     load(spark, tmp_path, "a\n2\n", s)
@@ -429,3 +448,154 @@ def test_uniqueness_of_the_key_is_measured(spark, tmp_path, schema):
     s = spec(schema, columns=cols(a="int"), primary_key=("a",), rules=(unique("a"),))
     result = load(spark, tmp_path, "a,b\n1,x\n1,y\n2,z\n", s)
     assert [(c["check_type"], c["observed"], c["duplicate_rows"], c["passed"]) for c in result.quality] == [("unique", 0, 0, True)]
+
+
+def keyed_table(schema):
+    return spec(schema, "append", columns=cols(k="int", v="string"), primary_key=("k",))
+
+
+@pytest.mark.parametrize("mode", ["append", "truncate-insert"])
+@pytest.mark.parametrize(
+    ("text", "problem"),
+    [("k,v\n3,x\n3,y\n", "duplicate key"), ("k,v\n,x\n", "null in a NOT NULL column"), ("k,v\n4,x\n5,y\n", None)],
+)
+def test_a_table_keeps_its_constraints(spark, tmp_path, schema, mode, text, problem):
+    """The later load names neither the key nor the required column."""
+    load(spark, tmp_path, "k,v\n1,a\n2,b\n", keyed_table(schema))
+    later = spec(schema, mode)
+    if problem:
+        with pytest.raises(Exception, match=problem):
+            load(spark, tmp_path, text, later)
+        assert content(spark, later) == [(1, "a"), (2, "b")]
+    else:
+        load(spark, tmp_path, text, later)
+        assert content(spark, later) == ([(1, "a"), (2, "b")] if mode == "append" else []) + [(4, "x"), (5, "y")]
+
+
+def test_an_append_may_not_repeat_a_key_of_the_table(spark, tmp_path, schema):
+    load(spark, tmp_path, "k,v\n1,a\n2,b\n", keyed_table(schema))
+    with pytest.raises(ConstraintError, match=r"already holds \(k\) = \(2\)"):
+        load(spark, tmp_path, "k,v\n2,x\n7,y\n", spec(schema, "append"))
+    # With the key in the configuration, the row that is there stays.
+    load(spark, tmp_path, "k,v\n2,x\n7,y\n", keyed_table(schema))
+    assert content(spark, spec(schema)) == [(1, "a"), (2, "b"), (7, "y")]
+
+
+def test_constraints_of_a_table_in_another_layout(spark, schema):
+    table = f"{schema}.p"
+    spark.sql(f"CREATE TABLE {table} (v string, k int) USING parquet PARTITIONED BY (k)")
+    constrain(spark, table, ["v"])
+    rows = lambda *r: spark.createDataFrame(r, "v string, k int")
+    append(rows(("a", 1), ("b", 1)), table)
+    for wrong in (rows(("a", 2)), rows(("c", 1), ("c", 2))):
+        with pytest.raises(ConstraintError):
+            append(wrong, table)
+    with pytest.raises(Exception, match="NOT NULL"):
+        append(rows((None, 2)), table)
+    with pytest.raises(ConstraintError):
+        replace(rows(("c", 1), ("c", 2)), table)
+    assert sorted(map(tuple, spark.table(table).collect())) == [("a", 1), ("b", 1)]
+
+
+def test_writers_at_once_add_each_key_once(spark, schema):
+    """Overlapping batches, each from a thread with a session of its own."""
+    table = f"{schema}.t"
+    ensure_table(spark, table, T.StructType.fromDDL("k bigint, v string"), primary_key=["k"])
+    start = threading.Barrier(4)
+
+    def write(n):
+        own = own_session(spark)
+        rows = own.range(50 * n, 50 * n + 100).selectExpr("id as k", f"'{n}' as v")
+        start.wait()
+        append_absent(rows, table, ["k"])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table).collect()
+    assert sorted(r.k for r in rows) == list(range(250))
+    # Each batch went in whole but for the keys that were there.
+    assert all(int(r.v) in ((r.k // 50 - 1, r.k // 50) if 50 <= r.k < 200 else (0, 3)) for r in rows)
+    folders = os.listdir(table_files(spark, table).location.removeprefix("file:"))
+    versions = sorted(f for f in folders if f.startswith("v"))
+    # A batch whose keys all came with others adds nothing.
+    assert versions in ([f"v{i:06d}" for i in range(1, n)] for n in (4, 5))
+
+
+def test_appends_and_replaces_at_once_lose_nothing(spark, schema):
+    """Whoever appends to a folder that is closed meanwhile appends to the new one."""
+    table = f"{schema}.t"
+    ensure_table(spark, table, T.StructType.fromDDL("k bigint"), primary_key=["k"])
+    closed = threading.Event()
+
+    def late():
+        own = own_session(spark)
+
+        location, _ = load_module._open_folder(own, table)
+        load_module._close(own, location)
+        closed.set()
+        append_absent(own.range(10, 20).toDF("k"), table, ["k"])
+
+    with ThreadPoolExecutor(1) as pool:
+        done = pool.submit(late)
+        closed.wait()
+        replace(spark.range(5).toDF("k"), table)
+        done.result()
+    spark.catalog.refreshTable(table)
+    assert sorted(r.k for r in spark.table(table).collect()) == [*range(5), *range(10, 20)]
+
+
+def test_a_replace_that_never_ended_is_named(spark, schema, monkeypatch):
+    table = f"{schema}.t"
+    ensure_table(spark, table, T.StructType.fromDDL("k bigint"))
+    load_module._close(spark, table_files(spark, table).location)
+    monkeypatch.setattr(load_module, "LOOKS", 2)
+    with pytest.raises(load_module.ConcurrentLoadError, match="replace the table again"):
+        append(spark.range(3).toDF("k"), table)
+    replace(spark.range(2).toDF("k"), table)
+    append(spark.range(2, 3).toDF("k"), table)
+    assert sorted(r.k for r in spark.table(table).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize(
+    ("text", "record", "problem"),
+    [
+        ("k,v\n1,a\n2,b\nx,c\ny,d\n", 3, "column k: invalid int: x"),
+        ("k,v\n1,a\n2\n3,c\n", 2, "malformed record: 2"),
+        ("k,v\n1,a\n2,b,c\nx,c\n", 2, "malformed record: 2,b,c"),
+        ("k,v\n1,a\n2,\n3,c\n", 2, "column v: null in a NOT NULL column"),
+        ('k,v\n1,"a\nb"\n2,"c\n\nd"\nz,"e\nf"\n', 3, "column k: invalid int: z"),
+        ('k,v\n1,"a\nb"\n2,"c"\n3,"d\ne",4\n', 3, 'malformed record: 3,"d'),
+    ],
+)
+def test_a_failed_load_names_the_record(spark, tmp_path, schema, text, record, problem, multi_line):
+    s = spec(schema, columns=cols(k="int", v="string!"))
+    s.source_conf["multi_line"] = multi_line
+    with pytest.raises(RecordError) as raised:
+        load(spark, tmp_path, text, s)
+    assert raised.value.record == record and raised.value.problem.startswith(problem)
+    assert raised.value.file.endswith("/t.csv") and f"record {record}: {problem}" in str(raised.value)
+
+
+def test_the_first_faulty_record_of_several_files_is_named(spark, tmp_path, schema):
+    (tmp_path / "many").mkdir()
+    for i in range(5):
+        faulty = {2: "1\nx\n", 3: "y\n"}.get(i, "1\n2\n")
+        (tmp_path / "many" / f"part{i}.csv").write_text("k\n" + faulty)
+    with pytest.raises(RecordError) as raised:
+        ingest_table(spark, spec(schema, key="many", columns=cols(k="int")), base_path=str(tmp_path))
+    assert raised.value.file.endswith("part2.csv") and raised.value.record == 2
+
+
+def test_a_record_is_found_over_many_splits(spark, tmp_path, schema):
+    lines = "".join(f"{i},value {i}\n" if i != 7777 else "7777x,v\n" for i in range(1, 20_001))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "20000"), pytest.raises(RecordError) as raised:
+        load(spark, tmp_path, "k,v\n" + lines, spec(schema, columns=cols(k="int")))
+    assert raised.value.record == 7777
+
+
+def test_errors_that_no_record_is_to_blame_for_stay_as_they_are(spark, tmp_path, schema):
+    load(spark, tmp_path, "k,v\n1,a\n", keyed_table(schema))
+    with pytest.raises(ConstraintError):
+        load(spark, tmp_path, "k,v\n2,a\n2,b\n", spec(schema, "append"))

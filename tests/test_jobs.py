@@ -21,7 +21,7 @@ from loomwright.cli import main
 from loomwright.config import ColumnSpec, Config, TableSpec
 from loomwright.functions.types import parse_type
 from loomwright.plans.sweep import list_tables
-from loomwright.rules import Rule, column_rule
+from loomwright.rules import Rule, column_rule, unique
 
 SEED = (
     "﻿order_id,order_status,order_purchase_timestamp\n"
@@ -292,3 +292,71 @@ def test_types_of_seeds(spark, tmp_path, schema):
         "i": "int", "big": "bigint", "x": "double", "at": "timestamp_ntz", "code": "string", "none": "string", "mixed": "string"
     }
     assert sorted(r.code for r in spark.table(f"{schema}.s").collect()) == ["07", "08"]
+
+
+def test_nodes_are_built_as_soon_as_their_parents_are(spark, analytics):
+    """Two chains next to each other: neither waits for the other, and one that fails stops only its own."""
+    import threading
+
+    from loomwright.plans import models as plan
+
+    meet = threading.Barrier(2, timeout=60)
+    build = plan._build_node
+
+    def meeting(session, node, rules, relations):
+        if node.name in ("a1", "b1"):
+            # Passes only if both are being built at once.
+            meet.wait()
+        return build(session, node, rules, relations)
+
+    chain = lambda c, sql: [Model(f"{c}1", sql), Model(f"{c}2", f"SELECT * FROM {{{{ ref('{c}1') }}}}")]
+    models = [*chain("a", "SELECT 1 AS x"), *chain("b", "SELECT no_such_column AS x"), Model("c", "SELECT * FROM {{ ref('a2') }}")]
+    plan._build_node = meeting
+    try:
+        nodes = {n.node: n.status for n in build_models(spark, models, schema=analytics).collect()}
+    finally:
+        plan._build_node = build
+    assert nodes == {"a1": "success", "a2": "success", "b1": "error", "b2": "skipped", "c": "success"}
+    one = build_models(spark, models, schema=analytics, parallel=1).collect()
+    assert {n.node: n.status for n in one} == nodes
+    names = [n.node for n in one]
+    assert names.index("a1") < names.index("a2") < names.index("c") and names.index("b1") < names.index("b2")
+
+
+def test_one_bad_rule_among_many_costs_few_passes(spark, schema, monkeypatch):
+    """A rule that fails on the data is found by halving."""
+    from loomwright.plans import validate
+
+    names = [f"c{i}" for i in range(32)]
+    spark.range(100).selectExpr(*[f"cast(id as string) as {n}" for n in names]).write.saveAsTable(f"{schema}.wide")
+    rules = [column_rule("max_length", n, max=1) for n in names]
+    passes, evidence = [], validate.evidence
+
+    def counted(table, name, some, *args):
+        passes.append(len(some))
+        if rules[21] in some:
+            raise RuntimeError("the data do not fit")
+        return evidence(table, name, some, *args)
+
+    monkeypatch.setattr(validate, "evidence", counted)
+    spec = TableSpec("v.wide", schema, "wide", "append", {}, rules=tuple(rules))
+    outcome = validate._validate(spark, spec)
+    assert len(passes) == 1 + 2 * 5
+    failed = [r for r in outcome.results if r.get("error")]
+    assert [(r["column"], r["error"]) for r in failed] == [("c21", "the data do not fit")]
+    assert sorted(r["column"] for r in outcome.results) == sorted(names)
+    assert all(r["observed"] == 90 for r in outcome.results if not r.get("error"))
+
+
+def test_findings_hold_their_evidence(spark, tmp_path, schema):
+    spark.createDataFrame([(1, "a"), (1, None), (2, "long")], "k int, s string").write.saveAsTable(f"{schema}.t")
+    rules = (unique("k"), column_rule("not_null", "s"), column_rule("max_length", "s", max=2), column_rule("range", "s", min="b"))
+    spec = TableSpec("v.t", schema, "t", "append", {}, rules=rules)
+    validate_tables(spark, Config("v", (spec,)), output_dir=str(tmp_path / "out"))
+    results = json.loads(next((tmp_path / "out").glob("*/*.json")).read_text())["results"]
+    found = {(r["check_type"], r["column"]): r for r in results}
+    key = found["unique", "k"]
+    assert (key["element_count"], key["missing_count"], key["unexpected_count"], key["samples"]) == (3, 0, 2, ["1"])
+    assert [found["max_length", "s"][c] for c in ("missing_count", "unexpected_count", "samples")] == [1, 1, ["long"]]
+    assert [found["not_null", "s"][c] for c in ("missing_count", "unexpected_count", "samples")] == [1, 1, []]
+    assert found["range", "s"]["samples"] == ["a"]

@@ -186,8 +186,82 @@ def test_row_rules_are_one_scan(spark, tmp_path):
     plan = check_table(spark.read.parquet(path), "t", rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
     assert "ReadSchema: struct<s:string,n:int>" in plan
-    plan = check_table(spark.read.parquet(path), "t", [unique("id"), unique("s"), unique("n", "s")])
+    plan = check_table(spark.read.parquet(path), "t", [unique("id"), unique("n")])
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_long_keys_are_not_shuffled_to_be_counted(spark, tmp_path):
+    """All rows by numbers of 64 bits; whole keys only behind the join that leaves those that occur again."""
+    path = str(tmp_path / "t")
+    table(spark, ROWS).write.parquet(path)
+    df = check_table(spark.read.parquet(path), "t", [unique("id"), unique("s"), unique("n", "s")])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # One scan counts for all rules, another compares. The counts of the first are used twice.
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") >= 1
+    counted = [line for line in plan.split("\n") if "hashpartitioning(set" in line]
+    assert counted and all("key" not in line.split("hashpartitioning")[1] for line in counted if "code" in line and "key0" not in line)
+
+
+KEYS = [
+    (None, None, None, None), (1, "a", 0.0, "2020-01-01 00:00:00"), (1, "b", -0.0, "2020-01-01 00:00:00.000001"),
+    (2, "a", float("nan"), "1969-12-31 23:59:59.999999"), (2, None, float("nan"), "1969-12-31 23:59:59.999999"),
+    (3, "\u00e9", 1.5, "0001-01-01 00:00:00"), (None, "\u00e9", 2.5, None), (3, "x,y", 3.5, "9999-12-31 23:59:59.999999"),
+]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "date", "timestamp", "timestamp_ntz", "string", "decimal(20,3)", "binary"])
+def test_duplicates_of_every_type_of_key(spark, kind):
+    """Against a plain grouping, alone and next to other keys."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame(KEYS * 1 + KEYS[3:5], "n int, s string, d double, t string")
+    value = F.col("t").cast(kind) if kind in ("date", "timestamp", "timestamp_ntz") else F.col("s") if kind in ("string", "binary") else F.col("n")
+    df = rows.withColumn("k", value.cast(kind))
+    for columns in (["k"], ["d"], ["k", "d"], ["s", "k"]):
+        whole = df.dropna(subset=[c for c in columns if c != "d"]).where("d IS NOT NULL" if "d" in columns else "true")
+        counts = [r["count"] for r in whole.groupBy(*columns).count().where("count > 1").collect()]
+        for others in ([], [unique("n"), unique("s", "t")]):
+            found = check_table(df, "t", [unique(*columns), *others]).collect()[0]
+            assert (found.observed, found.duplicate_rows) == (len(counts), sum(counts))
+
+
+def test_rows_of_one_hash_are_compared(spark, monkeypatch):
+    """With a hash that is the same for all keys, results stay as they are."""
+    from loomwright.operators import quality
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 3), (None, 1)], "s string, n int")
+    monkeypatch.setattr(quality, "_hashed", lambda columns, schema: F.lit(7).cast("long"))
+    found = check_table(df, "t", [unique("s"), unique("s", "n")]).collect()
+    assert [(r.observed, r.duplicate_rows) for r in found] == [(1, 2), (0, 0)]
+
+
+def test_evidence(spark):
+    from loomwright.operators.quality import evidence
+
+    values = ["ok", "bad one", "bad two", None, "bad one", "worse"]
+    df = spark.createDataFrame([(i, v, i % 4) for i, v in enumerate(values)], "id int, s string, n int")
+    rules = [
+        table_rule("row_count_min", min=1), column_rule("not_null", "s"), column_rule("allowed_values", "s", values=["ok"]),
+        unique("id"), unique("n"), unique("s", "n"), unique("s"),
+    ]
+    found = evidence(df, "t", rules, samples=16)
+    assert [f["element_count"] for f in found] == [6] * 7
+    assert [f["missing_count"] for f in found] == [None, 1, 1, 0, 0, 1, 1]
+    assert [f["unexpected_count"] for f in found] == [None, 1, 4, 0, 4, 0, 2]
+    assert [f["samples"] for f in found][:2] == [[], []] and set(found[2]["samples"]) <= {"bad one", "bad two", "worse"}
+    assert found[6]["samples"] == ["bad one"] and set(found[4]["samples"]) <= {"0", "1"}
+    # The order and the number of parts make no difference, nor do repeated rows.
+    again = evidence(df.union(df).orderBy("n").repartition(7), "t", rules, samples=16)
+    assert again[2]["samples"] == found[2]["samples"]
+    plain = [{k: f[k] for k in ("check_type", "observed", "duplicate_rows", "passed")} for f in found]
+    same = {(r.check_type, r.column): (r.observed, r.duplicate_rows, r.passed) for r in check_table(df, "t", rules).collect()}
+    assert {(f["check_type"], f["column"]): tuple(list(p.values())[1:]) for f, p in zip(found, plain, strict=True)} == same
+    many = spark.range(10_000).selectExpr("id", "concat('v', id) as s")
+    assert len(evidence(many, "t", [column_rule("max_length", "s", max=1)], samples=4)[0]["samples"]) == 4
+    with pytest.raises(ValueError, match="samples"):
+        evidence(df, "t", rules, samples=3)
     assert Rule("unique", ("n", "s")).column == "n,s"
 
 
