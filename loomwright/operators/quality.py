@@ -148,7 +148,7 @@ def _row_results(df: DataFrame, table: str, metrics: Sequence[Metric]) -> DataFr
     return one_row.select(F.inline(F.array(*results)))
 
 
-# Keys of these types are told apart by a number as large as a hash.
+# Values of these types are told apart by a number as large as a hash.
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -168,6 +168,12 @@ def _number(column: str, data_type: T.DataType) -> Column | None:
     return None
 
 
+def _numbers(columns: Sequence[str], schema: T.StructType) -> tuple[Column, ...]:
+    """One or two longs that tell the values of a key apart; none if it takes more."""
+    found = [_number(c, schema[c].dataType) for c in columns]
+    return tuple(found) if len(found) <= 2 and all(n is not None for n in found) else ()
+
+
 def _hashed(columns: Sequence[str], schema: T.StructType) -> Column:
     """A hash of a key; keys that are grouped as equal have the same one."""
     values = []
@@ -187,28 +193,36 @@ def duplicated_keys(df: DataFrame, keys: Sequence[Sequence[str]], samples: int =
     """The keys that several rows of ``df`` share: ``set`` (which of ``keys``), ``rows``, and with
     ``samples`` the key as text in ``shown``. Keys with a null in them are not compared.
 
-    All rows are counted by a number of 64 bits: the key itself if it fits, else a hash. Only rows
-    whose hash occurs more than once are then compared by the whole key, so where a long key is
-    unique, as it should be, that is all that is shuffled."""
+    All rows are counted by numbers: a key of one or two whole numbers, dates or times by itself, any
+    other by a hash of 64 bits. Only rows whose hash occurs more than once are then compared by the
+    whole key, so where a long key is unique, as it should be, its hash is all that is shuffled."""
     schema = df.schema
     for c in {c for columns in keys for c in columns}:
         _data_type(schema, c)
     whole = [reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in columns]) for columns in keys]
     # Rows that have no whole key at all are left out by the scan.
     df = df.where(reduce(Column.__or__, whole))
-    numbers = [_number(columns[0], schema[columns[0]].dataType) if len(columns) == 1 else None for columns in keys]
-    codes = [_hashed(columns, schema) if n is None else n for columns, n in zip(keys, numbers, strict=True)]
+    numbers = [_numbers(columns, schema) for columns in keys]
+    codes = [n or (_hashed(columns, schema),) for columns, n in zip(keys, numbers, strict=True)]
     sets = [F.lit(i).cast("byte").alias("set") for i in range(len(keys))]
-    coded = [F.when(w, F.struct(i, code.alias("code"))) for i, w, code in zip(sets, whole, codes, strict=True)]
-    entries = df.select(_in_one(coded)).select("entry.*") if len(keys) > 1 else df.select(sets[0], codes[0].alias("code"))
+    # The second number only where a key has two.
+    names = ("code", "more")[: max(map(len, codes))]
+    values = [[*code, F.lit(None).cast("long")] for code in codes]
+    coded = [[v.alias(name) for v, name in zip(own, names, strict=False)] for own in values]
+    if len(keys) > 1:
+        entries = df.select(_in_one([F.when(w, F.struct(i, *own)) for i, w, own in zip(sets, whole, coded, strict=True)])).select("entry.*")
+    else:
+        entries = df.select(sets[0], *coded[0])
     # The join below would add this filter to its own branch, and the counts would be made twice.
     entries = entries.where("set IS NOT NULL AND code IS NOT NULL")
-    counted = entries.groupBy("set", "code").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    exact = [i for i, n in enumerate(numbers) if n is not None]
+    counted = entries.groupBy("set", *names).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    exact = [i for i, n in enumerate(numbers) if n]
     found = []
     if exact:
         if samples:
-            shown = {i: _text_of_number(schema[keys[i][0]].dataType) for i in exact}
+            shown = {
+                i: F.concat_ws(",", *[_text_of_number(F.col(n), schema[c].dataType) for c, n in zip(keys[i], names, strict=False)]) for i in exact
+            }
             by_set = reduce(lambda rest, i: F.when(F.col("set") == i, shown[i]).otherwise(rest), exact, F.lit(None).cast("string"))
             found.append(counted.select(F.when(F.col("set").isin(exact), F.col("set")).alias("set"), "rows", by_set.alias("shown")))
         else:
@@ -216,13 +230,13 @@ def duplicated_keys(df: DataFrame, keys: Sequence[Sequence[str]], samples: int =
             found.append(counted.select(F.when(F.col("set").isin(exact), F.col("set")).alias("set"), "rows"))
     hashed = [i for i in range(len(keys)) if i not in exact]
     if hashed:
-        names = list(dict.fromkeys(c for i in hashed for c in keys[i]))
+        compared = list(dict.fromkeys(c for i in hashed for c in keys[i]))
         def own(i: int) -> list[Column]:
-            typed = [F.col(f"`{c}`") if c in keys[i] else F.lit(None).cast(schema[c].dataType) for c in names]
+            typed = [F.col(f"`{c}`") if c in keys[i] else F.lit(None).cast(schema[c].dataType) for c in compared]
             return [v.alias(f"key{k}") for k, v in enumerate(typed)]
 
-        full = df.select(_in_one([F.when(whole[i], F.struct(sets[i], codes[i].alias("code"), *own(i))) for i in hashed]))
-        columns = [f"key{k}" for k in range(len(names))]
+        full = df.select(_in_one([F.when(whole[i], F.struct(sets[i], codes[i][0].alias("code"), *own(i))) for i in hashed]))
+        columns = [f"key{k}" for k in range(len(compared))]
         again = full.select("entry.*").where("set IS NOT NULL").join(counted.select("set", "code"), ["set", "code"], "left_semi").groupBy("set", "code", *columns)
         again = again.agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
         shown = [F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("shown")] if samples else []
@@ -230,8 +244,7 @@ def duplicated_keys(df: DataFrame, keys: Sequence[Sequence[str]], samples: int =
     return reduce(DataFrame.unionByName, found)
 
 
-def _text_of_number(data_type: T.DataType) -> Column:
-    code = F.col("code")
+def _text_of_number(code: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DateType):
         return F.date_from_unix_date(code.cast("int")).cast("string")
     if isinstance(data_type, T.TimestampType):
