@@ -16,14 +16,21 @@ from loomwright.llm.common import keep_rows, read_table, staged
 CAPACITY, END_ID = 2048, 0
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are in no language go: those without text or without a letter, and those whose
-    score is that of chance. If nothing was learned, all with a letter stay."""
+def identify_language(
+    spark: SparkSession,
+    docs: DataFrame,
+    sf_dir: str,
+    least_bytes: int = language.LEAST_BYTES,
+    least_score: float = language.LEAST_SCORE,
+) -> DataFrame:
+    """Documents that are in no language go: those without text or without a letter, and those of
+    ``least_bytes`` or more whose score is below ``least_score``, that is chance: of less text the
+    score tells nothing. If nothing was learned, all with a letter stay."""
     model = language.train(docs.where(~language.held_out()))
     if not model.languages:
         return docs.where(language.has_letter()("text"))
     guessed = language.predict(docs.withColumn("__row", F.struct(*docs.columns)), model)
-    return guessed.where((F.col("lang_pred") != language.UNKNOWN) & ~language.in_no_language()).select("__row.*")
+    return guessed.where((F.col("lang_pred") != language.UNKNOWN) & ~language.in_no_language("text", least_bytes, least_score)).select("__row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

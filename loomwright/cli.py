@@ -5,10 +5,12 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import load_config
+from .operators.load import expire_snapshots
 from .plans.ingest import ingest_all, results_frame
 from .plans.models import MART_STATUSES, build_models, mart_checkpoint, read_models, read_seeds
 from .plans.sweep import sweep_row_counts
@@ -39,6 +41,10 @@ def _parser() -> argparse.ArgumentParser:
     checkpoint.add_argument("table")
     checkpoint.add_argument("--statuses", nargs="+", default=list(MART_STATUSES))
 
+    expire = jobs.add_parser("expire", help="delete rows that loads have replaced and kept for readers")
+    expire.add_argument("table")
+    expire.add_argument("--hours", type=float, default=0.0, help="keep what was replaced since")
+
     sweep = jobs.add_parser("sweep", help="check that every table of a schema has rows")
     sweep.add_argument("schema")
     sweep.add_argument("--allow-no-tables", action="store_true")
@@ -75,6 +81,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         checks = mart_checkpoint(spark, args.table, args.statuses)
         _print(checks)
         return int(not checks.where("NOT passed").isEmpty())
+    if args.job == "expire":
+        print(f"{expire_snapshots(spark, args.table, timedelta(hours=args.hours))} snapshots deleted")
+        return 0
     found = sweep_row_counts(spark, args.schema, not args.allow_no_tables, args.include_views, on_failure="warn")
     _print(found)
     return int(not found.where("NOT passed").isEmpty())

@@ -360,3 +360,14 @@ def test_findings_hold_their_evidence(spark, tmp_path, schema):
     assert [found["max_length", "s"][c] for c in ("missing_count", "unexpected_count", "samples")] == [1, 1, ["long"]]
     assert [found["not_null", "s"][c] for c in ("missing_count", "unexpected_count", "samples")] == [1, 1, []]
     assert found["range", "s"]["samples"] == ["a"]
+
+
+def test_expire_command(spark, schema, capsys):
+    from loomwright.operators.load import ensure_table, replace
+
+    ensure_table(spark, f"{schema}.t", spark.range(1).schema)
+    for n in (1, 2):
+        replace(spark.range(n), f"{schema}.t")
+    assert main(["expire", f"{schema}.t", "--hours", "1"], spark) == 0 and main(["expire", f"{schema}.t"], spark) == 0
+    assert capsys.readouterr().out.split("\n")[:2] == ["0 snapshots deleted", "2 snapshots deleted"]
+    assert spark.table(f"{schema}.t").count() == 2
