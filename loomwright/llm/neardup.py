@@ -7,11 +7,12 @@ many rounds at most. Two sketches agree in a coordinate with the probability of
 similarity of the sets, as with MinHash, but a sketch takes few passes over the shingles.
 
 Equal sets are one node from the start. Nodes that agree in a band are candidates. In a band
-everybody is first compared with one node only, the one that most others agree with, and
-linked nodes become one component. What is left are pairs of a band in different components;
-these are all compared, unless their sizes, their sketches or the ways in which they differ
-from the node they were compared with rule the pair out. Links are confirmed on the full
-sets, and pairs within a component need no confirmation.
+everybody is first compared with one node only, its leader, the one that most others agree with,
+and linked nodes become one component. What is left are pairs of a band in different components.
+They are found without forming the pairs of a band: two sets differ in all that they differ in from
+their leader, but for what they differ in alike, so sets that are similar enough need an overlap
+of their differences. Differences are ordered by rarity, and only prefixes that have to meet are
+joined. Links are confirmed on the full sets, and pairs within a component need no confirmation.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ SIMILARITY = 80  # percent
 # Bits of each coordinate that a sketch is stored with, to rule pairs out. With 200
 # coordinates, a pair that is similar enough seems less than this by chance once in 10^9.
 RULE_OUT = 0.61
-WORDS_OF_BITS = 16  # of 64 bits, for what a set differs in from its pivot
 
 
 class _Hashes(dict):
@@ -179,44 +179,74 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_similar(similarity)).select("a", "b")
 
 
-def deltas(pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """For each node with its ``pivot`` the shingles that one of the two sets has and the other
-    has not."""
-    own = pivots.join(sets.withColumnRenamed("shingles", "left"), "node")
-    both = own.join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("right")), "pivot")
-    return both.select(
-        *("node", F.xxhash64("node").alias("owner"), F.xxhash64("pivot").alias("around")),
-        F.concat(F.array_except("left", "right"), F.array_except("right", "left")).alias("differs"),
-    )
-
-
-def measured(both: DataFrame) -> DataFrame:
-    """For each node of ``deltas``: ``delta``, how many shingles differ; ``shared``, how many of
-    them some other node differs in from the same pivot; those as a bitmap in ``bits``, and how
-    many of them found their bit ``taken``."""
-    rows = both.select("owner", "around", F.explode("differs").alias("shingle"))
-    again = rows.groupBy("around", "shingle").agg(F.count("*").alias("nodes")).where("nodes > 1").drop("nodes")
-    place = F.pmod(F.xxhash64("shingle"), F.lit(64 * WORDS_OF_BITS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
-    bits = [F.coalesce(F.bit_or(F.when(F.floor(place / 64) == k, bit)), F.lit(0).cast("long")) for k in range(WORDS_OF_BITS)]
-    shared = rows.join(again, ["around", "shingle"]).groupBy("owner")
-    shared = shared.agg(F.count("*").alias("shared"), *[b.alias(f"bits_{k}") for k, b in enumerate(bits)])
-    sized = both.select("node", "owner", "around", F.size("differs").alias("delta")).join(shared, "owner", "left").na.fill(0).drop("owner")
-    taken = F.col("shared") - sum((F.bit_count(f"bits_{k}") for k in range(WORDS_OF_BITS)), F.lit(0))
-    return sized.withColumn("taken", taken)
-
-
-def _possible(similarity: int) -> Column:
-    """Whether a pair can be similar enough. Around one pivot, sets differ in all that they
-    differ in from it, but for what they differ in alike: no more than the common bits and
-    those that found theirs taken. Otherwise only the sizes tell."""
-    sizes = F.col("n_shingles") + F.col("other_n_shingles")
-    common = sum((F.bit_count(F.col(f"bits_{k}").bitwiseAND(F.col(f"other_bits_{k}"))) for k in range(WORDS_OF_BITS)), F.lit(0))
-    alike = F.least("shared", "other_shared", common + F.least("taken", "other_taken"))
-    differ = F.when(F.col("around") == F.col("other_around"), F.col("delta") + F.col("other_delta") - 2 * alike)
-    differ = F.greatest(F.coalesce(differ, F.lit(0)), F.abs(F.col("n_shingles") - F.col("other_n_shingles")))
-    # Of two sets, intersection and union are what their sizes and difference make them.
-    return 100 * (sizes - differ) >= similarity * (sizes + differ)
+def deltas(around: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each ``node, leader``: the sizes of both sets (``n, n_leader``), how many shingles one of them
+    has and the other has not (``delta``), and which (``differs``)."""
+    own = around.join(sets.withColumnRenamed("shingles", "left"), "node")
+    both = own.join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("right")), "leader")
+    differs = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
+    sized = both.select(*around.columns, F.size("left").alias("n"), F.size("right").alias("n_leader"), differs.alias("differs"))
+    return sized.withColumn("delta", F.size("differs"))
+
+
+def _slack(similarity: int) -> float:
+    """Two sets are linked if they differ in no more than this part of their sizes together."""
+    return (100 - similarity) / (100 + similarity)
+
+
+def listed(both: DataFrame, similarity: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``both`` (staged ``deltas``) of the leaders around whom some node is not linked to them: whether
+    the node is (``close``), and in ``ordered`` what it differs in like some other node around the same
+    leader, the rarest first, with ``shared`` for how much that is. What only one node
+    differs in meets nothing."""
+    close = F.col("delta") <= _slack(similarity) * (F.col("n") + F.col("n_leader")) + 1e-9
+    both = both.withColumn("close", close)
+    apart = keep(both.where(~F.col("close")).select("leader").distinct(), "apart")
+    both = both.join(apart, "leader", "left_semi")
+    rows = both.select("leader", "node", F.explode("differs").alias("shingle"))
+    # Written, so that the join stands right on its shuffles and a leader of many can be split.
+    often = keep(rows.groupBy("leader", "shingle").agg(F.count("*").alias("nodes")).where("nodes > 1"), "often")
+    found = rows.join(often, ["leader", "shingle"]).groupBy("leader", "node")
+    # No longer than the set of a document.
+    ordered = keep(found.agg(F.array_sort(F.collect_list(F.struct("nodes", "shingle"))).alias("ordered")), "ordered")
+    kept = both.drop("differs").join(ordered, ["leader", "node"])
+    return kept.withColumn("shared", F.size("ordered"))
+
+
+def _prefix(rows: DataFrame, least: Column, mark: str) -> DataFrame:
+    """What has to meet if at least ``least`` of what is shared is common to a pair, with its place."""
+    length = F.greatest(F.col("shared") - F.greatest(F.ceil(least - 1e-9), F.lit(1)) + 1, F.lit(0)).cast("int")
+    facts = [F.col(c).alias(f"{mark}_{c}") for c in ("node", "component", "n", "delta", "shared")]
+    found = rows.select("leader", *facts, F.posexplode(F.slice("ordered", F.lit(1), length)).alias(f"{mark}_at", "entry"))
+    return found.withColumn("shingle", F.col("entry.shingle")).drop("entry")
+
+
+def open_pairs(around: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that can be linked, from ``listed`` rows with a
+    ``component``. None that is linked is missing.
+
+    A and B, which differ from their leader L in dA and dB, are linked if they differ in no more than
+    c (|A| + |B|), that is if dA and dB have (|dA| + |dB| - c (|A| + |B|)) / 2 in common or more. As
+    |B| <= |L| + |dB|, the sizes around L tell how much that is at least, whatever B is. Two that
+    are both linked to L are in one component, so A is not, and |dA| > c (|A| + |L|)."""
+    c, s = _slack(similarity), similarity / 100
+    beyond = F.col("delta") - c * (F.col("n") + F.col("n_leader"))
+    far, near = around.where(~F.col("close")), around.where("close")
+    # What the other one differs in at least, if it is not linked to the leader, or if it is.
+    other_far, other_near = c * (s * F.col("n") + F.col("n_leader")), F.greatest(F.lit(1), beyond / (1 + c))
+    joins = [
+        (_prefix(far, (beyond + (1 - c) * other_far) / 2, "a"), _prefix(far, (beyond + (1 - c) * other_far) / 2, "b"), True),
+        (_prefix(far, (beyond + (1 - c) * other_near) / 2, "a"), _prefix(near, F.floor((1 - c) * F.col("delta") / 2) + 1, "b"), False),
+    ]
+    common = F.least(F.col("a_shared") - F.col("a_at"), F.col("b_shared") - F.col("b_at"))
+    needed = (F.col("a_delta") + F.col("b_delta") - c * (F.col("a_n") + F.col("b_n"))) / 2
+    fits = (needed <= common + 1e-9) & (100 * F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n"))
+    pairs = []
+    for left, right, alike in joins:
+        apart = F.col("a_component") < F.col("b_component") if alike else F.col("a_component") != F.col("b_component")
+        met = left.join(right, ["leader", "shingle"]).where(apart & fits)
+        pairs.append(met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")))
+    return pairs[0].unionByName(pairs[1]).distinct()
 
 
 def link_nodes(docs: DataFrame, sketched: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -233,14 +263,16 @@ def _link_nodes(
     nodes = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(named, *facts)
     nodes = keep(nodes.select("node", F.col("named.doc_id").alias(ROW_ID), f"named.{ROW_TEXT}", "n_shingles", "bands", "brief"), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    # Aggregates are written before they are joined: then the join stands right on its shuffles, and Spark
+    # splits a band or a leader of very many.
+    shared = keep(entries.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     entries = keep(entries.join(shared, "band"), "bands")
     # The node that most others agree with leads each band that it is in.
-    weight = entries.groupBy("node").agg(F.sum("members").alias("weight"))
+    weight = keep(entries.groupBy("node").agg(F.sum("members").alias("weight")), "weights")
     weighted = entries.join(weight, "node")
-    leaders = weighted.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("leader"))
+    leaders = keep(weighted.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("leader")), "leaders")
     best = weighted.join(leaders, "band").groupBy("node").agg(F.max("leader").alias("leader"))
-    best = keep(best.select("node", F.col("leader.node").alias("pivot")), "leaders")
+    best = keep(best.select("node", F.col("leader.node").alias("leader")), "best")
     small = nodes.select("node", "n_shingles", "brief")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -250,20 +282,21 @@ def _link_nodes(
         return pairs.where(fits).where(_alike("brief_a", "brief_b")).select("a", "b")
 
     sets = keep(node_sets(docs, nodes.join(best.select("node"), "node"), words), "sets")
-    stars = best.where(F.col("node") != F.col("pivot")).toDF("a", "b")
+    stars = best.where(F.col("node") != F.col("leader")).toDF("a", "b")
     edges = keep(verified(plausible(stars), sets, similarity), "edges")
     components = connected_components(edges)
     # What bands still join across components.
     placed = entries.join(components, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = keep(placed.join(open_.select("band"), "band"), "open")
-    differences = keep(deltas(best.join(placed.select("node").distinct(), "node"), sets), "deltas")
-    placed = keep(placed.join(small.join(measured(differences), "node"), "node"), "measured")
-    others = placed.withColumnsRenamed({c: f"other_{c}" for c in placed.columns if c != "band"})
-    pairs = placed.join(others, "band").where((F.col("component") < F.col("other_component")) & _possible(similarity))
-    pairs = pairs.where(_alike("brief", "other_brief")).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
-    more = verified(keep(pairs, "pairs"), sets, similarity)
-    return connected_components(edges.unionByName(more))
+    led = keep(open_.join(leaders, "band").select("band", F.col("leader.node").alias("leader")), "open")
+    around = placed.join(led, "band").where(F.col("node") != F.col("leader")).select("node", "component", "leader").distinct()
+    both = keep(deltas(around, sets), "deltas")
+    # What a node differs in from a leader says exactly whether they are linked.
+    led_by = both.where(F.col("delta") <= _slack(similarity) * (F.col("n") + F.col("n_leader")) + 1e-9)
+    led_by = led_by.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    pairs = keep(open_pairs(keep(listed(both, similarity, keep), "listed"), similarity), "pairs")
+    more = verified(plausible(pairs), sets, similarity)
+    return connected_components(edges.unionByName(led_by).unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
