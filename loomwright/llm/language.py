@@ -23,6 +23,7 @@ from .common import in_batches, mix, texts_of, work_for
 SIZES = (3, 5)  # bytes of an n-gram
 TRAIN_DOCS = 4000  # whole texts of each language, near enough, that training reads
 LEAST_RATE = 2e-5
+MOST_LANGUAGES = 1000  # that are learned at once; the driver has a row for each
 # An n-gram belongs to the languages in which its rate is at least this part of its highest.
 LEAST_SHARE = 0.2
 HASHES, SLOTS_PER_GRAM = 3, 12
@@ -123,15 +124,19 @@ def _places(codes: np.ndarray, size: int) -> Iterator[np.ndarray]:
         spread = spread + step
 
 
-def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filter:
+def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, least_texts: int = 1) -> Filter:
     """Learn a filter from ``text`` and ``lang``; rows in which one of them is null teach
     nothing, and copies of a text count once. Of a language with more than ``train_docs`` texts,
     about as many are read, chosen by a hash of the text. Driver and filter hold at most ``1 / LEAST_RATE`` n-grams for each
-    language and size."""
+    language and size. Languages with fewer different texts than ``least_texts`` are not learned; more
+    than ``MOST_LANGUAGES`` of the others are an error, as ``lang`` then holds something else."""
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).dropna()
     # Hashes stand for the texts here; the texts that are read are told apart below.
     different = rows.select("lang", F.xxhash64("text").alias("hash")).distinct()
-    counted = sorted(map(tuple, different.groupBy("lang").count().collect()))  # a row for each language
+    by_language = different.groupBy("lang").count().where(F.col("count") >= least_texts)
+    counted = sorted(map(tuple, by_language.limit(MOST_LANGUAGES + 1).collect()))
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"lang has {by_language.count()} values; at most {MOST_LANGUAGES} are learned, those with least_texts texts")
     languages = [lang for lang, _ in counted]
     # How much of a language is read. The driver holds these rows, so they go to the texts.
     parts = [(lang, k, min(1.0, train_docs / n)) for k, (lang, n) in enumerate(counted, 1)]
@@ -206,9 +211,9 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
     return marked.withColumns({c: F.col(f"__guess.{c}") for c in ("lang_pred", "score")}).drop("__guess")
 
 
-def in_no_language(text: str = "text") -> Column:
+def in_no_language(text: str = "text", least_bytes: int = LEAST_BYTES, least_score: float = LEAST_SCORE) -> Column:
     """Whether a row of ``predict`` is in none of the languages of the model, by its score."""
-    return (F.octet_length(text) >= LEAST_BYTES) & (F.col("score") < LEAST_SCORE)
+    return (F.octet_length(text) >= least_bytes) & (F.col("score") < least_score)
 
 
 def held_out() -> Column:
