@@ -32,9 +32,11 @@ from .common import in_batches, map_batches, mix, staged, texts_of, work_for
 # A token belongs to the template of a host that has it on this part of its pages, and on
 # so many pages at least.
 SHARE, LEAST_PAGES = 0.5, 3
+# Outlines that this part of the pages of a host has, or more, have templates of their own.
+OUTLINE_SHARE = 1 / 64
 
 # Names of elements, of roles and of parts of class names and ids.
-RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|canvas|math|xmp|title"
+RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|canvas|math|xmp|title|video|audio"
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th "
@@ -77,11 +79,9 @@ MAIN_NAMES = re.compile(
     r"(?:^|[-_\s])(?:article|articlebody|post|entry|story|content|main|text|body)(?:$|[-_\s\d])", re.IGNORECASE
 )
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_QUOTE_OR_END = re.compile(r"[\"'>]")
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW.split("|")}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _DIGITS = re.compile(r"\d+")
 
@@ -90,11 +90,74 @@ _DIGITS = re.compile(r"\d+")
 PLAIN, DROPPED, HEADER, MAIN, DOUBTFUL = 0, 1, 2, 3, 4
 
 
+# Elements within more others than this belong to the last of those, as in browsers.
+MOST_DEPTH = 200
+# In an element without text that is never closed, these begin something else.
+RESTART = HEADINGS | frozenset("article main p section".split())
+
+
 class Element:
-    __slots__ = ("name", "path", "role", "main")
+    __slots__ = ("name", "path", "role", "main", "inner")
 
     def __init__(self, name: str, path: str, role: int, main: int):
         self.name, self.path, self.role, self.main = name, path, role, main
+        self.inner = 0  # open elements of the same name in an inline element
+
+
+def _end_of_tag(page: str, at: int) -> tuple[int, int]:
+    """Where the attributes of a tag end, and where the tag does. A quote is closed by the next one if a
+    blank or the end of the tag follows; otherwise it was never closed and the tag ends at
+    the next ``>``. Without one, there is no tag: -1."""
+    start = at
+    while found := _QUOTE_OR_END.search(page, at):
+        if found[0] == ">":
+            return found.start(), found.end()
+        close = page.find(found[0], found.end())
+        if close < 0 or (page[close + 1 : close + 2] or ">") not in " \t\r\n\f/>":
+            close = page.find(">", found.end())
+            return (start, -1) if close < 0 else (close, close + 1)
+        at = close + 1
+    return start, -1
+
+
+def tags_of(page: str) -> list[tuple[int, int, bool, str, str]]:
+    """The tags of a page: start, end, whether it closes, name, attributes. Comments and what is
+    in elements without markup are tags without a name. One pass: whatever is searched for is passed
+    over when it is found, and if it is not there, nothing behind can be a tag either."""
+    out, at, size = [], 0, len(page)
+    last = page.rfind(">")
+    while 0 <= (start := page.find("<", at)):
+        first = page[start + 1 : start + 2]
+        if page.startswith(("<!--", "<![CDATA["), start):
+            close = "-->" if page.startswith("<!--", start) else "]]>"
+            end = page.find(close, start + 4)
+            at = size if end < 0 else end + len(close)
+            out.append((start, at, False, "", ""))
+            continue
+        if start > last:
+            break
+        name = _NAME.match(page, start + 2 if first == "/" else start + 1)
+        if name is None:
+            if first and first in "!?/":
+                at = page.find(">", start) + 1
+                out.append((start, at, False, "", ""))
+            else:
+                at = start + 1
+            continue
+        inner, end = _end_of_tag(page, name.end())
+        if end < 0:
+            # An open quote takes in all that is left.
+            at = start + 1
+            last = -1
+            continue
+        own = name[0].lower()
+        if first != "/" and own in _RAW_ENDS and page[inner - 1] != "/":
+            closing = _RAW_ENDS[own].search(page, end)
+            end = size if closing is None else (page.find(">", closing.end()) + 1 or size)
+            own = ""
+        out.append((start, end, first == "/", own, page[name.end() : inner]))
+        at = end
+    return out
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -132,57 +195,79 @@ def _opened(name: str, attributes: dict[str, str], parent: Element) -> Element:
 
 def read_page(page: str) -> tuple[list[tuple[Element, str]], Counter]:
     """The blocks of text of a page, each with the element it stands in, and how often each
-    path occurs. Unclosed and stray tags are taken as browsers take them, more or less."""
+    path occurs. Unclosed and stray tags are taken as browsers take them, more or less; but an
+    element without text that is never closed ends where an article, a heading or a paragraph begins."""
     root = Element("", "", PLAIN, 0)
     stack, blocks, tags, parts = [root], [], Counter(), []
+    found = tags_of(page)
+    opened = Counter(name for *_, closes, name, _ in found if name in NO_TEXT and not closes)
+    opened.subtract(Counter(name for *_, closes, name, _ in found if name in NO_TEXT and closes))
+    unclosed = {name for name, times in opened.items() if times > 0 and name not in VOID}
 
     def end_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                blocks.append((stack[-1], text))
-
-    at = 0
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            parts.append(page[at : token.start()])
-        at = token.end()
-        name = (token[3] or "").lower()
+                blocks.append((block(), text))
+
+    def block() -> Element:
+        return next(e for e in reversed(stack) if not e.name or e.name in BLOCKS)
+
+    def muted() -> bool:
+        """Whether text stands in an inline element that drops it. The block goes on around it."""
+        top = stack[-1]
+        return top.name not in BLOCKS and top.name != "" and top.role in (DROPPED, DOUBTFUL)
+
+    at = beyond = 0
+    for start, end, closes, name, attributes in found:
+        if start > at and not muted():
+            parts.append(page[at:start])
+        at = end
         if not name:
             continue
         if name == "br":
             parts.append(" ")
-        elif token[2]:
-            if name in BLOCKS and any(e.name == name for e in stack):
+        elif closes:
+            if name in BLOCKS and beyond:
+                end_block()
+                beyond -= 1
+            elif name in BLOCKS and any(e.name == name for e in stack):
                 end_block()
                 while stack.pop().name != name:
                     pass
             elif name in BLOCKS:
                 end_block()
+            elif stack[-1].name == name and stack[-1].inner:
+                stack[-1].inner -= 1
             elif len(stack) > 1 and stack[-1].name == name:
-                # An inline element of its own role.
-                end_block()
                 stack.pop()
         elif name in BLOCKS:
             end_block()
+            if unclosed and name in RESTART and any(e.name in unclosed for e in stack):
+                while any(e.name in unclosed for e in stack):
+                    stack.pop()
             if name == "p" or name in HEADINGS:
-                closes = {"p"}
+                closing = {"p"}
             else:
-                closes = {"p", name} if name in ("li", "td", "th", "tr", "dt", "dd", "option") else {"p"}
-            while stack[-1].name in closes:
+                closing = {"p", name} if name in ("li", "td", "th", "tr", "dt", "dd", "option") else {"p"}
+            while stack[-1].name in closing:
                 stack.pop()
-            element = _opened(name, _attributes(token[4]), stack[-1])
+            if len(stack) > MOST_DEPTH:
+                beyond += name not in VOID
+                continue
+            element = _opened(name, _attributes(attributes), stack[-1])
             tags[element.path] += 1
             if name not in VOID:
                 stack.append(element)
-        elif name not in VOID and token[4].strip(" /") and not token[4].endswith("/"):
-            # Inline elements count only if they drop or mark text.
-            element = _opened(name, _attributes(token[4]), stack[-1])
-            if element.role != stack[-1].role and name != "a":
-                end_block()
+        elif name not in VOID and not attributes.endswith("/"):
+            # Inline elements count only if they drop text.
+            element = _opened(name, _attributes(attributes), stack[-1]) if attributes.strip(" /") else stack[-1]
+            if element.role != stack[-1].role and element.role in (DROPPED, DOUBTFUL) and len(stack) <= MOST_DEPTH:
                 stack.append(element)
-    if at < len(page):
+            elif stack[-1].name == name:
+                stack[-1].inner += 1
+    if at < len(page) and not muted():
         parts.append(page[at:])
     end_block()
     return blocks, tags
@@ -204,7 +289,7 @@ def _hash(text: str) -> int:
 
 def _outline(tags: Counter) -> int:
     """What pages of one template have in common: the outer elements that hold others."""
-    return _hash(str(sorted((p, n) for p, n in tags.items() if p.count("/") <= 3 and re.split(r"[/.]", p[p.rindex("/") + 1 :])[0] in FRAME)))
+    return _hash(str(sorted((p, n) for p, n in tags.items() if p.count("/") <= 3 and _element_of(p) in FRAME)))
 
 
 def _read(batch: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -257,8 +342,9 @@ def templates(pages: DataFrame) -> DataFrame:
     every page has each of them once, and the characters that vary below each path).
 
     Pages with the same texts are copies, which say nothing about a template, and count once. Of a
-    host only tokens that half of its pages have are kept, or half of those with the same outline,
-    so a template is no larger than twice a page for each outline.
+    host only tokens that half of its pages have are kept, or half of those with the same outline, if
+    ``OUTLINE_SHARE`` of its pages have that outline: the template of a host is no larger than
+    twice a page for each of those.
     """
     read = map_batches(pages.select("url", "html"), _read, "host string, content long, packed binary")
     rows = read.groupBy("host", "content").agg(F.min("packed").alias("packed"))
@@ -267,6 +353,9 @@ def templates(pages: DataFrame) -> DataFrame:
     key = ["host", "path", "text"]
     by_outline = staged(map_batches(rows, _tokens, schema, text=2).groupBy("outline", *key).agg(*sums), "outlines")
     outlines = by_outline.where("path = '' AND text IS NULL").select("host", "outline", F.col("pages").alias("all"))
+    sizes = staged(outlines.groupBy("host").agg(F.sum("all").alias("pages")), "sizes")
+    outlines = outlines.join(sizes, "host").where(F.col("all") >= OUTLINE_SHARE * F.col("pages")).select("host", "outline", "all")
+    outlines = staged(outlines, "outline-pages")
     often = by_outline.where(F.col("text").isNotNull() & (F.col("pages") >= LEAST_PAGES)).join(outlines, ["host", "outline"])
     often = often.where(F.col("pages") >= SHARE * F.col("all")).select(*key).distinct().withColumn("often", F.lit(True))
     # Tags have no text and are joined to nothing.
@@ -290,6 +379,11 @@ def templates(pages: DataFrame) -> DataFrame:
     return nested.join(texts, "host", "full_outer")
 
 
+def _element_of(path: str) -> str:
+    """The name of the element at the end of a path."""
+    return path[path.rindex("/") + 1 :].partition(".")[0]
+
+
 def main_slot(classes: list[dict] | None) -> str | None:
     """The slot of the frame where most of the varying text stands: from the root down to the
     child that has more than half of what its parent has. Classes nest by their paths: what
@@ -318,7 +412,7 @@ def extract(page: str, texts: frozenset[int], slot: str | None) -> str:
         # What holds the only article with most of the text, or all text, is no menu whatever its
         # name. Several articles can be comments or cards.
         inside = [(e, t) for e, t in kept if e.main >= 2]
-        articles = sum(n for path, n in tags.items() if re.split(r"[/.]", path[path.rindex("/") + 1 :])[0] in ("article", "main"))
+        articles = sum(n for path, n in tags.items() if _element_of(path) in ("article", "main"))
         if sure and (articles > 1 or sum(len(t) for _, t in inside) <= sum(len(t) for _, t in sure)):
             inside = []
         sure = inside or sure or kept
@@ -327,8 +421,15 @@ def extract(page: str, texts: frozenset[int], slot: str | None) -> str:
     fresh = [(e, t) for e, t in kept if int(_text_token(e.path, t)) not in texts] or kept
     surest = max((e.main for e, _ in fresh), default=0)
     if surest >= 2:
-        # Articles within the main element can be cards, so its own text stays too.
-        chosen = [t for e, t in fresh if e.main >= 2]
+        inner = [i for i, (e, _) in enumerate(fresh) if e.main == 3]
+        articles = sum(n for path, n in tags.items() if _element_of(path) == "article")
+        weight = sum(len(fresh[i][1]) for i in inner)
+        if inner and articles <= 1 and 2 * weight > sum(len(t) for e, t in fresh if e.main >= 2):
+            # One article with most of the text is the story, with the headings in front of it.
+            chosen = [t for i, (e, t) in enumerate(fresh) if e.main == 3 or (e.main == 2 and e.name in HEADINGS and i < inner[0])]
+        else:
+            # Articles within the main element can be cards, so its own text stays too.
+            chosen = [t for e, t in fresh if e.main >= 2]
     else:
         inside = [(e, t) for e, t in fresh if slot and (e.path == slot or e.path.startswith(slot + "/"))]
         chosen = [t for e, t in inside or fresh if e.main == surest or inside]
