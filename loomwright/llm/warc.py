@@ -48,24 +48,35 @@ def record_chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, least_bytes:
     ``page_id`` is a response and the others revisit it; their chunk is empty. A null
     ``html`` is an empty payload, null ids count as the smallest, and of rows with the same
     id and payload one counts as the largest. Chunks of a record are neighbours in order.
+
+    A record is named by what is in its row, and rows that are equal by a number, so names do not
+    depend on how rows are dealt to tasks and every pass over ``pages`` gives the same ones. Equal
+    payloads are sent once.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    # Numbered where they are read, so that every pass sees the same numbers.
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    facts = rows.select("page_id", "row", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"))
-    names = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), F.col("row"))
-    facts = facts.withColumn("record_id", names)
-    keeper = F.max(F.struct("page_id", "row", "record_id")).alias("keeper")
-    keepers = facts.where(F.col("size") >= least_bytes).groupBy("sha1", "size").agg(keeper)
-    roles = facts.join(keepers, ["sha1", "size"], "left").select(
-        "row", "record_id", "sha1", "size", F.when(F.col("keeper.row") != F.col("row"), F.col("keeper.record_id")).alias("refers_to")
-    )
-    kept = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
-    joined = rows.join(roles, "row").withColumn("payload", kept)
+    rows = rows.select("*", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"))
+    # A null address is another one than an empty address.
+    inside = F.sha1(F.concat("sha1", F.lit(":"), F.col("size").cast("string"), F.lit(":"), F.coalesce(F.concat(F.lit("u"), "url"), F.lit(""))))
+    base = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), inside)
+    rows = rows.withColumn("base", base)
+    same = [F.first(c).alias(c) for c in ("page_id", "url", "sha1", "size")]
+    # Aggregates are written before they are joined, so that Spark can split a payload of very many pages.
+    facts = staged(rows.groupBy("base").agg(*same, F.count("*").alias("copies")), "pages")
+    keeper = F.max(F.struct("page_id", "base")).alias("keeper")
+    keepers = staged(facts.where(F.col("size") >= least_bytes).groupBy("sha1", "size").agg(keeper), "keepers")
+    roles = facts.join(keepers, ["sha1", "size"], "left").select(*facts.columns, F.col("keeper.base").alias("kept"))
+    # Rows whose payload is written: all small ones, and one of each large one.
+    whole = F.col("kept").isNull() | (F.col("kept") == F.col("base"))
+    bodies = rows.select("base", "payload").join(roles.where(whole).select("base"), "base", "left_semi").dropDuplicates(["base"])
+    joined = roles.join(bodies, "base", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    first = F.col("kept").isNull() | ((F.col("kept") == F.col("base")) & (F.col("copy") == 0))
+    joined = joined.withColumn("refers_to", F.when(~first, F.concat("kept", F.lit(":0"))))
+    joined = joined.withColumn("payload", F.when(first, F.col("payload")).otherwise(F.lit(b"")))
     last = F.greatest(F.ceil(F.octet_length("payload") / chunk_bytes) - 1, F.lit(0)).cast("int")
     return (
-        joined.withColumn("last_chunk", last)
+        joined.withColumn("record_id", F.concat("base", F.lit(":"), F.col("copy").cast("string")))
+        .withColumn("last_chunk", last)
         .withColumn("chunk_no", F.explode(F.sequence(F.lit(0), "last_chunk")))
         .select(
             *("page_id", "record_id", "url", "refers_to", "sha1", "size", "chunk_no"),
