@@ -19,6 +19,7 @@ from collections.abc import Collection, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..paths import child_folders, delete_dir, exists, rename_new, shared_dir, table_files, write_marker
@@ -98,6 +99,12 @@ def _open_folder(spark: SparkSession, table: str) -> tuple[str, int]:
     raise ConcurrentLoadError(f"a replace of {table} closed {location} and did not end; replace the table again")
 
 
+def _as_table(df: DataFrame, columns: T.StructType) -> DataFrame:
+    """The columns of ``df``, in order, by the names and types of the table, as an insert takes them."""
+    named = df.toDF(*columns.names)
+    return named.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
+
+
 def _commit(df: DataFrame, table: str, keys: Sequence[str], limits: Constraints) -> None:
     """Append ``df`` in one step. Rows with ``keys`` that the table holds are left out; keys that the
     table demands to be unique, and are not, are an error."""
@@ -157,7 +164,7 @@ def append_absent(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     spark = df.sparkSession
     files = table_files(spark, table)
     limits = of_table(files)
-    df = guarded(df, limits)
+    df = guarded(_as_table(df, spark.table(table).schema), limits)
     if files.versioned:
         _commit(df, table, keys, limits)
         return

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,6 +25,8 @@ from ..rules import Rule
 from ..session import fit_shuffle, own_session
 from ..sources import MALFORMED, RawTable, source_reader
 
+log = logging.getLogger(__name__)
+
 PARALLEL_TABLES = 4
 
 SUMMARY_SCHEMA = T.StructType(
@@ -194,7 +197,13 @@ def ingest_table(
     try:
         results = ingest_rows(own, spec, raw)
     except Exception as e:
-        fault = locate_fault(own, spec, raw, str(e)) if spark.catalog.tableExists(spec.full_name) else None
+        fault = None
+        try:
+            if spark.catalog.tableExists(spec.full_name):
+                fault = locate_fault(own, spec, raw, str(e))
+        except Exception as other:
+            # What went wrong first is what the caller has to know.
+            log.warning("could not find the record at fault: %s", other)
         if fault:
             raise fault from e
         raise

@@ -545,6 +545,20 @@ def test_appends_and_replaces_at_once_lose_nothing(spark, schema):
     assert sorted(r.k for r in spark.table(table).collect()) == [*range(5), *range(10, 20)]
 
 
+def test_appended_columns_go_by_their_place(spark, schema):
+    """Names and types are those of the table, as with an insert."""
+    table = f"{schema}.t"
+    ensure_table(spark, table, T.StructType.fromDDL("k bigint, v string"), required=["v"])
+    append(spark.createDataFrame([(1, 5)], "a int, b int"), table)
+    append_absent(spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), table, ["k"])
+    assert sorted(map(tuple, spark.table(table).collect())) == [(1, "5"), (2, "y")]
+    with pytest.raises(Exception, match="NOT NULL"):
+        append(spark.createDataFrame([(3, None)], "a int, b string"), table)
+    with pytest.raises(Exception):
+        append(spark.range(1), table)
+    assert spark.table(table).count() == 2
+
+
 def test_a_replace_that_never_ended_is_named(spark, schema, monkeypatch):
     table = f"{schema}.t"
     ensure_table(spark, table, T.StructType.fromDDL("k bigint"))
