@@ -60,38 +60,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def probes(documents: DataFrame, found: DataFrame) -> DataFrame:
     """For each window the word to look for, the rarest one in ``documents`` (staged rows with
-    ``words``), and where in the window it stands: ``word, at, words, items``."""
+    ``words``), and where in the window it stands: ``word, at, words``. The items that have a window
+    are not sent along: there can be any number of them."""
     vocabulary = staged(found.select(F.explode("words").alias("word")).distinct(), "vocabulary")
     seen = [
         documents.select(F.explode("words").alias("word")).join(F.broadcast(block), "word").groupBy("word").count()
         for block in _blocks(vocabulary, "word", F.octet_length("word"))
     ]
     known = vocabulary.join(_union(seen), "word", "left").select("word", F.coalesce("count", F.lit(0)).alias("often"))
-    once = found.groupBy("words").agg(F.collect_set("item_id").alias("items"))
-    places = once.select("words", "items", F.posexplode("words").alias("at", "word"))
+    # Written, so that the join below stands right on its shuffles and a frequent word can be split.
+    known = staged(known, "known")
+    places = found.select("words").distinct().select("words", F.posexplode("words").alias("at", "word"))
     # A window with a word that no document has cannot occur: its probe finds nothing.
     rarest = F.min(F.struct("often", "at", "word")).alias("rarest")
-    return places.join(known, "word").groupBy("words").agg(rarest, F.first("items").alias("items")).select(
-        "rarest.word", "rarest.at", "words", "items"
-    )
+    return places.join(known, "word").groupBy("words").agg(rarest).select("rarest.word", "rarest.at", "words")
 
 
-def occurrences(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Where a window of an item stands in a document: the key of the document, ``start`` (its
-    words before), ``length`` and the ``items`` that have the window."""
+def occurrences(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """Where one of the windows ``found`` stands in a document: the key of the document, ``start`` (its
+    words before), ``length`` and the ``words`` of the window."""
     read = documents.select(*row_key(), words_of(F.col("text")).alias("words"))
-    wanted = staged(probes(read, windows(benchmark, size)), "probes")
+    wanted = staged(probes(read, found), "probes")
     located = read.select(ROW_ID, ROW_TEXT, F.col("words").alias("all"), F.posexplode("words").alias("place", "word"))
     start = F.col("place") - F.col("at")
     length = F.size("words")
-    found = [
+    parts = [
         located.join(F.broadcast(block), "word")
         .where((start >= 0) & (start + length <= F.size("all")))
         .where(F.slice("all", F.greatest(start, F.lit(0)) + 1, length) == F.col("words"))
-        .select(ROW_ID, ROW_TEXT, start.alias("start"), length.alias("length"), "items")
-        for block in _blocks(wanted, "word", F.octet_length(F.array_join("words", " ")))
+        .select(ROW_ID, ROW_TEXT, start.alias("start"), length.alias("length"), "words")
+        for block in _blocks(wanted, "words", F.octet_length(F.array_join("words", " ")))
     ]
-    return _union(found)
+    return _union(parts)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -102,11 +102,13 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
     A null or empty text has no words, and an item without words has no window. Items without
     an id are hit, but not listed. Rows with the same id and text get the same result.
     """
-    found = staged(occurrences(documents, benchmark, size), "occurrences")
+    of_items = staged(windows(benchmark, size), "windows")
+    found = staged(occurrences(documents, of_items), "occurrences")
     key = [ROW_ID, ROW_TEXT]
     places = found.select(*key, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("place"))
     hit = places.distinct().groupBy(*key).agg(F.count("*").alias("n_hit"))
-    named = found.select(*key, F.explode("items").alias("item")).distinct()
+    named = found.select(*key, "words").distinct().join(of_items, "words")
+    named = named.where("item_id IS NOT NULL").select(*key, F.col("item_id").alias("item")).distinct()
     items = named.groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items"))
     rows = documents.select(F.col("doc_id"), *row_key(), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     joined = join_rows(rows, join_rows(hit, items, "left"), "left")
