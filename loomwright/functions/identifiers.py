@@ -22,3 +22,8 @@ def normalise_all(names: Iterable[str]) -> list[str]:
     if clashes:
         raise ValueError(f"column names {names} normalise to the same name: {', '.join(clashes)}")
     return result
+
+
+def literal(text: str) -> str:
+    """A string of an SQL statement."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

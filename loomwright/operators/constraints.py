@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.identifiers import literal
 from ..paths import TableFiles
 from .project import require
 
@@ -47,8 +48,8 @@ def of_table(files: TableFiles) -> Constraints:
 
 def constrain(spark: SparkSession, table: str, key: Sequence[str] = (), required: Collection[str] = ()) -> None:
     """Declare what an existing table demands from now on. The rows it holds are not looked at."""
-    value = json.dumps({"key": list(key), "required": sorted(set(required) - set(key))}).replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PROPERTY}' = '{value}')")
+    value = json.dumps({"key": list(key), "required": sorted(set(required) - set(key))})
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PROPERTY}' = {literal(value)})")
 
 
 def guarded(df: DataFrame, limits: Constraints) -> DataFrame:

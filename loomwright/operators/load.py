@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.identifiers import literal
 from ..paths import child_folders, delete_dir, exists, rename_new, shared_dir, table_files, write_marker
 from ..session import setting
 from .constraints import Constraints, demand_absent, demand_unique, guarded, of_table, to_property
@@ -60,10 +61,17 @@ def ensure_table(
     """Create the table unless it exists, and return its columns. Those of an existing table are
     never altered, nor what it demands of its rows."""
     if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, source="parquet", schema=columns, description=description or "", recursiveFileLookup="true")
-        for name, value in to_property(primary_key, required).items():
-            quoted = value.replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{quoted}')")
+        # One statement, so that loads at once see the table with its constraints or not at all.
+        fields = [
+            f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
+            + (f" COMMENT {literal(f.metadata['comment'])}" if f.metadata.get("comment") else "")
+            for f in columns
+        ]
+        properties = [f"{literal(name)} = {literal(value)}" for name, value in to_property(primary_key, required).items()]
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(fields)}) USING parquet OPTIONS (recursiveFileLookup = 'true') "
+            f"COMMENT {literal(description or '')}" + (f" TBLPROPERTIES ({', '.join(properties)})" if properties else "")
+        )
     return spark.table(table).schema
 
 
@@ -183,8 +191,8 @@ def _retired(spark: SparkSession, table: str) -> list[tuple[str, datetime]]:
 
 
 def _set_retired(spark: SparkSession, table: str, folders: Sequence[tuple[str, datetime]]) -> None:
-    value = json.dumps([[path, at.isoformat()] for path, at in folders]).replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RETIRED}' = '{value}')")
+    value = json.dumps([[path, at.isoformat()] for path, at in folders])
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RETIRED}' = {literal(value)})")
 
 
 def expire_snapshots(spark: SparkSession, table: str, older_than: timedelta = timedelta(0)) -> int:
@@ -240,8 +248,7 @@ def replace(df: DataFrame, table: str, unique_on: Sequence[str] = (), retention:
         if files.versioned:
             _close(spark, location)
         _set_retired(spark, table, [*_retired(spark, table), (location, datetime.now(timezone.utc))])
-        quoted = fresh.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {literal(fresh)}")
         spark.catalog.refreshTable(table)
         expire_snapshots(spark, table, retention)
         return

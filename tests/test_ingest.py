@@ -13,7 +13,7 @@ from loomwright import QualityError, ingest_all, ingest_table, parse_config, res
 from loomwright.config import ColumnSpec, Config, TableSpec
 from loomwright.functions.types import parse_type
 from loomwright.operators import load as load_module
-from loomwright.operators.constraints import ConstraintError, constrain
+from loomwright.operators.constraints import ConstraintError, Constraints, constrain, of_table
 from loomwright.operators.load import append, append_absent, ensure_table, expire_snapshots, replace
 from loomwright.paths import table_files
 from loomwright.plans.ingest import RecordError
@@ -545,6 +545,28 @@ def test_appends_and_replaces_at_once_lose_nothing(spark, schema):
     assert sorted(r.k for r in spark.table(table).collect()) == [*range(5), *range(10, 20)]
 
 
+def test_a_table_is_created_once_with_all_that_belongs_to_it(spark, schema):
+    table = f"{schema}.t"
+    columns = T.StructType([
+        T.StructField("a b", T.DecimalType(10, 2), True, {"comment": "it's a \\ \"key\""}), T.StructField("n\u00e9", T.TimestampNTZType()),
+        T.StructField("d", T.DateType()), T.StructField("x", T.ArrayType(T.DoubleType())),
+    ])
+    start = threading.Barrier(6)
+
+    def create(_):
+        own = own_session(spark)
+        start.wait()
+        return ensure_table(own, table, columns, "all of 'it'", ["a b"], ["d"])
+
+    with ThreadPoolExecutor(6) as pool:
+        found = list(pool.map(create, range(6)))
+    assert all([(f.name, f.dataType) for f in schema_] == [(f.name, f.dataType) for f in columns] for schema_ in found)
+    assert found[0]["a b"].metadata["comment"] == columns["a b"].metadata["comment"]
+    files = table_files(spark, table)
+    assert files.versioned and of_table(files) == Constraints(("a b",), frozenset({"d"}))
+    assert spark.catalog.getTable(table).description == "all of 'it'"
+
+
 def test_appended_columns_go_by_their_place(spark, schema):
     """Names and types are those of the table, as with an insert."""
     table = f"{schema}.t"
