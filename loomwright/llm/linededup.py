@@ -1,12 +1,14 @@
-"""Line dedup by runs and content-defined chunks of lines.
+"""Line dedup by content-defined chunks and runs of lines.
 
-A run is the fewest lines from a line on, or up to a line, that have ``LONG_LINE`` words.
-Runs depend on nothing around them, and a passage of so many words is the union of the runs in
-it, so all of a passage that occurs again is found wherever it stands.
+A rolling hash over the hashes of the last lines decides whether a chunk ends after a line, so
+lines put in or taken out elsewhere shift no border. Several such hashes cut each text in
+several ways. Where a chunk begins still depends on the lines before it, so of a passage between
+other lines chunks alone find the inner part, by luck.
 
-Of shorter passages chunks find a part: a rolling hash over the hashes of the last lines decides
-whether a chunk ends after a line, so lines put in or taken out elsewhere shift no border.
-Several such hashes cut each text in several ways, which finds more than one.
+Runs make that whole. A run is the fewest lines from a line on, or up to a line, that are two
+lines of ``SHORT_RUN`` words together, or one of ``LONG_LINE`` words. It depends on nothing around
+it, and a passage that has a run is the union of the runs in it, so all of it is found wherever
+it stands. Chunks decide on passages of several lines that have fewer words.
 
 Runs, and chunks of several lines, that occur again anywhere in the corpus are removed but for
 the first time, after their bytes have been compared. What overlaps its own first time in a
@@ -28,24 +30,29 @@ from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scra
 WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
 EVERY = 2  # a border after one line in so many
-LONG_LINE = 50  # words of a run
+SHORT_RUN = 20  # words of a run of two lines or more
+LONG_LINE = 50  # words of a line that is a run by itself
 
 CHUNKS = f"{ROW_ID} long, {ROW_TEXT} long, start int, lines int, hash long"
 
 
 def runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the fewest lines of ``LONG_LINE`` words from each line on and up to
-    each line. Blank lines begin a run only behind a line that is a run by itself: other runs
-    go over them."""
+    """Starts and ends of the fewest lines that are a run, from each line on and up to each line.
+    Blank lines begin a run only behind a line that is a run by itself: other runs go over them."""
     n = len(words)
     before = np.concatenate([[0], np.cumsum(words)])
+    said = np.concatenate([[0], np.cumsum(words > 0)])
     # The last line with words so far, from the front.
-    said = np.maximum.accumulate(np.where(words > 0, np.arange(n), -1))
-    starts = np.flatnonzero((words > 0) | ((said >= 0) & (words[said] >= LONG_LINE)))
-    ends = np.searchsorted(before, before[starts] + LONG_LINE, "left")
+    last = np.maximum.accumulate(np.where(words > 0, np.arange(n), -1))
+    starts = np.flatnonzero((words > 0) | ((last >= 0) & (words[last] >= LONG_LINE)))
+    short = np.maximum(np.searchsorted(before, before[starts] + SHORT_RUN, "left"), np.searchsorted(said, said[starts] + 2, "left"))
+    ends = np.minimum(np.searchsorted(before, before[starts] + LONG_LINE, "left"), short)
     starts, ends = starts[ends <= n], ends[ends <= n]
-    up_to = np.flatnonzero((words > 0) & (before[1:] >= LONG_LINE)) + 1
-    return np.concatenate([starts, np.searchsorted(before, before[up_to] - LONG_LINE, "right") - 1]), np.concatenate([ends, up_to])
+    up_to = np.flatnonzero(words > 0) + 1
+    short = np.minimum(np.searchsorted(before, before[up_to] - SHORT_RUN, "right"), np.searchsorted(said, said[up_to] - 2, "right")) - 1
+    begins = np.maximum(np.searchsorted(before, before[up_to] - LONG_LINE, "right") - 1, short)
+    inside = begins >= 0
+    return np.concatenate([starts, begins[inside]]), np.concatenate([ends, up_to[inside]])
 
 
 def line_hashes(lines: list[str]) -> np.ndarray:
@@ -102,7 +109,7 @@ def chunks(lines: list[str], hashes: np.ndarray | None = None) -> list[tuple[int
         starts = np.concatenate([[0], ends[:-1]])
         several = said_before[ends] - said_before[starts] >= 2
         # The others are the union of the runs in them.
-        wanted = several & (words_before[ends] - words_before[starts] < LONG_LINE)
+        wanted = several & (words_before[ends] - words_before[starts] < SHORT_RUN)
         found.update(zip(starts[wanted].tolist(), (ends - starts)[wanted].tolist(), strict=True))
     spans = sorted(found)
     return apart(spans, [_content(hashes, *span) for span in spans])
