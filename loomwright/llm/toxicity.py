@@ -124,9 +124,10 @@ def fit(rows: np.ndarray, columns: np.ndarray, entries: np.ndarray, grades: np.n
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> DataFrame:
     """``text, grade`` of labelled documents: all, or about ``most`` chosen by a hash of their
-    ids. Null texts and labels teach nothing, and of several labels of a document one counts.
-    The chosen labels are few by that bound, so they go to the documents."""
-    wanted = labels.select("doc_id", F.col(label).cast("int").alias("grade")).dropna().dropDuplicates(["doc_id"])
+    ids. Null texts and labels teach nothing, and of several labels of a document the highest grade
+    counts. The chosen labels are few by that bound, so they go to the documents."""
+    wanted = labels.select("doc_id", F.col(label).cast("int").alias("grade")).dropna()
+    wanted = wanted.groupBy("doc_id").agg(F.max("grade").alias("grade"))
     share = most / max(most, wanted.count())
     chosen = wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     return docs.select("doc_id", "text").dropna().join(F.broadcast(chosen), "doc_id").select("text", "grade")
@@ -166,8 +167,9 @@ def _all_features(batch: pa.RecordBatch) -> dict[str, pa.Array]:
 def train(rows: DataFrame) -> Ordinal:
     """Learn from ``text, grade`` (``labelled_texts``); grade 0 is clean. The driver gets the
     features that ``LEAST_TEXTS`` toxic texts share and that have ``LEAST_ODDS``, and the sparse rows."""
-    # Written once: the passes below read the bounded sample, not the corpus.
-    rows = staged(rows.dropDuplicates(["text"]), "labelled")
+    # Written once: the passes below read the bounded sample, not the corpus. Of a text with several
+    # grades the highest counts, whatever the order of rows.
+    rows = staged(rows.groupBy("text").agg(F.max("grade").alias("grade")), "labelled")
     is_toxic = F.col("grade") > 0
     sizes = {row[0]: row[1] for row in rows.groupBy(is_toxic.alias("toxic")).count().collect()}
     some, none = sizes.get(True, 0), sizes.get(False, 0)
