@@ -47,9 +47,11 @@ class TextEncoder:
     forgotten.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 1_000_000, plain_names: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_names
+        # Texts with one of these are rare and go to the library whole.
+        self.names = () if plain_names else tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.remember = remember
         # The ids of a piece, or None if a text with that piece has to be encoded whole.
         self.known: dict[str, bytes | None] = {}
@@ -149,6 +151,13 @@ class TextEncoder:
                 gc.enable()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        named = [i for i, text in enumerate(texts) if any(name in text for name in self.names)]
+        if named:
+            skip = set(named)
+            out = self._encode(["" if i in skip else text for i, text in enumerate(texts)])
+            for i, ids in zip(named, self._library([texts[i] for i in named]), strict=True):
+                out[i] = ids
+            return out
         # A line break is the lead of the piece behind it, as a space is.
         parts = [text.replace("\n", " \n").split(" ") for text in texts]
         self._learn(set().union(*parts))
@@ -169,12 +178,12 @@ class TextEncoder:
         return out
 
 
-_encoders: dict[str, TextEncoder] = {}
+_encoders: dict[tuple[str, bool], TextEncoder] = {}
 remembers(_encoders.clear)
 
 
-def encoder(path: str) -> TextEncoder:
-    """One encoder for each file and worker process."""
-    if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
-    return _encoders[path]
+def encoder(path: str, plain_names: bool = False) -> TextEncoder:
+    """One encoder for each file and setting in a worker process."""
+    if (path, plain_names) not in _encoders:
+        _encoders[path, plain_names] = TextEncoder(path, plain_names=plain_names)
+    return _encoders[path, plain_names]
