@@ -292,7 +292,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", groups
     An empty table stays empty. The pieces are written once, as the plan counts them
     before it places them.
     """
-    pieces = staged(pieces.drop("sequence_id", "offset"), "pieces")
+    columns = pieces.drop("sequence_id", "offset").columns
+    # A number for each row, so that rows which are equal are dealt to different blocks.
+    pieces = staged(pieces.select(*columns, F.monotonically_increasing_id().alias("__piece")), "pieces")
     counted = pieces.groupBy(F.col(length).cast("long")).count().collect()  # a row per length
     counts = {row[0]: row[1] for row in counted}
     if any(n is None or not 0 < n <= capacity for n in counts):
@@ -313,7 +315,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", groups
 
     ranked = _ranks(pieces, length, counts)
     placed = ranked.withColumn("__place", place(F.col(length).cast("long"), F.col("__rank").cast("long")))
-    return placed.select(*pieces.columns, "__place.sequence_id", "__place.offset")
+    return placed.select(*columns, "__place.sequence_id", "__place.offset")
 
 
 def ids_crc32(ids: str = "ids") -> Column:
