@@ -1,0 +1,315 @@
+"""Resampling, mixing and alignment against plain Python, and positions over whole tables."""
+
+import hashlib
+import math
+import random
+import re
+import string
+import sys
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import public_tokenizers
+
+ROOT = Path(__file__).resolve().parents[2]
+sys.path.insert(0, str(ROOT))
+
+from loomwright.llm import alignment, importance, mixing, queries  # noqa: E402
+from loomwright.llm.common import scratch  # noqa: E402
+from loomwright.llm.ordering import running_totals  # noqa: E402
+
+TABLES = Path("/root/testdata/sf0.001")
+SMALL = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+PATHS = tuple(map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+needs_tables = pytest.mark.skipif(not TABLES.is_dir(), reason="the tables are not here")
+
+
+def documents(spark, rows, kind="doc_id long, text string"):
+    return spark.createDataFrame(rows, kind)
+
+
+# --- order ------------------------------------------------------------------------------
+
+
+def test_running_totals(spark):
+    """Against a plain loop; most rows are equal in the first column of the order."""
+    rng = random.Random(1)
+    rows = [(0 if i % 3 else rng.randint(-5, 5), rng.randint(0, 9), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k int, v long, row long").repartition(9)
+    with scratch(spark) as keep:
+        got = running_totals(df, [F.col("k").desc(), F.col("row")], ["v"], keep).collect()
+    expected, before = [], 0
+    for position, (k, v, row) in enumerate(sorted(rows, key=lambda r: (-r[0], r[2]))):
+        expected.append((k, v, row, position, before))
+        before += v
+    assert sorted(map(tuple, got), key=lambda r: r[3]) == expected
+    with scratch(spark) as keep:
+        assert running_totals(df.limit(0), [F.col("row")], ["v"], keep).collect() == []
+
+
+# --- resampling -------------------------------------------------------------------------
+
+AWKWARD = [
+    (1, "The the THE a-b_c 1x2 étÉ naïve…ok"), (2, None), (3, ""), (4, " \t\n"), (5, "\x00a\x7fb\u0080c"),
+    (6, "word " * 50), (7, "word " * 50), (7, "word " * 50), (8, "你好 " * 30), (9, "x" * 5000), (None, "one two three " * 9),
+    (None, "one two three " * 9), (10, "".join(f"w{i} " for i in range(300))),
+]
+TARGET = ["word one w1 w2 w3", None, "", "the a b"]
+
+
+def plain_draw(docs, target, sizes, buckets, seed, percent, least):
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(SMALL))
+        runs = [" ".join(words[i : i + n]) for n in range(sizes[0], sizes[1] + 1) for i in range(len(words) - n + 1)]
+        return words, [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    have, want = Counter(), Counter()
+    for _, text in docs:
+        have.update(features(text)[1])
+    for text in target:
+        want.update(features(text)[1])
+    s, t = sum(have.values()), sum(want.values())
+    rows = []
+    for doc, text in docs:
+        words, found = features(text)
+        gain = [math.floor(1000 * math.log((want[b] + 1) * (s + buckets) / ((have[b] + 1) * (t + buckets)))) for b in found]
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        rows.append([doc, len(words), len(found), sum(gain), sum(gain) + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))])
+    able = sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    ranks = [(able[i], i + 1) for i in range(len(able) * percent // 100)]
+    return sorted(((r[0], *r[2:], next((n for own, n in ranks if own is r), None)) for r in rows), key=str)
+
+
+@pytest.mark.parametrize(("sizes", "percent"), [((1, 1), 50), ((1, 3), 100), ((2, 2), 34)])
+def test_draw_of_awkward_documents(spark, sizes, percent):
+    docs, target = documents(spark, AWKWARD).repartition(4), spark.createDataFrame([(t,) for t in TARGET], "text string")
+    got = importance.resample(docs, target, sizes=sizes, buckets=97, seed=5, percent=percent, least_words=3)
+    got = sorted(map(tuple, got.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=str)
+    assert got == plain_draw(AWKWARD, TARGET, sizes, 97, 5, percent, 3)
+
+
+def test_words_of_long_texts_are_those_of_their_parts(monkeypatch):
+    text = "".join(random.Random(2).choice("ab é,") for _ in range(3000)) + "z" * 500
+    assert "".join(importance.parts(text, 40)) == text
+    assert importance.words_of(text) == re.findall(r"[a-z\u0080-￿]+", text)
+    monkeypatch.setattr(importance, "PART_CHARS", 40)
+    assert [w for p in importance.parts(text, 40) for w, _ in importance._splitter.pre_tokenize_str(p)] == importance.words_of(text)
+
+
+def test_documents_like_the_target_are_drawn(spark):
+    rng = random.Random(3)
+    topics = [[f"{t}{i}" for i in range(200)] for t in "abcd"]
+    rows = [(i, " ".join(rng.choices(topics[i % 4], k=60))) for i in range(400)]
+    target = spark.createDataFrame([(" ".join(rng.choices(topics[2], k=60)),) for _ in range(40)], "text string")
+    drawn = importance.resample(documents(spark, rows), target, buckets=5000, percent=20).where("rank IS NOT NULL").collect()
+    assert len(drawn) == 80 and all(r.doc_id % 4 == 2 for r in drawn)
+    assert sorted(r.rank for r in drawn) == list(range(1, 81))
+
+
+# --- mixing -----------------------------------------------------------------------------
+
+
+def plain_targets(sizes, weights, most):
+    """Share, cut what is above, share the excess again, until nothing is."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    full, total = set(), sum(sizes.values())
+    while True:
+        rest = [s for s in names if s not in full]
+        spare = total - sum(most * sizes[s] for s in full)
+        target = {s: spare * weight[s] / sum(weight[r] for r in rest) for s in rest}
+        above = {s for s in rest if target[s] > most * sizes[s]}
+        if not above:
+            return target | {s: float(most * sizes[s]) for s in full}
+        full |= above
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mix(spark, seed):
+    rng = random.Random(seed)
+    names = ["b"] * 9 + ["b", "a", "Z", "é", "\U0001f600", "￿", "", None, "none"]
+
+    def text_of(source):
+        if source == "none":
+            return rng.choice(["", None, " \n"])
+        return " ".join("w" * rng.randint(1, 3) for _ in range(rng.choice([0, 1, 5, 40])))
+
+    rows = [(i, text_of(source), source) for i, source in enumerate(rng.choices(names, k=300))]
+    rows += [(None, "x y z", "b"), (5, "x y z", "b"), (5, "x y z", "b"), (5, "x y z", "b")]
+    docs = documents(spark, rows, "doc_id long, text string, source string").repartition(5)
+    planned = mixing.plan(docs)
+    got = planned.collect()
+    size_of = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += size_of(text)
+    targets = plain_targets(sizes, (1, 2, 3), 3)
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, targets[r.source], rel_tol=1e-12)
+        assert r.taken <= 3 * r.size and r.taken == r.epochs * r.size + r.part
+    assert sorted((str(r.doc_id), r.size) for r in got) == sorted((str(d), size_of(t)) for d, t, _ in rows)
+    assert all(taken[s] == math.floor(targets[s]) for s in sizes)
+    # The same again, dealt otherwise.
+    again = mixing.plan(docs.repartition(2, "text"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+    mixed = mixing.mixture(docs, planned).collect()
+    words = defaultdict(int)
+    for r in mixed:
+        words[r.doc_id, r.source] += size_of(r.text)
+    expected = defaultdict(int)
+    for r in got:
+        expected[r.doc_id, r.source] += r.taken
+    assert words == {k: n for k, n in expected.items() if n}
+    whole = {(d, s): {t for d2, t, s2 in rows if (d2, s2) == (d, s)} for d, _, s in rows}
+    assert all(any((t or "").startswith(r.text) for t in whole[r.doc_id, r.source]) for r in mixed)
+
+
+def test_sources_without_words(spark):
+    docs = documents(spark, [(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
+    assert [(r.taken, r.target) for r in mixing.plan(docs).collect()] == [(0, 0.0)] * 2
+    assert mixing.mixture(docs, mixing.plan(docs)).collect() == []
+
+
+# --- alignment --------------------------------------------------------------------------
+
+
+class Plain:
+    """Whole texts, token by token."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(PATHS[0])
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in visible]
+        self.byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+    def groups(self, text):
+        if not text:
+            return []
+        whole = " " + text
+        a = self.a.encode(whole, add_special_tokens=False)
+        b = self.b.encode(text)
+        spelled_a = [bytes(self.byte[c] for c in t) for t in a.tokens]
+        spelled_b = []
+        for piece in map(self.b.id_to_piece, b):
+            found = re.fullmatch("<0x([0-9A-F]{2})>", piece)
+            spelled_b.append(bytes([int(found[1], 16)]) if found else piece.replace("▁", " ").encode())
+        if not b"".join(spelled_a) == whole.encode() == b"".join(spelled_b):
+            return []
+        ends_a, ends_b = (np.cumsum([len(t) for t in s]).tolist() for s in (spelled_a, spelled_b))
+        groups, i, j = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            k, m = ends_a.index(end) + 1, ends_b.index(end) + 1
+            groups.append((a.ids[i:k], b[j:m]))
+            i, j = k, m
+        return groups
+
+
+def plain_alignment(docs):
+    plain = Plain()
+    found, count = [], Counter()
+    for doc, text in docs:
+        groups = plain.groups(text)
+        links = Counter((x, y) for a, b in groups for x in a for y in b)
+        count.update(links.keys())
+        found.append((doc, groups, links))
+    best = defaultdict(int)
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    out = []
+    for doc, groups, links in found:
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        sums = sum(n for p, n in links.items() if count[p] == best[p[0]]), sum(n * count[p] for p, n in links.items())
+        tokens = sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups)
+        out.append((doc, *tokens, len(groups), sum(links.values()), *sums, hashlib.sha256(shown.encode()).hexdigest() if groups else ""))
+    return sorted(out, key=str)
+
+
+@needs_tables
+def test_alignment_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.op13_token_alignment(spark, str(TABLES))
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == plain_alignment(docs)
+
+
+PARTS = [
+    " ", "  ", "\n", "\n\n", "\t", "\r", "\r\n", " \r", "a", "The", "word", "'s", "'", "!!", "…", "é", "你好", "\U0001f600",
+    "\x00", "\x1c", "\x85", "\xa0", "　", "᠎", "​", "▁", "<s>", "</s>", "<|endoftext|>", "<0x41>", "<unk>", "123", "_",
+    "();\r", "{", "ﬁ", "Å", ",", ".",
+]
+
+
+@pytest.mark.parametrize("ranges", [None, 7, 64])
+def test_alignment_of_awkward_texts(spark, ranges):
+    """As texts of usual size, and as very long ones in ranges that cut through words and tokens."""
+    rng = random.Random(ranges or 1)
+    docs = [(i, "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25)))) for i in range(400)]
+    docs += [(1000, None), (1001, ""), (1002, " "), (1003, "x" * 700), (1004, " " * 300), (None, "a b"), (1005, "a b"), (1005, "a b")]
+    sizes = {"long_bytes": 12, "range_bytes": ranges} if ranges else {}
+    got = alignment.align(documents(spark, docs).repartition(6), *PATHS, **sizes).collect()
+    assert sorted(map(tuple, got), key=str) == plain_alignment(docs)
+
+
+def test_groups_themselves(spark):
+    """As text: the digest is that of the query, and the ids are those of the tokenizers."""
+    docs = [(1, "Hello <s> wörld, naïve 你好"), (2, ""), (3, " ".join(f"word{i}" for i in range(60)))]
+    got = {r.doc_id: r.groups for r in alignment.align(documents(spark, docs), *PATHS, long_bytes=100, range_bytes=33, whole_groups=True).collect()}
+    plain = Plain()
+    for doc, text in docs:
+        assert got[doc] == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(text))
+
+
+TOKENS = st.lists(st.tuples(st.booleans(), st.integers(1, 4)), max_size=12)
+
+
+@given(TOKENS, st.integers(0, 2**30))
+@settings(max_examples=300, deadline=None)
+def test_fragments_compose_in_any_order(ends, seed):
+    """Any tree over neighbouring ranges closes the groups that a scan from left to right closes."""
+    rng = random.Random(seed)
+    events, place = [], 0
+    for both, gap in ends:
+        place += gap
+        events.append((place, both, rng.random() < 0.5))
+    events.append((place + 1, True, True))
+    expected, open_ = [], alignment.Group()
+    leaves = []
+    for at, both, first in events:
+        token = alignment.Group((at,) if both or first else (), (at,) if both or not first else ())
+        open_ += token
+        if both:
+            expected.append(open_)
+            open_ = alignment.Group()
+        leaves.append(alignment.Fragment(both, token, at=at) if both else alignment.Fragment(False, token))
+    closed = []
+    nodes = [(k, alignment.START if k < 0 else leaf) for k, leaf in enumerate([alignment.START, *leaves], -1)]
+    while len(nodes) > 1:
+        i = rng.randrange(len(nodes) - 1)
+        (key, left), (_, right) = nodes[i], nodes[i + 1]
+        whole, group = alignment.compose(left, right)
+        if group is not None and group != alignment.Group():
+            closed.append((right.at, group))
+        nodes[i : i + 2] = [(key, whole)]
+    assert [g for _, g in sorted(closed, key=lambda c: c[0])] == expected
+    assert nodes[0][1].suffix == alignment.Group()
+
+
+def test_a_group_costs_its_different_pairs():
+    """Thousands of equal tokens in one group are counted, not paired."""
+    a, b = np.full(60_000, 5), np.full(50_000, 9)
+    zero = np.zeros(1, np.int64)
+    found = alignment.measure(a, np.zeros(len(a), np.int64), b, np.zeros(len(b), np.int64), zero, 1)
+    assert found.n_links.tolist() == [3_000_000_000] == found.links.tolist() and found.codes.tolist() == [(5 << 32) + 9]

@@ -136,8 +136,8 @@ def test_chunks_are_shift_resistant():
 
 
 def repeated_lines(docs):
-    """Lines of the maximal runs of at least 50 words, words at both edges, that stand in an earlier
-    document too: by comparing all pairs of lines."""
+    """Lines of the maximal passages that stand in an earlier document too, words at both edges, with two
+    lines and 20 words or with 50 words: by comparing all pairs of lines."""
     gone = [set() for _ in docs]
     for later in range(len(docs)):
         for earlier in range(later):
@@ -147,7 +147,7 @@ def repeated_lines(docs):
                     continue
                 n = next((n for n in range(min(len(a) - i, len(b) - j)) if a[i + n] != b[j + n]), min(len(a) - i, len(b) - j))
                 said = [k for k in range(i, i + n) if a[k].split()]
-                if sum(len(a[k].split()) for k in said) >= 50:
+                if sum(len(a[k].split()) for k in said) >= (20 if len(said) > 1 else 50):
                     gone[later].update(range(said[0], said[-1] + 1))
     return gone
 
@@ -165,7 +165,7 @@ def test_passages_of_short_lines_are_found_whole():
         docs = [d for d in docs if len({x for x in d if x}) == len([x for x in d if x])]  # no repeats in a text
         places, found = {}, []
         for doc in docs:
-            spans = [(tuple(doc[s : s + n]), s, n) for s, n in linededup.chunks(doc) if sum(len(x.split()) for x in doc[s : s + n]) >= 50]
+            spans = [(tuple(doc[s : s + n]), s, n) for s, n in linededup.chunks(doc) if sum(len(x.split()) for x in doc[s : s + n]) >= 20]
             found.append({k for own, s, n in spans if own in places for k in range(s, s + n) if k < len(doc)})
             places.update((own, 1) for own, _, _ in spans)
         for doc, want, got in zip(docs, repeated_lines(docs), found, strict=True):
@@ -174,12 +174,12 @@ def test_passages_of_short_lines_are_found_whole():
 
 
 def test_a_line_over_and_over_keeps_its_first_run():
-    again = " ".join(["w"] * 20)  # a run is three lines
+    again = " ".join(["w"] * 20)  # a run is two lines
     for times in range(3, 12):
         lines = ["a b", *[again] * times, "c d"]
         spans = [s for s in linededup.chunks(lines) if all(lines[k] == again for k in range(s[0], sum(s)))]
-        starts = [start for start, n in spans if n == 3]
-        assert starts == [1, *range(4, times - 1)]
+        starts = [start for start, n in spans if n == 2]
+        assert starts == [1, *range(3, times)]
         # A copy goes whole.
         assert {k for start, n in spans for k in range(start, start + n)} == set(range(1, times + 1))
 
@@ -215,7 +215,7 @@ PAGE = (
 
 
 def test_article_of_a_page():
-    assert extraction.extract(PAGE, frozenset(), None) == "A & B\nOne two three\nFour\nfive\nx\ny"
+    assert extraction.extract(PAGE, frozenset(), None) == "A & B\nOne two three\nFour five\nx\ny"
     assert extraction.extract("", frozenset(), None) == ""
     assert extraction.extract("<p>a<aside>b</aside><p>c &lt;d&gt;", frozenset(), None) == "a\nc <d>"
 
@@ -248,3 +248,73 @@ def test_records_stream_in_chunks():
         assert rows[k][8] == warc.base32(hashlib.sha1(payload[:done]).digest())
     with pytest.raises(ValueError):
         list(warc.stream_records(io.BufferedReader(io.BytesIO(record.replace(b"b", b"c"))), 1024))
+
+
+@pytest.mark.parametrize(("lines", "words"), [(2, 10), (3, 7), (4, 5), (5, 4), (6, 8), (8, 3)])
+def test_recall_of_short_passages(lines, words):
+    """Passages of 20 words or more in two to eight lines, in two documents between other lines: all of
+    each is marked in the second one, and nothing else is."""
+    rng = random.Random(lines)
+
+    def line(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+
+    for _ in range(100):
+        passage = [line(words) for _ in range(lines)]
+        docs = [[line(rng.randint(1, 12)) for _ in range(rng.randint(1, 4))] + passage + [line(3)] for _ in range(2)]
+        known = {"\n".join(docs[0][s : s + n]) for s, n in linededup.chunks(docs[0])}
+        gone = {k for s, n in linededup.chunks(docs[1]) if "\n".join(docs[1][s : s + n]) in known for k in range(s, s + n)}
+        assert [docs[1][k] for k in sorted(gone)] == passage
+
+
+MEGABYTE = 1 << 20
+
+
+@pytest.mark.parametrize("unit", ["<script ", '<a "', "<a '", "<!--", "<", "</", '<a href="x" ', "<![CDATA[", "</script", "<nav>", '<a ">', "<p>", "&amp;"])
+@pytest.mark.parametrize("end", ["", ">", '"></script>'])
+def test_hostile_pages_take_time_in_proportion(unit, end):
+    import time
+
+    page = unit * (MEGABYTE // len(unit)) + end
+    start = time.process_time()
+    extraction.extract(page, frozenset(), None)
+    assert time.process_time() - start < 6  # a second or two here; with a quadratic scan hours
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p>One two</p><a class="share">Share this</a><p>Three</p></article>', "One two\nThree"),
+        (
+            "<main><h1>Top</h1><article><p>The story is long and goes on.</p></article><h2>More stories</h2><ul><li>Card</li></ul></main>",
+            "Top\nThe story is long and goes on.",
+        ),
+        ("<article><p>Before <span hidden>gone <span>inner</span> too</span> after</p></article>", "Before after"),
+        ('<p title="it>Hello</p><p class="x">World</p>', "Hello\nWorld"),
+        ('<p title="a > b" data-x=\'1 "2"\'>Hello</p>', "Hello"),
+        ("<nav><a>Home</a><article><p>Story</p></article>", "Story"),
+        ("<nav>Home<p>Text here</p><p>More</p>", "Text here\nMore"),
+        ("<article><p>A</p><video src=x>Your browser has no video.</video><p>B</p></article>", "A\nB"),
+        ("<article><p>a < b and c <3 d</p></article>", "a < b and c <3 d"),
+        ("<article><SCRIPT>x</scripty> y</SCRIPT >z<br/>w</article>", "z w"),
+        ("<main><p>The story itself, as the main text.</p><article>Card one</article><article>Card two</article></main>",
+         "The story itself, as the main text.\nCard one\nCard two"),
+    ],
+)
+def test_main_text_of(page, text):
+    assert extraction.extract(page, frozenset(), None) == text
+
+
+def test_repeats_of_a_long_text_in_little_memory():
+    """The second half repeats the first; also against the places that were put there."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    half = rng.integers(0, 1 << 40, 100_000)
+    codes = np.concatenate([half, half, [-1]])
+    tracemalloc.start()
+    starts, lengths = repetition.longest_repeats(codes, np.zeros(len(codes), np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lengths.max() == 100_000 and len(starts) == 2 * (100_000 - 4)
+    assert peak < 300 * len(codes)  # bytes; with an array of all words for each step twice that
