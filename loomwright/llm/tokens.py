@@ -47,7 +47,7 @@ class TextEncoder:
     forgotten.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000, plain_names: bool = False):
+    def __init__(self, path: str, remember: int = 700_000, plain_names: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_names
         # Texts with one of these are rare and go to the library whole.
