@@ -75,7 +75,8 @@ class QualityError(ValueError):
 
 class RecordError(ValueError):
     """A record that cannot be loaded: ``file``, ``record`` (its number in the file, from 1 and without
-    the header) and ``problem``, for the first such record in the order of the files."""
+    the header) and ``problem``, for the first such record in the order of the files. If the files of
+    a folder are parts of one, ``file`` is the folder, and ``record`` counts through the parts."""
 
     def __init__(self, file: str, record: int, problem: str, reason: str):
         super().__init__(f"{file}, record {record}: {problem}\n{reason}")
@@ -168,9 +169,13 @@ def locate_fault(spark: SparkSession, spec: TableSpec, raw: RawTable, reason: st
         return None
     at = first[0]
     file, *place = raw.order
+    name, same = at[file], F.col(file) == at[file]
+    if raw.parts and name:
+        name = name[: name.rindex("/") + 1]
+        place, same = raw.order, F.regexp_extract(file, "^.*/", 0) == name
     before = F.struct(*place) <= F.struct(*[F.lit(at[c]).alias(c) for c in place])
-    record = rows.where((F.col(file) == at[file]) & before).count()
-    return RecordError(at[file] or raw.path, record, at["problem"], reason)
+    record = rows.where(same & before).count()
+    return RecordError(name or raw.path, record, at["problem"], reason)
 
 
 def ingest_table(

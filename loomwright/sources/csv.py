@@ -49,7 +49,8 @@ WHOLE = "starts AND NOT odd"
 @dataclass(frozen=True)
 class RawTable:
     """Text columns under their normalised names, followed by the columns that
-    order the rows as they stand in the files, and folders to delete after use. ``tolerant``
+    order the rows as they stand in the files, and folders to delete after use. ``parts`` says that
+    the files of a folder are one, cut in the order of their names. ``tolerant``
     reads the same rows again for a diagnosis: a record with too few or too many fields does
     not fail, but stands in the column ``MALFORMED``."""
 
@@ -59,6 +60,7 @@ class RawTable:
     staged: tuple[str, ...] = ()
     path: str = ""
     tolerant: Callable[[], DataFrame] | None = None
+    parts: bool = False
 
 
 def source_path(conf: Mapping[str, Any], base_path: str | None = None) -> str:
@@ -204,7 +206,8 @@ def _placed(lines: DataFrame, splits: DataFrame) -> DataFrame:
     firsts = lines.where(f"{BLOCK} = 0 AND {GROUP} = 0").groupBy(FILE).agg(F.min(LINE).alias("first"))
     return (
         lines.join(splits.select(FILE, BLOCK, GROUP, "inside", "opened"), [FILE, BLOCK, GROUP])
-        .join(firsts, FILE)
+        # A row for each file. Shuffled by file, the lines of few files would go to as many tasks.
+        .join(F.broadcast(firsts), FILE)
         .withColumn("is_header", is_header)
         .withColumn("starts", F.col("inside") == F.col("odd_before"))
     )
@@ -282,7 +285,10 @@ def read_csv(
 
     One pass over the lines finds out whether some record is more or less than a line.
     ``multi_line``, also a key of ``conf``, saves that pass if it is true; saying that there are
-    no such records does not, as the lines may tell otherwise. No row depends on it."""
+    no such records does not, as the lines may tell otherwise. No row depends on it.
+
+    ``parts`` in ``conf`` says that a folder is one file that was written in parts, each with
+    the header: an error names the folder, and numbers the records through its parts."""
     path = source_path(conf, base_path)
     header = read_header(spark, path)
     columns = normalise_all(name or "" for name in header)
@@ -296,4 +302,5 @@ def read_csv(
         read, source = _read_records, (spark, folder, path, header, columns, most_bytes)
     else:
         read, source = _read_lines, (spark, path, header, columns)
-    return RawTable(read(*source), tuple(columns), (FILE, BLOCK, LINE), staged, path, lambda: read(*source, tolerant=True))
+    parts = bool(conf.get("parts"))
+    return RawTable(read(*source), tuple(columns), (FILE, BLOCK, LINE), staged, path, lambda: read(*source, tolerant=True), parts)

@@ -624,6 +624,18 @@ def test_the_first_faulty_record_of_several_files_is_named(spark, tmp_path, sche
     assert raised.value.file.endswith("part2.csv") and raised.value.record == 2
 
 
+def test_records_are_numbered_through_the_parts_of_a_folder(spark, tmp_path, schema):
+    for folder, parts in {"a": ["1,v\n2,v\n"], "b": ['1,v\n2,"v\nv"\n', "3,v\n4,v\n", "5,v\nx,v\n7,v\n"]}.items():
+        (tmp_path / "many" / folder).mkdir(parents=True)
+        for i, lines in enumerate(parts):
+            (tmp_path / "many" / folder / f"part{i}.csv").write_text("k,v\n" + lines)
+    source = spec(schema, key="many/*", columns=cols(k="int"))
+    source.source_conf["parts"] = True
+    with pytest.raises(RecordError) as raised:
+        ingest_table(spark, source, base_path=str(tmp_path))
+    assert raised.value.file.endswith("/many/b/") and raised.value.record == 6
+
+
 def test_a_record_is_found_over_many_splits(spark, tmp_path, schema):
     lines = "".join(f"{i},value {i}\n" if i != 7777 else "7777x,v\n" for i in range(1, 20_001))
     with setting(spark, "spark.sql.files.maxPartitionBytes", "20000"), pytest.raises(RecordError) as raised:
