@@ -34,12 +34,14 @@ SIMILARITY = 80  # percent
 # Bits of each coordinate that a sketch is stored with, to rule pairs out. With 200
 # coordinates, a pair that is similar enough seems less than this by chance once in 10^9.
 RULE_OUT = 0.61
+# Words whose hash a worker remembers, some 180 bytes each, and bytes of text that it takes at once.
+MOST_WORDS, BATCH_BYTES = 100_000, 1 << 20
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < MOST_WORDS:
             self[word] = value
         return value
 
@@ -136,7 +138,7 @@ def sketch_documents(docs: DataFrame, words: int, rows: int = ROWS, bands: int =
 
     schema = f"doc_id long, {ROW_TEXT} long, n_shingles long, node binary, bands array<long>, brief binary"
     rows_ = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias(ROW_TEXT))
-    return map_batches(rows_, run, schema, size=2 << 20)
+    return map_batches(rows_, run, schema, size=BATCH_BYTES)
 
 
 def node_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -151,7 +153,7 @@ def node_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     wanted = join_rows(texts, nodes.select(ROW_ID, ROW_TEXT, "node"), "inner")
     # Rows that repeat a document bring the same node once more.
     wanted = wanted.select("node", "text").dropDuplicates(["node"])
-    return map_batches(wanted, run, "node binary, shingles array<long>")
+    return map_batches(wanted, run, "node binary, shingles array<long>", size=BATCH_BYTES)
 
 
 def _alike(a: str, b: str) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, staged, texts_of
-from .tokens import ID_BYTES, encoder
+from .tokens import ID_BYTES, REMEMBER, encoder
 
 LARGE = 3  # a length is large if it exceeds the capacity divided by this
 GROUPS = 128  # sizes that the large lengths are rounded up to
@@ -38,20 +38,22 @@ BLOCK_ROWS = 200  # pieces of one length that one task ranks
 # --- pieces -----------------------------------------------------------------------------
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remember: int = REMEMBER, size: int = 4 << 20) -> DataFrame:
     """The token ids of every whole text, followed by ``end_id``, in pieces.
 
     Only documents of more than ``capacity`` ids are cut; their first piece takes the
     remainder, all others are full. Returns ``doc_id, piece, start, length`` and ``ids``
     (little-endian unsigned 32-bit). Null and empty texts give one piece with ``end_id``
-    alone; a null ``doc_id`` stays null; repeated rows each have their pieces.
+    alone; a null ``doc_id`` stays null; repeated rows each have their pieces. ``remember`` (words
+    in the memory of a worker) and ``size`` (bytes of text that it encodes at once) trade memory for
+    time; no piece depends on them.
     """
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         texts = texts_of(batch.column(1))
         rows, piece, start, length, ids = [], [], [], [], []
-        for row, data in enumerate(encoder(tokenizer).encode(texts)):
+        for row, data in enumerate(encoder(tokenizer, remember=remember).encode(texts)):
             data += end
             n = len(data) // ID_BYTES
             at, stop, k = 0, n % capacity or min(n, capacity), 0
@@ -71,7 +73,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
         }
 
     schema = "doc_id long, piece int, start long, length long, ids binary"
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), cut, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), cut, schema, size)
 
 
 # --- plan -------------------------------------------------------------------------------

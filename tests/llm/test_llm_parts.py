@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 
 import public_tokenizers
 from loomwright.llm import eliasfano, extraction, language, linededup, neardup, packing, repetition, toxicity, warc
-from loomwright.llm.tokens import TextEncoder
+from loomwright.llm.tokens import TextEncoder, encoder
 
 ENCODERS = {name: TextEncoder(public_tokenizers.path(name), remember=50) for name in ("byte_bpe_50k.json", "word_bpe_49k.json")}
 
@@ -28,6 +28,17 @@ def test_ids_are_those_of_the_library(name, texts):
     assert own.encode(texts) == expected
 
 
+def test_a_worker_remembers_as_many_words_as_it_is_told():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for remember, most in ((100, 200), (1000, 1200)):
+        own = encoder(path, remember=remember)
+        for k in range(100):
+            own.encode([" ".join(f"w{remember}x{k}y{i}" for i in range(20))])
+        assert len(own.known) + len(own.older) < most
+    neardup.shingles([" ".join(f"word{i}" for i in range(neardup.MOST_WORDS + 1000))], 2)
+    assert len(neardup._hashes) <= neardup.MOST_WORDS <= 100_000
+
+
 @settings(deadline=None, max_examples=60)
 @given(counts=st.dictionaries(st.integers(1, 200), st.integers(1, 40), max_size=40))
 def test_plan_places_every_piece(counts):

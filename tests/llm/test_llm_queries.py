@@ -476,3 +476,14 @@ def test_registered():
     numbers = [re.match(r"op(\d+)_", name)[1] for name in queries.queries()]
     assert sorted(map(int, numbers)) == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
+
+
+def test_pieces_do_not_depend_on_what_a_worker_remembers(spark):
+    import public_tokenizers
+    from loomwright.llm import packing
+
+    rows = [(i, " ".join(f"word{i * j} is, {j}" for j in range(i % 40))) for i in range(300)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    expected = sorted(map(str, packing.cut_pieces(docs, path, 64, 0).collect()))
+    assert sorted(map(str, packing.cut_pieces(docs, path, 64, 0, remember=50, size=1000).collect())) == expected
