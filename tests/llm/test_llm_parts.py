@@ -4,6 +4,7 @@ import gzip
 import io
 import itertools
 import random
+import string
 from collections import Counter
 
 import numpy as np
@@ -28,6 +29,35 @@ def test_ids_are_those_of_the_library(name, texts):
     assert own.encode(texts) == expected
 
 
+@pytest.mark.parametrize("name", sorted(ENCODERS))
+@pytest.mark.parametrize("remember", [4, 100_000])
+def test_letters_with_punctuation_and_line_breaks_go_to_the_model(name, remember):
+    own, rng = TextEncoder(public_tokenizers.path(name), remember=remember), random.Random(5)
+    signs = ["", ",", ".", "***", ",%%%", ").", "!?", "'s", "'.", ".'", "-", "-" * 40, *string.punctuation]
+    words = ["".join(rng.choices("abcdeZ\u00e9\u00df\u00c9", k=rng.randint(1, 7))) for _ in range(300)]
+    others = ["\u0130", "\u4e2d", "e\u0301", "1", "", "\t", "\u00a0"]
+    texts = [
+        "".join(rng.choice([" ", " ", "\n"]) + rng.choice(words if rng.random() < 0.97 else others) + rng.choice(signs) for _ in range(rng.randint(0, 20)))[k % 2 :]
+        for k in range(600)
+    ]
+    expected = [np.asarray(e.ids, "<u4").tobytes() for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids for k in range(0, len(texts), 50) for ids in own.encode(texts[k : k + 50])] == expected
+    given, library, pieces = [], own._library, own._pieces
+    own._library = lambda texts: given.extend(texts) or library(texts)
+    own._pieces = lambda words: given.extend(words) or pieces(words)
+    new = ["quokka***", "quokka,", "quokka!?", "\nquokka", "\nquokka.", "\n\u00fcbung***", "\u00fcbung)."]
+    texts = ["A " + " ".join(new).replace(" \n", "\n"), "B " + new[0]]
+    assert own.encode(texts) == library(texts)
+    assert given == ["A", "B"]
+
+
+def test_many_kinds_of_punctuation_are_not_remembered():
+    own = ENCODERS["byte_bpe_50k.json"]
+    texts = [" ".join(f"a{''.join(p)}" for p in itertools.islice(itertools.product("!-.*#", repeat=6), 0, 15_625, 5))]
+    assert own.encode(texts) == own._library(texts)
+    assert len(own.tails) <= 1002
+
+
 def test_a_worker_remembers_as_many_words_as_it_is_told():
     path = public_tokenizers.path("byte_bpe_50k.json")
     for remember, most in ((100, 200), (1000, 1200)):
