@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import limit_batches
 from .common import in_batches, mix, texts_of, work_for
 
 SIZES = (3, 5)  # bytes of an n-gram
@@ -32,6 +33,7 @@ UNKNOWN = "und"
 # hardly more than chance. Less text tells nothing.
 LEAST_BYTES, LEAST_SCORE = 200, 0.02
 WORD = 64  # languages in one mask
+GUESS_BYTES = 1 << 18  # text that is scored at once: each byte of it takes about 100 bytes
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -51,15 +53,16 @@ def grams(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     codes = np.full(n, size, np.uint64)
     for k in range(size):
-        codes = (codes << np.uint64(8)) | data[k : k + n]
+        codes <<= np.uint64(8)
+        codes |= data[k : k + n]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.cumsum(lengths) - lengths
     # Those that reach into the next text are left out.
-    keep = np.zeros(n + 1, np.int64)
+    keep = np.zeros(n + 1, np.int8)
     has = counts > 0
     np.add.at(keep, starts[has], 1)
     np.add.at(keep, starts[has] + counts[has], -1)
-    return codes[np.cumsum(keep)[:n] > 0], counts
+    return codes[np.cumsum(keep, dtype=np.int8)[:n] > 0], counts
 
 
 def prepared(text: str) -> bytes:
@@ -155,7 +158,7 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, least_texts: int =
                     columns = [np.full(len(codes), number, np.int32), np.full(len(codes), size, np.int32), codes.astype(np.int64), counts]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["number", "size", "gram", "n"])
 
-    counts = chosen.mapInArrow(count, "number int, size int, gram long, n long").groupBy("number", "size", "gram").agg(F.sum("n").alias("n"))
+    counts = limit_batches(chosen).mapInArrow(count, "number int, size int, gram long, n long").groupBy("number", "size", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("number", "size").agg(F.sum("n").alias("total"))
     rates = counts.join(F.broadcast(totals), ["number", "size"]).select("number", "gram", (F.col("n") / F.col("total")).alias("rate"))
     by_gram = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("number", "rate")).alias("rates"))
@@ -187,7 +190,7 @@ def predicted(model: Filter, spark: SparkSession) -> Callable[[str], Column]:
     def run(text: pa.Array) -> pa.Array:
         work_for(__name__)
         batch = pa.RecordBatch.from_arrays([text], ["text"])
-        return pa.array([row for part in in_batches([batch], 1 << 20, text=0) for row in guess(texts_of(part.column(0)))], kind)
+        return pa.array([row for part in in_batches([batch], GUESS_BYTES, text=0) for row in guess(texts_of(part.column(0)))], kind)
 
     return run
 
@@ -207,7 +210,7 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
     names. The score is the share of the text's n-grams that the language has. Null texts and
     texts without a letter are ``und`` with score 0, as are all texts if nothing was learned;
     ties go to the first language by name."""
-    marked = docs.withColumn("__guess", predicted(model, docs.sparkSession)("text"))
+    marked = limit_batches(docs).withColumn("__guess", predicted(model, docs.sparkSession)("text"))
     return marked.withColumns({c: F.col(f"__guess.{c}") for c in ("lang_pred", "score")}).drop("__guess")
 
 

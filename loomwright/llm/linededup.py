@@ -30,6 +30,7 @@ from .common import ROW_ID, ROW_TEXT, join_rows, map_batches, mix, row_key, scra
 WAYS = 6  # hashes that choose borders
 LINES = 2  # lines in the window of a rolling hash
 EVERY = 2  # a border after one line in so many
+BATCH_BYTES = 1 << 20  # text that is cut at once
 SHORT_RUN = 20  # words of a run of two lines or more
 LONG_LINE = 50  # words of a line that is a run by itself
 
@@ -151,7 +152,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     once in the corpus. The first one is that of the smallest ``doc_id``, then the first in
     the text."""
     with scratch(docs.sparkSession) as keep:
-        found = keep(map_batches(docs.select(*row_key(), "text"), _chunk, CHUNKS, text=2), "chunks")
+        found = keep(map_batches(docs.select(*row_key(), "text"), _chunk, CHUNKS, BATCH_BYTES, text=2), "chunks")
         place = F.struct(F.col(ROW_ID).isNull(), ROW_ID, ROW_TEXT, "start")
         again = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
         # Written, so that the join stands right on its shuffles and Spark can split a hot chunk.
@@ -175,7 +176,7 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     keyed = docs.select("*", *row_key())
     marks = repeated_chunks(docs)
     marked = join_rows(docs.select("text", *row_key()), marks, "inner").select("text", "marks")
-    texts = map_batches(marked, _marked_text, "hash long, chunk string", text=0)
+    texts = map_batches(marked, _marked_text, "hash long, chunk string", BATCH_BYTES, text=0)
     # Equal chunks meet before the shuffle, so a hot one is sent once by each task.
     compared = texts.groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     different = staged(compared.where("least <> most").select("hash"), "different")

@@ -359,3 +359,18 @@ def test_repeats_of_a_long_text_in_little_memory():
     tracemalloc.stop()
     assert lengths.max() == 100_000 and len(starts) == 2 * (100_000 - 4)
     assert peak < 300 * len(codes)  # bytes; with an array of all words for each step twice that
+
+
+def test_scoring_takes_little_memory():
+    import tracemalloc
+
+    texts = [(f"some words of text number {i} " * 40).encode() for i in range(language.GUESS_BYTES // 1000)]
+    codes = np.unique(language.grams(texts[:20], 3)[0])
+    model = language.Filter.build(["l1", "l2"], codes, np.ones((len(codes), 2), bool))
+    tracemalloc.start()
+    try:
+        model.scores(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50 << 20

@@ -487,3 +487,45 @@ def test_pieces_do_not_depend_on_what_a_worker_remembers(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     expected = sorted(map(str, packing.cut_pieces(docs, path, 64, 0).collect()))
     assert sorted(map(str, packing.cut_pieces(docs, path, 64, 0, remember=50, size=1000).collect())) == expected
+
+
+def test_workers_get_little_text_at_once(spark):
+    import pyarrow as pa
+
+    from loomwright import session
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    text = F.concat_ws(" ", F.col("id"), F.expr("repeat(concat('word', id, ' and more\\n'), 200)"))
+    docs = spark.range(3000).coalesce(1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    before = spark.conf.get(session.BATCH_BYTES)
+    try:
+        for operator in (lambda: linededup.remove_repeated_chunks(docs.limit(5)), lambda: language.predict(docs.limit(5), language.train(docs.limit(5)))):
+            spark.conf.set(session.BATCH_BYTES, before)
+            operator()
+            got = docs.select("text").mapInArrow(sizes, "rows long, bytes long").collect()
+            assert sum(r.rows for r in got) == 3000 and sum(r.bytes for r in got) > 3 * session.MOST_BATCH_BYTES
+            assert max(r.bytes for r in got) < 1.5 * session.MOST_BATCH_BYTES
+        spark.conf.set(session.BATCH_BYTES, "1000")  # stays, as it is lower
+        session.limit_batches(docs)
+        assert spark.conf.get(session.BATCH_BYTES) == "1000"
+    finally:
+        spark.conf.set(session.BATCH_BYTES, before)
+
+
+def test_scoring_and_cutting_do_not_depend_on_the_batch(spark):
+    from loomwright import session
+
+    rows = [(i, "\n".join(f"line {i * j % 7} of words {j}, and a few more to make it long" for j in range(i % 40)), "en" if i % 2 else "de") for i in range(200)]
+    docs = spark.createDataFrame([*rows, (None, None, None), (5, "", "en")], "doc_id long, text string, lang string").coalesce(1)
+    before, found = spark.conf.get(session.BATCH_BYTES), []
+    try:
+        for most in ("64m", "100"):
+            spark.conf.set(session.BATCH_BYTES, most)
+            guessed = language.predict(docs, language.train(docs)).select("doc_id", "text", "lang_pred", "score")
+            found.append([sorted(map(str, df.collect())) for df in (guessed, linededup.remove_repeated_chunks(docs))])
+    finally:
+        spark.conf.set(session.BATCH_BYTES, before)
+    assert found[0] == found[1]
