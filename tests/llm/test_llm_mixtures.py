@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -263,6 +264,41 @@ def test_alignment_of_awkward_texts(spark, ranges):
     assert sorted(map(tuple, got), key=str) == plain_alignment(docs)
 
 
+def test_texts_of_a_dictionary_are_tokenised_in_parts(monkeypatch):
+    """What is tokenised and measured at once does not grow with the texts that share a dictionary, whose
+    rows are those of the texts alone, and a worker remembers no piece after its task."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 9)))
+    docs = [(i, " ".join(word() for _ in range(400))) for i in range(900)] + [(None, "a b"), (7, None), (8, "")]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": d, "text": t}) for d, t in (zip(*docs[k : k + 300], strict=True) for k in range(0, 903, 300))]
+    at_once, measured = [], []
+    tokens, counted = alignment.Pair.tokens, alignment._counted
+    monkeypatch.setattr(alignment.Pair, "tokens", lambda self, p: (at_once.append(sum(map(len, p))), tokens(self, p))[1])
+    monkeypatch.setattr(alignment, "_counted", lambda a, *rest: (measured.append(len(a)), counted(a, *rest))[1])
+    rows = [r for b in alignment._chunked(*PATHS, True)(iter(batches)) for r in b.to_pylist()]
+    assert 2_000_000 < sum(len(t or "") for _, t in docs) < alignment.BATCH_BYTES and len(rows) == 1
+    assert max(at_once) <= alignment.PART_BYTES and max(measured) <= 4 * alignment.PART_BYTES
+    known = alignment._memory[PATHS]
+    assert not known.index and not known.texts and not len(known.codes)
+    row, plain = rows[0], Plain()
+    assert row["doc_ids"] == [d for d, _ in docs] and sum(row["documents"]) == len(row["slots"]) == sum(row["pairs"])
+    ends = np.cumsum(row["pairs"])
+    for i in [*range(0, 900, 90), 900, 901, 902]:
+        groups = plain.groups(docs[i][1])
+        assert row["groups"][i] == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        links = Counter((x << 32) + y for a, b in groups for x in a for y in b)
+        own = slice(ends[i] - row["pairs"][i], ends[i])
+        assert {row["codes"][s]: n for s, n in zip(row["slots"][own], row["links"][own], strict=True)} == links
+        assert row["n_groups"][i] == len(groups) and row["n_links"][i] == sum(links.values())
+
+
+def test_texts_without_bytes_share_few_rows():
+    """Rows that have no text are as many as any in a dictionary."""
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [*range(k, k + 4000)], "text": pa.array([None, ""] * 2000)}) for k in range(0, 24_000, 4000)]
+    rows = [r for b in alignment._chunked(*PATHS, False)(iter(batches)) for r in b.to_pylist()]
+    assert [i for r in rows for i in r["doc_ids"]] == [*range(24_000)] and max(len(r["doc_ids"]) for r in rows) <= alignment.BATCH_ROWS
+
+
 def test_groups_themselves(spark):
     """As text: the digest is that of the query, and the ids are those of the tokenizers."""
     docs = [(1, "Hello <s> wörld, naïve 你好"), (2, ""), (3, " ".join(f"word{i}" for i in range(60)))]
